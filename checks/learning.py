@@ -1 +1,300 @@
+"""Supervised tables, models and forecasts (M rows)."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import query
+from checks.bindings import AIR_SQL, DENSE_SQL, INDEX_SQL, air, day, dense, index, r6, table
+from hazegrid import catalog
+from hazegrid.functions.numeric import clip
+from hazegrid.operators import clean, forecast, learn, windows
+from hazegrid.session import scratch
+
+KEYS = ["series"]
+HORIZONS = (1, 7, 30)
+TARGETS = ("PM2_5", "wind_u10m")
+_W = "OVER (PARTITION BY series ORDER BY date)"
+
+
+@query("M1_feature_selection", AIR_SQL + """SELECT l_orderkey, l_linenumber, year, month, day, weekday, day_of_year,
+  is_weekend, season, round(AOD_550, 6) AS AOD_550, round(NO2_total / 1e15, 6) AS NO2_total, SO2_surface, dew_point,
+  wind_u10m, wind_v10m FROM air""")
+def feature_selection(spark, sf_dir):
+    df = air(spark, sf_dir).drop("series")
+    out = df.select(*clean.feature_columns(df.columns))
+    return out.withColumn("AOD_550", F.round("AOD_550", 6)).withColumn(
+        "NO2_total", F.round(F.col("NO2_total") / 1e15, 6))
+
+
+_LEADS = ", ".join(f"lead({t}, {h}) {_W} AS {t}_h{h}" for t in TARGETS for h in HORIZONS)
+_ALL = " AND ".join(f"{t}_h{h} IS NOT NULL" for t in TARGETS for h in HORIZONS)
+SUPERVISED_SQL = DENSE_SQL + f""", lead_rows AS (SELECT series, date, PM2_5, wind_u10m,
+  coalesce(PM10, (SELECT avg(PM10) FROM dense)) AS PM10, {_LEADS} FROM dense),
+sup AS (SELECT *, row_number() {_W} - 1 AS row_no, count(*) OVER (PARTITION BY series) AS n_rows
+  FROM lead_rows WHERE {_ALL}),
+split AS (SELECT *, CASE WHEN row_no < floor(n_rows * 0.8e0) THEN 'train' ELSE 'test' END AS split FROM sup)
+"""
+
+
+def supervised_rows(spark, sf_dir):
+    df = dense(spark, sf_dir).select("series", "date", "PM2_5", "wind_u10m", "PM10")
+    return learn.supervised(df, KEYS, day(), ["PM10"], TARGETS, HORIZONS)
+
+
+def split_rows(spark, sf_dir):
+    return learn.split_by_time(supervised_rows(spark, sf_dir), KEYS, day())
+
+
+@query("M2_multi_horizon_targets", SUPERVISED_SQL + "SELECT series, date, round(PM10, 6) AS PM10, " + ", ".join(
+    f"{t}_h{h}" for t in TARGETS for h in HORIZONS) + " FROM sup")
+def multi_horizon_targets(spark, sf_dir):
+    return supervised_rows(spark, sf_dir).drop("PM2_5", "wind_u10m").withColumn("PM10", F.round("PM10", 6))
+
+
+@query("M3_chronological_split", SUPERVISED_SQL + "SELECT series, date, split FROM split")
+def chronological_split(spark, sf_dir):
+    return split_rows(spark, sf_dir).select("series", "date", "split")
+
+
+_SCALED = ("PM10", "PM2_5", "PM2_5_h1", "wind_u10m_h30")
+
+
+@query("M4_robust_scale", SUPERVISED_SQL + " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", round(median({c}), 6) AS center, round(CASE WHEN quantile_cont({c}, 0.75) =
+    quantile_cont({c}, 0.25) THEN 1e0 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END, 6) AS scale
+    FROM split WHERE split = 'train'""" for c in _SCALED))
+def robust_scale(spark, sf_dir):
+    train = split_rows(spark, sf_dir).filter(F.col("split") == "train")
+    return r6(learn.quartile_table(train, _SCALED))
+
+
+# --- one feature, one target: least squares has a closed form ------------------------------------
+
+_STATION_SQL = INDEX_SQL + ", st AS (SELECT date, PM2_5, aqi, " + ", ".join(
+    f"lead(aqi, {h}) OVER (ORDER BY date) AS aqi_h{h}" for h in HORIZONS) + """ FROM aqi_data),
+sup AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS row_no, count(*) OVER () AS n_rows FROM st
+  WHERE aqi_h1 IS NOT NULL AND aqi_h7 IS NOT NULL AND aqi_h30 IS NOT NULL),
+split AS (SELECT *, CASE WHEN row_no < floor(n_rows * 0.8e0) THEN 'train' ELSE 'test' END AS split FROM sup),
+fit AS (""" + " UNION ALL ".join(
+    f"SELECT {h} AS horizon, regr_slope(aqi_h{h}, PM2_5) AS b, regr_intercept(aqi_h{h}, PM2_5) AS a "
+    "FROM split WHERE split = 'train'" for h in HORIZONS) + """)
+"""
+
+
+def station(spark, sf_dir):
+    return index(spark, sf_dir).select(F.lit("all").alias("series"), "date", "PM2_5", "aqi")
+
+
+def station_split(spark, sf_dir):
+    rows = learn.supervised(station(spark, sf_dir), KEYS, day(), ["PM2_5"], ["aqi"], HORIZONS)
+    return learn.split_by_time(rows, KEYS, day())
+
+
+def _fitted(spark, sf_dir, names=("LinearRegression",), **sizes):
+    frame = station_split(spark, sf_dir)
+    return frame, learn.train(frame, ["PM2_5"], ["aqi"], HORIZONS, names, **sizes)
+
+
+_PREDICTED_SQL = " UNION ALL ".join(
+    f"""SELECT CAST({h} AS INTEGER) AS horizon, date, split, aqi_h{h} AS y, round(a + b * PM2_5, 4) AS yhat
+    FROM split, fit WHERE fit.horizon = {h}""" for h in HORIZONS)
+
+
+@query("M5_least_squares_fit", _STATION_SQL + """SELECT CAST(horizon AS INTEGER) AS horizon, round(a, 4) AS intercept,
+  round(b, 6) AS slope FROM fit""")
+def least_squares_fit(spark, sf_dir):
+    _, fitted = _fitted(spark, sf_dir)
+    rows = []
+    for (h, _), f in fitted.items():
+        b_scaled, a_scaled = float(f.models["aqi"].coefficients[0]), float(f.models["aqi"].intercept)
+        (cx, sx), (cy, sy) = f.scale_x.params["PM2_5"], f.scale_y.params["aqi"]
+        slope = b_scaled * sy / sx
+        rows.append((h, round(cy + a_scaled * sy - slope * cx, 4), round(slope, 6)))
+    return spark.createDataFrame(rows, "horizon int, intercept double, slope double")
+
+
+@query("M5_all_learners")
+def all_learners(spark, sf_dir):
+    """Every learner at a small size; fitted values differ by implementation, so there is no SQL."""
+    frame, fitted = _fitted(spark, sf_dir, learn.LEARNERS, trees=10, depth=5, rounds=5, round_depth=3)
+    return learn.metrics(learn.predictions(frame, fitted.values()))
+
+
+@query("M6_batch_prediction", _STATION_SQL + _PREDICTED_SQL)
+def batch_prediction(spark, sf_dir):
+    frame, fitted = _fitted(spark, sf_dir)
+    parts = [
+        f.predict(frame).select(F.lit(h).alias("horizon"), "date", "split", F.col(f"aqi_h{h}").alias("y"),
+                                F.round("aqi_pred", 4).alias("yhat"))
+        for (h, _), f in fitted.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("M10_saved_models", _STATION_SQL + _PREDICTED_SQL)
+def saved_models(spark, sf_dir):
+    frame, fitted = _fitted(spark, sf_dir)
+    path = scratch(spark, "models")
+    learn.save(spark, {(h, 1): f for (h, _), f in fitted.items()}, path)
+    parts = [
+        f.predict(frame).select(F.lit(h).alias("horizon"), "date", "split", F.col(f"aqi_h{h}").alias("y"),
+                                F.round("aqi_pred", 4).alias("yhat"))
+        for (h, _), f in sorted(learn.load(spark, path).items(), key=lambda x: x[0])]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# --- scores of naive forecasts -----------------------------------------------------------------------
+
+def naive(spark, sf_dir):
+    """Today's value and the training mean as forecasts of every target and horizon."""
+    rows = split_rows(spark, sf_dir)
+    train_only = [F.avg(F.when(F.col("split") == "train", F.col(t))).alias(t) for t in TARGETS]
+    means = rows.agg(F.struct(*train_only)).scalar()
+    pairs = F.array(*[
+        F.struct(F.lit(h).alias("horizon"), F.lit(model).alias("model"), F.lit(t).alias("target"),
+                 F.col(f"{t}_h{h}").alias("y"), guess.alias("yhat"))
+        for h in HORIZONS for t in TARGETS
+        for model, guess in (("today", F.coalesce(F.col(t), means.getField(t))), ("mean", means.getField(t)))])
+    return rows.select("split", F.inline(pairs))
+
+
+NAIVE_SQL = SUPERVISED_SQL + ", pred AS (" + " UNION ALL ".join(
+    f"""SELECT split, CAST({h} AS INTEGER) AS horizon, '{m}' AS model, '{t}' AS target, {t}_h{h} AS y, {g} AS yhat
+    FROM split""" for h in HORIZONS for t in TARGETS for m, g in (
+        ("today", f"coalesce({t}, (SELECT avg({t}) FROM split WHERE split = 'train'))"),
+        ("mean", f"(SELECT avg({t}) FROM split WHERE split = 'train')"))) + """),
+one AS (SELECT horizon, model, target, split, sqrt(avg((y - yhat) * (y - yhat))) AS rmse, avg(abs(y - yhat)) AS mae,
+  1 - sum((y - yhat) * (y - yhat)) / sum((y - m) * (y - m)) AS r2, abs(avg(y)) AS level, stddev_pop(y) AS sd
+  FROM (SELECT *, avg(y) OVER (PARTITION BY horizon, model, target, split) AS m FROM pred) GROUP BY 1, 2, 3, 4),
+met AS (SELECT a.horizon, a.model, a.target, a.rmse AS rmse_train, a.mae AS mae_train, a.r2 AS r2_train,
+  b.rmse AS rmse_test, b.mae AS mae_test, b.r2 AS r2_test,
+  b.rmse / CASE WHEN b.level > 1e-6 THEN b.level WHEN b.sd > 1e-6 THEN b.sd ELSE 1 END AS normalized_rmse_test,
+  b.mae / CASE WHEN b.level > 1e-6 THEN b.level WHEN b.sd > 1e-6 THEN b.sd ELSE 1 END AS normalized_mae_test
+  FROM one a JOIN one b ON a.horizon = b.horizon AND a.model = b.model AND a.target = b.target
+  WHERE a.split = 'train' AND b.split = 'test'),
+score AS (SELECT horizon, model, sum(w * r2_test) / sum(w) AS overall_r2_test,
+  sum(w * normalized_rmse_test) / sum(w) AS overall_rmse_test, 0e0 AS aqi_r2_test
+  FROM (SELECT *, CASE target WHEN 'PM2_5' THEN 2e0 ELSE 1e0 END AS w FROM met) GROUP BY 1, 2)
+"""
+_METRICS = ("rmse_train", "mae_train", "r2_train", "rmse_test", "mae_test", "r2_test", "normalized_rmse_test",
+            "normalized_mae_test")
+
+
+@query("M7_metrics", NAIVE_SQL + "SELECT horizon, model, target, " + ", ".join(
+    f"round({m}, 4) AS {m}" for m in _METRICS) + " FROM met")
+def metrics(spark, sf_dir):
+    return r6(learn.metrics(naive(spark, sf_dir)), digits=4)
+
+
+@query("M8_weighted_scores", NAIVE_SQL + """SELECT horizon, model, round(overall_r2_test, 4) AS overall_r2_test,
+  round(overall_rmse_test, 4) AS overall_rmse_test, aqi_r2_test FROM score""")
+def weighted_scores(spark, sf_dir):
+    return r6(learn.weighted_scores(learn.metrics(naive(spark, sf_dir))), digits=4)
+
+
+@query("M9_leaderboard", NAIVE_SQL + """SELECT horizon, model, round(overall_r2_test, 4) AS overall_r2_test,
+  CAST(row_number() OVER (PARTITION BY horizon ORDER BY overall_r2_test DESC, model) AS INTEGER) AS rank FROM score""")
+def leaderboard(spark, sf_dir):
+    scores = learn.weighted_scores(learn.metrics(naive(spark, sf_dir)))
+    return r6(learn.leaderboard(scores).select("horizon", "model", "overall_r2_test", "rank"), digits=4)
+
+
+# --- forecast requests -----------------------------------------------------------------------------------
+
+@query("M11_horizon_choice", """WITH d AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS date,
+  CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) * l_linenumber AS INTEGER) AS days
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT *, CAST(CASE WHEN days = 1 THEN 1 WHEN days IN (7, 30, 365) THEN days WHEN days > 365 THEN 365 WHEN days > 60 THEN 365
+  WHEN days > 30 THEN 30 WHEN days > 14 THEN 30 WHEN days > 7 THEN 7 WHEN days > 3 THEN 7 ELSE 1 END AS INTEGER) AS horizon,
+  days IN (2, 3) AS recursive FROM d""")
+def horizon_choice(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").join(
+        table(spark, sf_dir, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    days = (F.datediff("l_shipdate", "o_orderdate") * F.col("l_linenumber")).alias("days")
+    return lines.select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("date"), days).select(
+        "*", *[c.alias(n) for n, c in forecast.choose_horizon(F.col("days")).items()])
+
+
+# History and requests moved to late 2025, where the fixed base day lies.
+_SHIFT = 8800
+
+
+@query("M12_base_day_choice", INDEX_SQL + f""", hist AS (SELECT date + {_SHIFT} AS date FROM aqi_data),
+req AS (SELECT DISTINCT CAST(l_shipdate AS DATE) + {_SHIFT} + l_linenumber * 10 AS forecast_date FROM lineitem),
+based AS (SELECT forecast_date, CASE WHEN forecast_date <= (SELECT max(date) FROM hist) THEN forecast_date - 1
+  WHEN forecast_date BETWEEN DATE '2025-11-05' AND DATE '2025-12-31' AND DATE '2025-11-05' <= (SELECT max(date) FROM hist)
+    THEN DATE '2025-11-05' ELSE (SELECT max(date) FROM hist) END AS base_date FROM req)
+SELECT forecast_date, base_date, CAST(forecast_date - base_date AS INTEGER) AS days_ahead FROM based
+WHERE base_date IN (SELECT date FROM hist)""")
+def base_day_choice(spark, sf_dir):
+    history = index(spark, sf_dir).select(F.date_add("date", _SHIFT).alias("date"))
+    requests = table(spark, sf_dir, "lineitem").select(F.date_add(
+        F.col("l_shipdate").cast("date"), F.lit(_SHIFT) + F.col("l_linenumber") * 10).alias("forecast_date")).distinct()
+    return forecast.plan_requests(requests, history).select("forecast_date", "base_date", "days_ahead")
+
+
+def _requests(spark, sf_dir):
+    dates = table(spark, sf_dir, "orders").select(
+        F.date_add(F.col("o_orderdate").cast("date"), 120).alias("forecast_date")).distinct()
+    return forecast.plan_requests(dates, station(spark, sf_dir))
+
+
+_REQUESTS_SQL = """, lastday AS (SELECT max(date) AS d FROM aqi_data),
+based AS (SELECT forecast_date, CASE WHEN forecast_date <= d THEN forecast_date - 1 ELSE d END AS base_date FROM
+  (SELECT DISTINCT CAST(o_orderdate AS DATE) + 120 AS forecast_date FROM orders), lastday),
+req AS (SELECT *, CAST(forecast_date - base_date AS INTEGER) AS days_ahead FROM based
+  WHERE base_date IN (SELECT date FROM aqi_data)),
+reqh AS (SELECT *, CASE WHEN days_ahead <= 3 THEN 1 WHEN days_ahead <= 14 THEN 7 WHEN days_ahead <= 60 THEN 30 ELSE 365 END
+  AS horizon FROM req)
+"""
+
+
+@query("M13_direct_forecast", _STATION_SQL + _REQUESTS_SQL + """SELECT forecast_date, base_date, days_ahead,
+  CAST(horizon AS INTEGER) AS horizon, round(least(greatest(a + b * PM2_5, 0), 500), 4) AS aqi_pred
+FROM reqh JOIN fit USING (horizon) JOIN aqi_data ON aqi_data.date = base_date WHERE days_ahead NOT IN (2, 3)""")
+def direct_forecast(spark, sf_dir):
+    _, fitted = _fitted(spark, sf_dir)
+    requests = _requests(spark, sf_dir).filter(~F.col("recursive"))
+    out = forecast.direct(
+        requests, station(spark, sf_dir).drop("series", "aqi"), {h: f for (h, _), f in fitted.items()})
+    return r6(out.drop("recursive"), digits=4)
+
+
+_LAGGED_SQL = INDEX_SQL + """, st AS (SELECT date, PM2_5, lag(PM2_5) OVER (ORDER BY date) AS PM2_5_lag1,
+  lead(PM2_5) OVER (ORDER BY date) AS y FROM aqi_data),
+filled AS (SELECT * REPLACE (coalesce(PM2_5_lag1, (SELECT avg(PM2_5_lag1) FROM st)) AS PM2_5_lag1) FROM st),
+sup AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS row_no, count(*) OVER () AS n_rows FROM filled
+  WHERE y IS NOT NULL),
+fit AS (SELECT regr_slope(y, PM2_5_lag1) AS b, regr_intercept(y, PM2_5_lag1) AS a FROM sup
+  WHERE row_no < floor(n_rows * 0.8e0))
+"""
+
+
+@query("M14_recursive_forecast", _LAGGED_SQL + """, one AS (SELECT date, a, b, a + b * PM2_5_lag1 AS d1 FROM filled, fit)
+SELECT date AS base_date, round(d1, 4) AS PM2_5_d1, round(a + b * d1, 4) AS PM2_5_d2,
+  round(a + b * (a + b * d1), 4) AS PM2_5_d3 FROM one""")
+def recursive_forecast(spark, sf_dir):
+    days = windows.with_lags(station(spark, sf_dir), KEYS, day(), ["PM2_5"], (1,))
+    rows = learn.supervised(days, KEYS, day(), ["PM2_5_lag1"], ["PM2_5"], (1,))
+    fitted = learn.train(learn.split_by_time(rows, KEYS, day()), ["PM2_5_lag1"], ["PM2_5"], (1,), ("LinearRegression",))
+    base = clean.fill_with_means(days, ["PM2_5_lag1"])
+    return r6(forecast.recursive(base, fitted[1, "LinearRegression"], 3), digits=4)
+
+
+@query("M15_feature_fallback", AIR_SQL + """SELECT l_orderkey, l_linenumber,
+  round(coalesce(PM2_5, PM10, (SELECT avg(PM2_5) FROM air), 0), 6) AS PM2_5,
+  round(coalesce(SO2_column, (SELECT avg(SO2_column) FROM air), 0), 6) AS SO2_column FROM air""")
+def feature_fallback(spark, sf_dir):
+    out = forecast.fill_features(air(spark, sf_dir), ["PM2_5", "SO2_column"], {"PM2_5": F.col("PM10")})
+    return r6(out.select("l_orderkey", "l_linenumber", "PM2_5", "SO2_column"))
+
+
+@query("M16_back_test", INDEX_SQL + _REQUESTS_SQL + """, p AS (SELECT forecast_date, base_date,
+  least(greatest(b.aqi * 1.05e0, 0), 500) AS predicted FROM reqh JOIN aqi_data b ON b.date = base_date)
+SELECT forecast_date, base_date, round(predicted, 6) AS predicted, aqi AS actual, round(abs(predicted - aqi), 6) AS error,
+  round(abs(predicted - aqi) * 100e0 / aqi, 6) AS error_pct FROM p LEFT JOIN aqi_data ON date = forecast_date""")
+def back_test(spark, sf_dir):
+    history = station(spark, sf_dir)
+    base = history.select(F.col("date").alias("base_date"), clip(F.col("aqi") * 1.05, 0.0, 500.0).alias("predicted"))
+    forecasts = _requests(spark, sf_dir).join(base, "base_date").select("forecast_date", "base_date", "predicted")
+    return r6(forecast.back_test(forecasts, history))

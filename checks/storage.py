@@ -1 +1,283 @@
+"""Sources, sinks and whole jobs (S, K, E rows) on files written from the given tables."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks import query
+from checks.aggregates import e2
+from checks.bindings import AIR_SQL, HEALTH_SQL, INDEX_SQL, air, health, index, r6, table
+from checks.learning import HORIZONS, NAIVE_SQL, TARGETS, naive, split_rows
+from hazegrid import catalog
+from hazegrid.functions.numeric import lookup
+from hazegrid.operators import learn, reports, sinks, stats
+from hazegrid.plans import analysis, preprocess, training
+from hazegrid.session import scratch, stage
+from hazegrid.sources import series_files, tables
+
+# Which series a test table stands in for; the name decides feature and cadence.
+HOURLY = {
+    "view": "M2T1NXAER_5_12_4_TOTSMASS25", "signup": "M2T1NXAER_5_12_4_SO2SMASS", "click": "M2T1NXSLV_5_12_4_TS",
+    "error": "M2T1NXSLV_5_12_4_U10M", "purchase": "M2T1NXSLV_5_12_4_V10M",
+}
+_written: dict = {}
+
+
+def file_rows(spark, sf_dir):
+    """(file, variable, ts, value): events by hour as five hourly series and as rainfall; gaps every midnight."""
+    hours = table(spark, sf_dir, "events").groupBy(
+        F.col("event_type"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts")).agg(
+        F.round(F.avg("value"), 6).alias("value"))
+    token = lookup(F.col("event_type"), HOURLY)
+    sensors = hours.select(
+        F.concat(F.lit("g4.areaAvgTimeSeries."), token, F.lit(".20240101-20240130.csv")).alias("file"),
+        token.alias("variable"), "ts", F.when(F.hour("ts") != 0, F.col("value")).alias("value"))
+    second = sensors.filter(F.col("variable") == HOURLY["view"]).withColumn(
+        "file", F.regexp_replace("file", "20240101", "20240102")).withColumn("value", F.lit(-1.0))
+    rain = hours.filter(F.col("event_type") == "view").select(
+        F.lit("hanoi.precipitation.csv").alias("file"), F.lit("rain").alias("variable"), "ts",
+        (F.col("value") / 10.0).alias("value"))
+    return sensors.unionByName(second).unionByName(rain)
+
+
+def files(spark, sf_dir) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        _written[key] = scratch(spark, "series")
+        series_files.write_series(file_rows(spark, sf_dir), _written[key])
+    return _written[key]
+
+
+_FEATURES = {catalog.SERIES[t][0]: e for e, t in HOURLY.items()}
+SERIES_SQL = f"""
+WITH h AS (SELECT event_type, date_trunc('hour', ts) AS ts, round(avg(value), 6) AS value FROM events GROUP BY 1, 2),
+series AS (SELECT CASE event_type {' '.join(f"WHEN '{e}' THEN '{f}'" for f, e in _FEATURES.items())} END AS feature,
+  CAST(ts AS TIMESTAMP) AS ts, CASE WHEN hour(ts) <> 0 THEN value END AS value FROM h
+  UNION ALL SELECT 'precipitation', CAST(ts AS TIMESTAMP), value / 10e0 FROM h WHERE event_type = 'view')
+"""
+
+
+@query("S1_series_files", SERIES_SQL + "SELECT feature, ts, round(coalesce(value, 1e15), 6) AS value FROM series")
+def read_series(spark, sf_dir):
+    raw = series_files.read_series(spark, files(spark, sf_dir))
+    return r6(raw.select("feature", "ts", "value"))
+
+
+@query("S2_declared_fill_values", SERIES_SQL + """SELECT feature, count(*) AS n, count(*) - count(value) AS filled,
+  1e15 AS fill_value FROM series GROUP BY feature""")
+def declared_fill_values(spark, sf_dir):
+    raw = series_files.read_series(spark, files(spark, sf_dir))
+    return raw.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") == F.col("fill_value")).alias("filled"),
+        F.max("fill_value").alias("fill_value"))
+
+
+@query("S3_first_file_per_feature", f"""SELECT * FROM (VALUES {', '.join(
+    f"('{catalog.SERIES[t][0]}', 'g4.areaAvgTimeSeries.{t}.20240101-20240130.csv')" for t in HOURLY.values())},
+    ('precipitation', 'hanoi.precipitation.csv')) t(feature, file)""")
+def first_file_per_feature(spark, sf_dir):
+    return series_files.chosen_files(series_files._lines(spark, files(spark, sf_dir)))
+
+
+@query("S4_cadence_of_series", SERIES_SQL + """SELECT feature, count(*) AS n_rows, CASE WHEN feature = 'precipitation'
+  AND count(*) <= 1000 THEN 'daily' ELSE 'hourly' END AS resolution FROM series GROUP BY feature""")
+def cadence_of_series(spark, sf_dir):
+    return series_files.cadence(series_files.read_series(spark, files(spark, sf_dir)))
+
+
+_LAYOUT = ("date", "year", "month", "season", "PM2_5", "aqi", "aqi_category")
+
+
+@query("S5_processed_csv", INDEX_SQL + f"SELECT {', '.join(_LAYOUT)} FROM aqi_data")
+def processed_csv(spark, sf_dir):
+    path = scratch(spark, "csv")
+    sinks.write_table(index(spark, sf_dir).select(*_LAYOUT), path, "csv")
+    return tables.read_daily(spark, path, _LAYOUT)
+
+
+@query("S6_sql_tables", HEALTH_SQL + """SELECT a.season, count(*) AS days, round(avg(a.aqi), 6) AS avg_aqi,
+  round(avg(h.total_cases), 6) AS avg_cases FROM aqi_data a JOIN health_data h USING (date) GROUP BY a.season""")
+def sql_tables(spark, sf_dir):
+    tables.register(spark, aqi_data=index(spark, sf_dir), health_data=health(spark, sf_dir))
+    return spark.sql("""
+        SELECT a.season, count(*) AS days, round(avg(a.aqi), 6) AS avg_aqi, round(avg(h.total_cases), 6) AS avg_cases
+        FROM aqi_data a JOIN health_data h USING (date) GROUP BY a.season""")
+
+
+_MODEL_SQL = NAIVE_SQL + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY horizon ORDER BY overall_r2_test DESC,
+  model) AS rank FROM score)
+SELECT horizon, 'model' || rank AS model_idx, model AS model_name, 'PM10' AS features, 'PM2_5,wind_u10m' AS targets,
+  round(overall_r2_test, 4) AS overall_r2_test, round(overall_rmse_test, 4) AS overall_rmse_test, aqi_r2_test,
+  (SELECT count(*) FROM split WHERE split = 'train') AS train_size,
+  (SELECT count(*) FROM split WHERE split = 'test') AS test_size FROM ranked"""
+
+
+def _model_metadata(spark, sf_dir):
+    path = scratch(spark, "metadata")
+    board = learn.leaderboard(learn.weighted_scores(learn.metrics(naive(spark, sf_dir))))
+    sinks.write_json(training.metadata(board, ["PM10"], TARGETS, split_rows(spark, sf_dir)), path)
+    return path
+
+
+def _flat(df):
+    return r6(df.select(
+        "horizon", "model_idx", "model_name", F.array_join("feature_names", ",").alias("features"),
+        F.array_join("targets", ",").alias("targets"), "overall_r2_test", "overall_rmse_test", "aqi_r2_test",
+        "train_size", "test_size"), digits=4)
+
+
+@query("S7_model_metadata", _MODEL_SQL)
+def model_metadata(spark, sf_dir):
+    # One document per file, as models are described one by one.
+    path = scratch(spark, "documents")
+    lines = spark.read.text(_model_metadata(spark, sf_dir))
+    lines.repartition(6, "value").write.option("maxRecordsPerFile", 1).text(path)
+    return _flat(tables.read_model_metadata(spark, path))
+
+
+@query("K1_two_checkpoints", INDEX_SQL + f"""SELECT 'before' AS state, {', '.join(_LAYOUT)} FROM aqi_data
+UNION ALL SELECT 'after', {', '.join(_LAYOUT)} FROM aqi_data""")
+def two_checkpoints(spark, sf_dir):
+    df = index(spark, sf_dir).select(*_LAYOUT)
+    before, after = scratch(spark, "before"), scratch(spark, "after")
+    sinks.write_table(df, before, "csv")
+    sinks.write_table(df, after)
+    states = [tables.read_daily(spark, before, _LAYOUT).select(F.lit("before").alias("state"), "*"),
+              tables.read_daily(spark, after).select(F.lit("after").alias("state"), "*")]
+    return states[0].unionByName(states[1])
+
+
+@query("K2_replaced_table", INDEX_SQL + "SELECT date, aqi, aqi_category FROM aqi_data")
+def replaced_table(spark, sf_dir):
+    name = "hazegrid_index"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    sinks.replace_table(index(spark, sf_dir).select("date"), name, scratch(spark, "table"))
+    spark.sql(f"DROP TABLE {name}")
+    sinks.replace_table(index(spark, sf_dir).select("date", "aqi", "aqi_category"), name, scratch(spark, "table"))
+    return spark.table(name)
+
+
+@query("K3_appended_results", AIR_SQL + f""", c AS (SELECT series, year, avg(aqi) AS m FROM air GROUP BY 1, 2)
+SELECT 'trend' AS analysis_type, (SELECT count(*) FROM (SELECT DISTINCT year FROM air)) AS n,
+  (SELECT {e2('avg(aqi)')} FROM air WHERE year = 1997) AS sample
+UNION ALL SELECT 'seasons', 4, (SELECT {e2('avg(aqi)')} FROM air WHERE season = 2)""")
+def appended_results(spark, sf_dir):
+    path, df = scratch(spark, "results"), air(spark, sf_dir)
+    parts = {
+        "trend": sinks.records_json(stats.yearly_index(df), "year"),
+        "seasons": sinks.records_json(stats.season_stats(df), "season")}
+    for kind, result in parts.items():
+        sinks.append_result(sinks.analysis_row(result, kind, F.lit(kind)), path)
+    saved = spark.read.parquet(path)
+    sample = F.when(F.col("analysis_type") == "trend", F.get_json_object("results_json", "$.1997.mean")).otherwise(
+        F.get_json_object("results_json", "$.2.aqi_mean"))
+    return saved.select("analysis_type", F.size(F.json_object_keys("results_json")).cast("long").alias("n"),
+                        sample.cast("double").alias("sample"))
+
+
+@query("K4_reloaded_trends", AIR_SQL + f"""SELECT year, {e2('avg(aqi)')} AS aqi_avg, {e2('max(aqi)')} AS aqi_max,
+  {e2('min(aqi)')} AS aqi_min, {e2('avg(PM2_5)')} AS pm2_5_avg, {e2('avg(PM10)')} AS pm10_avg,
+  {e2('avg(temperature_mean)')} AS temperature_avg, {e2('avg(humidity)')} AS humidity_avg,
+  {e2('avg(wind_speed)')} AS wind_speed_avg FROM air GROUP BY year""")
+def reloaded_trends(spark, sf_dir):
+    path = scratch(spark, "trends")
+    sinks.reload_trends(air(spark, sf_dir).limit(0), path)
+    sinks.reload_trends(air(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@query("K5_flat_json", AIR_SQL + f"""SELECT aqi_category, {e2('avg(PM2_5)')} AS pm25, {e2('max(aqi)')} AS top,
+  count(PM2_5) = 0 AS no_pm25 FROM air GROUP BY aqi_category""")
+def flat_json(spark, sf_dir):
+    by_category = stats.grouped_stats(air(spark, sf_dir), "aqi_category", {
+        "PM2_5_mean": F.avg("PM2_5"), "aqi_max": F.max("aqi")})
+    flat = sinks.records_json(by_category, "aqi_category")
+    kind = "map<string, struct<PM2_5_mean: double, aqi_max: double>>"
+    return flat.select(F.explode(F.from_json("results_json", kind))).select(
+        F.col("key").alias("aqi_category"), F.col("value.PM2_5_mean").alias("pm25"),
+        F.col("value.aqi_max").alias("top"), F.col("value.PM2_5_mean").isNull().alias("no_pm25"))
+
+
+@query("K6_dataset_metadata", INDEX_SQL + """SELECT count(*) AS records, CAST(min(date) AS VARCHAR) AS date_min,
+  CAST(max(date) AS VARCHAR) AS date_max FROM aqi_data""")
+def dataset_metadata(spark, sf_dir):
+    path = scratch(spark, "facts")
+    sinks.write_json(sinks.dataset_metadata(index(spark, sf_dir)), path)
+    return spark.read.schema("records long, date_min string, date_max string").json(path)
+
+
+@query("K7_model_metrics", _MODEL_SQL)
+def model_metrics(spark, sf_dir):
+    return _flat(tables.read_model_metadata(spark, _model_metadata(spark, sf_dir), documents=False))
+
+
+# --- whole jobs --------------------------------------------------------------------------------------------
+
+def raw_series(spark, sf_dir):
+    """Lineitem by day (dew point by month) as the series of two stations, one per line status."""
+    li = table(spark, sf_dir, "lineitem")
+    roles = {
+        "PM2_5": F.col("l_quantity") * 1.3e-9, "NO2_trop": F.col("l_extendedprice") * 1e11,
+        "SO2_column": F.col("l_discount") * 12.0, "O3": F.col("l_quantity") * 9.0, "CO": F.col("l_tax") * 7000.0,
+        "temperature_mean": F.col("l_quantity") * 0.3 + 285.0, "wind_u10m": F.col("l_discount") * 100.0 - 5.0,
+        "wind_v10m": F.col("l_tax") * 100.0 - 4.0}
+    tall = li.select(F.col("l_linestatus").alias("station"), F.col("l_shipdate").alias("ts"), F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), v.alias("value")) for f, v in roles.items()])))
+    daily = tall.groupBy("station", "feature", "ts").agg(F.avg("value").alias("value"))
+    dew = li.groupBy(F.col("l_linestatus").alias("station"), F.date_trunc("month", "l_shipdate").alias("ts")).agg(
+        (F.avg("l_quantity") * 0.25 + 280.0).alias("value")).select(
+        "station", F.lit("dew_point").alias("feature"), F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+    return daily.unionByName(dew)
+
+
+RESOLUTIONS = {"PM2_5": "daily", "NO2_trop": "daily", "SO2_column": "daily", "O3": "daily", "CO": "daily",
+               "temperature_mean": "daily", "wind_u10m": "daily", "wind_v10m": "daily", "dew_point": "monthly"}
+_tables: dict = {}
+
+
+def processed(spark, sf_dir):
+    """The finished daily table of both stations, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _tables:
+        _, done = preprocess.daily_table(
+            raw_series(spark, sf_dir), ["station"], RESOLUTIONS, "1995-02-01", "2001-08-01")
+        _tables[key] = stage(done, "processed")
+    return _tables[key]
+
+
+@query("E1_preprocess")
+def preprocess_job(spark, sf_dir):
+    return processed(spark, sf_dir)
+
+
+@query("E1_preprocess_files")
+def preprocess_files(spark, sf_dir):
+    """From text files to the daily table."""
+    return preprocess.preprocess(spark, files(spark, sf_dir), "2024-01-01", "2024-01-30")[1]
+
+
+@query("E2_analyses")
+def analyses(spark, sf_dir):
+    return analysis.all_results(processed(spark, sf_dir))
+
+
+@query("E2_chart_tables")
+def chart_tables(spark, sf_dir):
+    made = analysis.charts(processed(spark, sf_dir))
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("chart"), "n_rows")
+             for name, df in made.items()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query("E3_train_and_rank")
+def train_and_rank(spark, sf_dir):
+    frame, features, targets = training.prepared(
+        processed(spark, sf_dir), ["station"], ("aqi", "PM2_5"), HORIZONS)
+    frame = stage(frame, "supervised")
+    _, _, board = training.train_and_rank(
+        frame, features, targets, HORIZONS[:2], ("RandomForest", "Ridge", "Lasso", "LinearRegression"),
+        trees=10, depth=5)
+    return board

@@ -19,6 +19,7 @@ from hazegrid.functions.numeric import lookup, ratio
 from hazegrid.operators import chunks, clean
 from hazegrid.operators.quantiles import exact_quantiles
 from hazegrid.operators.windows import lead_name, with_leads
+from hazegrid.session import stage
 
 
 # --- the supervised table -----------------------------------------------------------
@@ -103,7 +104,7 @@ def learners(n: int, label_std: float, trees: int = 200, depth: int = 30, rounds
     }
 
 
-LEARNERS = tuple(learners(1, 1.0))
+LEARNERS = ("RandomForest", "GradientBoosting", "Ridge", "Lasso", "LinearRegression")
 _MODEL_CLASSES = {
     "RandomForest": RandomForestRegressionModel, "GradientBoosting": GBTRegressionModel,
     "Ridge": LinearRegressionModel, "Lasso": LinearRegressionModel,
@@ -151,8 +152,9 @@ def train(frame: DataFrame, features, targets, horizons, names=LEARNERS, threads
     The fits themselves are distributed; a few of them are started side by
     side from the driver.
     """
-    rows = frame.filter(F.col("split") == "train")
     labels = [lead_name(t, h) for h in horizons for t in targets]
+    # Read several times below, so the windows behind it are evaluated once.
+    rows = stage(frame.filter(F.col("split") == "train").select(*dict.fromkeys([*features, *labels])), "train")
     scale = RobustScale.fit(rows, list(features) + labels)
     ready = assembled(rows, features, scale).select("_x", *[scale.scaled(y).alias(y) for y in labels]).persist()
     facts = ready.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(y).alias(y) for y in labels]).first()

@@ -32,13 +32,17 @@ def register(spark: SparkSession, **tables: DataFrame) -> None:
         df.createOrReplaceTempView(name)
 
 
-def read_model_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row per saved model: horizon, rank, name, scores, feature and target lists."""
+def read_model_metadata(spark: SparkSession, path: str, documents: bool = True) -> DataFrame:
+    """One row per saved model: horizon, rank, name, scores, feature and target lists.
+
+    `documents` says that each file is one JSON document, else one per line.
+    """
     score = "struct<overall_r2_test:double,overall_rmse_test:double,aqi_r2_test:double>"
     schema = (
         "horizon int, model_name string, model_idx string, feature_names array<string>, "
         f"targets array<string>, metrics {score}, train_size long, test_size long"
     )
-    raw = spark.read.schema(schema).json(path, multiLine=True, recursiveFileLookup=True)
+    raw = spark.read.schema(schema).json(
+        path, multiLine=documents, recursiveFileLookup=True)
     return raw.filter("model_name IS NOT NULL").select(
         "horizon", "model_idx", "model_name", "feature_names", "targets", "metrics.*", "train_size", "test_size")
