@@ -63,8 +63,9 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
         before = group.orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         if digit == "_d1":
-            last = F.sum("_n").over(group) - 1
-            counts = counts.withColumn("n", last + 1).withColumn("_want", F.array(*[
+            counts = counts.withColumn("n", F.sum("_n").over(group))
+            last = F.col("n") - 1
+            counts = counts.withColumn("_want", F.array(*[
                 F.struct(
                     F.lit(i).alias("i"), F.lit(side).alias("side"),
                     bound(F.lit(float(p)) * last).cast("long").alias("rank"),
@@ -72,24 +73,21 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
                 )
                 for i, p in enumerate(probs) for side, bound in ((0, F.floor), (1, F.ceil))
             ]))
-        end = F.col("_below") + F.col("_n")
-        mine = F.filter("_want", lambda w: (w["rank"] >= F.col("_below")) & (w["rank"] < end))
-        moved = F.transform(mine, lambda w: w.withField("rank", w["rank"] - F.col("_below")))
+        # Wanted ranks count from the start of the bucket, so that the next level
+        # finds them among its own rows.
+        moved = F.expr("transform(filter(_want, w -> w.rank >= _below AND w.rank < _below + _n), "
+                       "w -> struct(w.i, w.side, w.rank - _below AS rank, w.part))")
         return counts.withColumn("_want", moved).filter(F.size("_want") > 0).drop("_n", "_below")
 
-    known = list(names)
-    found = None
+    # A bucket carries the ranks wanted from it along: they are part of the
+    # grouping key, so that a level reads the one before it exactly once.
+    known, carried, found = list(names), [], None
     for digit in ("_d1", "_d2", "_d3"):
         measure = [F.count("_v").alias("_n")] + ([F.min("_v").alias("_value")] if digit == "_d3" else [])
-        if found is None:
-            counts = rows.groupBy(*known, digit).agg(*measure)
-        else:
-            counts = (
-                rows.join(small(found.select(*known)), known, "left_semi")
-                .groupBy(*known, digit).agg(*measure).join(small(found), known)
-            )
+        hit = rows if found is None else rows.join(small(found), known)
+        counts = hit.groupBy(*known, digit, *carried).agg(*measure)
         found = hits(counts.filter("_n > 0"), known, digit)
-        known = known + [digit]
+        known, carried = known + [digit], ["n", "_want"]
     ends = found.select(*names, "n", "_value", F.inline("_want"))
     each = ends.groupBy(*names, "n", "i").agg(
         F.max(F.when(F.col("side") == 0, F.col("_value"))).alias("low"),
