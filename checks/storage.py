@@ -12,7 +12,7 @@ from hazegrid import catalog
 from hazegrid.functions.numeric import lookup
 from hazegrid.operators import learn, reports, sinks, stats
 from hazegrid.plans import analysis, preprocess, training
-from hazegrid.session import scratch, stage
+from hazegrid.session import scratch, spread, stage
 from hazegrid.sources import series_files, tables
 
 # Which series a test table stands in for; the name decides feature and cadence.
@@ -215,7 +215,7 @@ def model_metrics(spark, sf_dir):
 
 def raw_series(spark, sf_dir):
     """Lineitem by day (dew point by month) as the series of two stations, one per line status."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     roles = {
         "PM2_5": F.col("l_quantity") * 1.3e-9, "NO2_trop": F.col("l_extendedprice") * 1e11,
         "SO2_column": F.col("l_discount") * 12.0, "O3": F.col("l_quantity") * 9.0, "CO": F.col("l_tax") * 7000.0,
@@ -239,8 +239,9 @@ def processed(spark, sf_dir):
     """The finished daily table of both stations, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _tables:
+        raw = stage(raw_series(spark, sf_dir), "series")
         _, done = preprocess.daily_table(
-            raw_series(spark, sf_dir), ["station"], RESOLUTIONS, "1995-02-01", "2001-08-01")
+            raw, ["station"], RESOLUTIONS, "1995-02-01", "2001-08-01")
         _tables[key] = stage(done, "processed")
     return _tables[key]
 

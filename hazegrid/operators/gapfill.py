@@ -11,9 +11,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from hazegrid.functions.numeric import clip, percent
+from hazegrid.functions.numeric import clip
 from hazegrid.operators import chunks
 
 
@@ -23,13 +23,13 @@ class Fill:
 
     reach     a cell is interpolated when at most this many rows from a present
               value on either side; None is no limit, 0 no interpolation. The
-              slope always spans the whole gap. May be a column.
+              slope always spans the whole gap. May be a SQL expression.
     carry     afterwards a still missing cell takes the last filled value at
               most this many rows back,
     backward  or else the next one at most this many rows ahead.
     """
 
-    reach: int | Column | None = None
+    reach: int | str | None = None
     carry: int = 0
     backward: bool = True
 
@@ -48,64 +48,65 @@ def neighbours(df: DataFrame, keys, position: Column, columns, length: int = chu
     For column c: `c__pp`, `c__pv` (at or before the row) and `c__np`, `c__nv`
     (at or after it); `_pos` is the row's own position. One small row per
     chunk is ordered over the whole series, the cells only inside chunks.
+
+    Wide tables need hundreds of expressions here, so they are given as SQL
+    text: one call each instead of one per operator.
     """
     keys, columns = list(keys), list(columns)
     df = df.withColumn("_pos", position).withColumn("_chunk", chunks.chunk_of(F.col("_pos"), length))
+    series = ", ".join(f"`{k}`" for k in keys)
+
+    def over(partition: str, order: str, last: str) -> str:
+        return f"OVER (PARTITION BY {partition} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND {last})"
 
-    def at(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.col("_pos"))
+    def at(c: str) -> str:
+        return f"CASE WHEN `{c}` IS NOT NULL THEN _pos END"
 
     ends = df.groupBy(*keys, "_chunk").agg(*[
-        edge for c in columns for edge in (
-            F.min(at(c)).alias(f"{c}__fp"), F.min_by(c, at(c)).alias(f"{c}__fv"),
-            F.max(at(c)).alias(f"{c}__lp"), F.max_by(c, at(c)).alias(f"{c}__lv"),
-        )
+        F.expr(edge) for c in columns for edge in (
+            f"min({at(c)}) AS `{c}__fp`", f"min_by(`{c}`, {at(c)}) AS `{c}__fv`",
+            f"max({at(c)}) AS `{c}__lp`", f"max_by(`{c}`, {at(c)}) AS `{c}__lv`")
     ])
-    series = Window.partitionBy(*keys)
-    earlier = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    later = series.orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*keys, "_chunk", *[
-        F.last(f"{c}__{end}", ignorenulls=True).over(frame).alias(f"{c}__c{out}")
+    earlier = over(series, "_chunk", "1 PRECEDING")
+    later = over(series, "_chunk DESC", "1 PRECEDING")
+    carried = ends.selectExpr(*[f"`{k}`" for k in keys], "_chunk", *[
+        f"last(`{c}__{end}`) IGNORE NULLS {frame} AS `{c}__c{out}`"
         for c in columns
         for end, frame, out in (
             ("lp", earlier, "pp"), ("lv", earlier, "pv"), ("fp", later, "np"), ("fv", later, "nv"))
     ])
-    chunk = Window.partitionBy(*keys, "_chunk")
     # The second frame runs backwards: a frame open towards the end of the
     # partition would be evaluated anew for every row.
-    upto = chunk.orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    down = chunk.orderBy(F.desc("_pos")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = over(f"{series}, _chunk", "_pos", "CURRENT ROW")
+    down = over(f"{series}, _chunk", "_pos DESC", "CURRENT ROW")
     joined = df.join(carried, [*keys, "_chunk"])
-    found = joined.select(*df.columns, *[
-        F.coalesce(F.last(x, ignorenulls=True).over(frame), F.col(f"{c}__c{out}")).alias(f"{c}__{out}")
+    return joined.selectExpr(*[f"`{x}`" for x in df.columns if x != "_chunk"], *[
+        f"coalesce(last({x}) IGNORE NULLS {frame}, `{c}__c{out}`) AS `{c}__{out}`"
         for c in columns
         for x, frame, out in (
-            (at(c), upto, "pp"), (F.col(c), upto, "pv"), (at(c), down, "np"), (F.col(c), down, "nv"))
+            (at(c), upto, "pp"), (f"`{c}`", upto, "pv"), (at(c), down, "np"), (f"`{c}`", down, "nv"))
     ])
-    return found.drop("_chunk")
 
 
 def filled(c: str, rule: Fill) -> Column:
     """Filled value of column c over the output of `neighbours`."""
-    value, pos = F.col(c), F.col("_pos")
-    pp, pv, np, nv = (F.col(f"{c}__{x}") for x in ("pp", "pv", "np", "nv"))
+    value, pp, pv, np, nv = (f"`{c}{x}`" for x in ("", "__pp", "__pv", "__np", "__nv"))
 
-    def line(at: Column) -> Column:
-        span = F.greatest(np - pp, F.lit(1))
-        both = pp.isNotNull() & np.isNotNull()
-        return F.when(both, pv + (nv - pv) * (at - pp) / span).otherwise(F.coalesce(pv, nv))
+    def line(at: str) -> str:
+        return (f"CASE WHEN {pp} IS NOT NULL AND {np} IS NOT NULL THEN {pv} + ({nv} - {pv}) * ({at} - {pp}) "
+                f"/ greatest({np} - {pp}, 1) ELSE coalesce({pv}, {nv}) END")
 
-    case = F.when(value.isNotNull(), value)
+    cases = [f"WHEN {value} IS NOT NULL THEN {value}"]
     if rule.reach is None:
-        return case.otherwise(line(pos))
-    reach = rule.reach if isinstance(rule.reach, Column) else F.lit(rule.reach)
-    back, ahead = pos - pp, np - pos
-    case = case.when((back <= reach) | (ahead <= reach), line(pos))
-    if rule.carry:
-        case = case.when(back <= reach + rule.carry, line(pp + reach))
-        if rule.backward:
-            case = case.when(ahead <= reach + rule.carry, line(np - reach))
-    return case
+        cases.append(f"ELSE {line('_pos')}")
+    else:
+        back, ahead, reach = f"_pos - {pp}", f"{np} - _pos", f"({rule.reach})"
+        cases.append(f"WHEN {back} <= {reach} OR {ahead} <= {reach} THEN {line('_pos')}")
+        if rule.carry:
+            cases.append(f"WHEN {back} <= {reach} + {rule.carry} THEN {line(f'{pp} + {reach}')}")
+            if rule.backward:
+                cases.append(f"WHEN {ahead} <= {reach} + {rule.carry} THEN {line(f'{np} - {reach}')}")
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
 def fill_gaps(df: DataFrame, keys, position: Column, rules: dict[str, Fill],
@@ -114,20 +115,16 @@ def fill_gaps(df: DataFrame, keys, position: Column, rules: dict[str, Fill],
     if not rules:
         return df
     near = neighbours(df, keys, position, rules, length)
-    return near.select(*[
-        filled(c, rules[c]).alias(c) if c in rules else F.col(c) for c in df.columns
-    ])
+    return near.select(*[filled(c, rules[c]).alias(c) if c in rules else c for c in df.columns])
 
 
 def missing_share(df: DataFrame, keys, columns) -> DataFrame:
     """Per series: `n_rows`, and `c__missing` (count) and `c__missing_pct` per column."""
     counted = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"{c}__missing") for c in columns],
+        *[F.expr(f"count_if(`{c}` IS NULL) AS `{c}__missing`") for c in columns],
     )
-    return counted.select("*", *[
-        percent(F.col(f"{c}__missing"), F.col("n_rows")).alias(f"{c}__missing_pct") for c in columns
-    ])
+    return counted.selectExpr("*", *[f"`{c}__missing` * 100D / n_rows AS `{c}__missing_pct`" for c in columns])
 
 
 def out_of_range(c: str, ranges) -> Column:
@@ -194,11 +191,10 @@ def fill_weather(df: DataFrame, keys, date: str, columns, noise: float = 0.0, se
     months = df.groupBy(*keys, F.month(date).alias("_month")).agg(
         *[F.avg(c).alias(f"{c}__month") for c in columns])
     known = df.withColumn("_month", F.month(date)).join(share, keys).join(months, [*keys, "_month"])
-    # No limit is a reach longer than any series.
-    no_limit = F.lit(1 << 40)
     near = neighbours(known, keys, position, columns, length)
     lined = near.select(*known.columns, *[
-        filled(c, Fill(reach=F.when(F.col(f"{c}__dense"), no_limit).otherwise(F.lit(30)))).alias(f"{c}__lined")
+        # No limit is a reach longer than any series.
+        filled(c, Fill(reach=f"CASE WHEN `{c}__dense` THEN {1 << 40} ELSE 30 END")).alias(f"{c}__lined")
         for c in columns
     ])
     if noise:
@@ -227,12 +223,10 @@ def fill_by_share(df: DataFrame, keys, position: Column, columns, rule: Fill, be
     if not columns:
         return df
     share = missing_share(df, keys, columns).select(
-        *keys, *[(F.col(f"{c}__missing") < F.col("n_rows") * (below_pct / 100.0)).alias(f"{c}__few")
-                 for c in columns])
+        *keys, *[F.expr(f"`{c}__missing` < n_rows * {below_pct / 100.0!r}D AS `{c}__few`") for c in columns])
     near = neighbours(df.join(share, list(keys)), keys, position, columns, length)
     return near.select(*[
-        F.when(F.col(f"{c}__few"), filled(c, rule)).otherwise(F.col(c)).alias(c)
-        if c in columns else F.col(c)
+        F.when(F.col(f"{c}__few"), filled(c, rule)).otherwise(F.col(c)).alias(c) if c in columns else c
         for c in df.columns
     ])
 

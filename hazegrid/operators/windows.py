@@ -77,20 +77,21 @@ def with_features(df: DataFrame, keys, position: Column, columns, lags=(1, 7), w
     """Repaired lags and rolling statistics together, in one shuffle."""
     far, broad = max(lags), max(windows)
     wide = chunks.haloed(df, position, before=max(far + 2, broad - 1), after=far, length=length)
-    w = chunks.in_chunk(keys)
+    order = f"PARTITION BY {', '.join(f'`{k}`' for k in keys)}, _chunk ORDER BY _pos"
     names = [(c, k, lag_name(c, k)) for c in columns for k in lags]
-    wide = wide.select(
+    rolled = [(c, n, s, rolling_name(c, n, s)) for c in columns for n in windows for s in stats]
+    wide = wide.selectExpr(
         "*",
-        *[F.coalesce(F.lag(c, k).over(w), F.lead(c, k).over(w)).alias(f"_{name}") for c, k, name in names],
-        *[_STATS[s](c).over(w.rowsBetween(-(n - 1), 0)).alias(rolling_name(c, n, s))
-          for c in columns for n in windows for s in stats],
+        *[f"coalesce(lag(`{c}`, {k}) OVER ({order}), lead(`{c}`, {k}) OVER ({order})) AS `_{name}`"
+          for c, k, name in names],
+        *[f"{_STATS[s].__name__}(`{c}`) OVER ({order} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS `{name}`"
+          for c, n, s, name in rolled],
     )
-    wide = wide.select("*", *[
-        F.last(f"_{name}", ignorenulls=True).over(w.rowsBetween(-min(k, 2), 0)).alias(name)
+    wide = wide.selectExpr("*", *[
+        f"last(`_{name}`) IGNORE NULLS OVER ({order} ROWS BETWEEN {min(k, 2)} PRECEDING AND CURRENT ROW) AS `{name}`"
         for _, k, name in names
     ])
-    out = list(df.columns) + [n for _, _, n in names] + [
-        rolling_name(c, n, s) for c in columns for n in windows for s in stats]
+    out = [*df.columns, *[n for *_, n in names], *[n for *_, n in rolled]]
     return chunks.settled(wide.select("_pos", "_chunk", *out), length)
 
 

@@ -22,7 +22,7 @@ def with_gaps(df: DataFrame, columns) -> list[str]:
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return []
-    flags = df.agg(*[F.bool_or(F.col(c).isNull()).alias(c) for c in columns]).first()
+    flags = df.agg(*[F.expr(f"bool_or(`{c}` IS NULL) AS `{c}`") for c in columns]).first()
     return [c for c in columns if flags[c]]
 
 
