@@ -212,7 +212,8 @@ def recommendations(spark, sf_dir):
 
 
 @query("D22_bounded_prediction_error", INDEX_SQL + """, p AS (
-  SELECT date, aqi AS actual, least(greatest(PM2_5 * 4e0 - 300e0, 0e0), 500e0) AS predicted FROM aqi_data)
+  SELECT date, aqi AS actual, CASE WHEN PM2_5 IS NOT NULL THEN least(greatest(PM2_5 * 4e0 - 300e0, 0e0), 500e0) END
+  AS predicted FROM aqi_data)
 SELECT date, predicted, round(abs(predicted - actual), 6) AS error,
   round(abs(predicted - actual) * 100e0 / actual, 6) AS error_pct FROM p""")
 def bounded_prediction_error(spark, sf_dir):

@@ -71,8 +71,12 @@ def robust_scale(spark, sf_dir):
 
 # --- one feature, one target: least squares has a closed form ------------------------------------
 
-_STATION_SQL = INDEX_SQL + ", st AS (SELECT date, PM2_5, aqi, " + ", ".join(
-    f"lead(aqi, {h}) OVER (ORDER BY date) AS aqi_h{h}" for h in HORIZONS) + """ FROM aqi_data),
+SPINE_SQL = INDEX_SQL + """, sp AS (SELECT days.date, aqi, PM2_5 FROM (SELECT CAST(d AS DATE) AS date FROM generate_series(
+  (SELECT min(date) FROM aqi_data), (SELECT max(date) FROM aqi_data), INTERVAL 1 DAY) g(d)) days
+  LEFT JOIN aqi_data USING (date))
+"""
+_STATION_SQL = SPINE_SQL + ", st AS (SELECT date, coalesce(PM2_5, (SELECT avg(PM2_5) FROM sp)) AS PM2_5, aqi, " + ", ".join(
+    f"lead(aqi, {h}) OVER (ORDER BY date) AS aqi_h{h}" for h in HORIZONS) + """ FROM sp),
 sup AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS row_no, count(*) OVER () AS n_rows FROM st
   WHERE aqi_h1 IS NOT NULL AND aqi_h7 IS NOT NULL AND aqi_h30 IS NOT NULL),
 split AS (SELECT *, CASE WHEN row_no < floor(n_rows * 0.8e0) THEN 'train' ELSE 'test' END AS split FROM sup),
@@ -83,7 +87,11 @@ fit AS (""" + " UNION ALL ".join(
 
 
 def station(spark, sf_dir):
-    return index(spark, sf_dir).select(F.lit("all").alias("series"), "date", "PM2_5", "aqi")
+    """The daily index as one series on its spine."""
+    days = index(spark, sf_dir).select(F.lit("all").alias("series"), "date", "PM2_5", "aqi")
+    spans = days.groupBy("series").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    spine = spans.select("series", F.explode(F.sequence("a", "b")).alias("date"))
+    return spine.join(days, ["series", "date"], "left")
 
 
 def station_split(spark, sf_dir):
@@ -239,11 +247,11 @@ def _requests(spark, sf_dir):
     return forecast.plan_requests(dates, station(spark, sf_dir))
 
 
-_REQUESTS_SQL = """, lastday AS (SELECT max(date) AS d FROM aqi_data),
+_REQUESTS_SQL = """, lastday AS (SELECT max(date) AS d FROM sp),
 based AS (SELECT forecast_date, CASE WHEN forecast_date <= d THEN forecast_date - 1 ELSE d END AS base_date FROM
   (SELECT DISTINCT CAST(o_orderdate AS DATE) + 120 AS forecast_date FROM orders), lastday),
 req AS (SELECT *, CAST(forecast_date - base_date AS INTEGER) AS days_ahead FROM based
-  WHERE base_date IN (SELECT date FROM aqi_data)),
+  WHERE base_date IN (SELECT date FROM sp)),
 reqh AS (SELECT *, CASE WHEN days_ahead <= 3 THEN 1 WHEN days_ahead <= 14 THEN 7 WHEN days_ahead <= 60 THEN 30 ELSE 365 END
   AS horizon FROM req)
 """
@@ -251,17 +259,17 @@ reqh AS (SELECT *, CASE WHEN days_ahead <= 3 THEN 1 WHEN days_ahead <= 14 THEN 7
 
 @query("M13_direct_forecast", _STATION_SQL + _REQUESTS_SQL + """SELECT forecast_date, base_date, days_ahead,
   CAST(horizon AS INTEGER) AS horizon, round(least(greatest(a + b * PM2_5, 0), 500), 4) AS aqi_pred
-FROM reqh JOIN fit USING (horizon) JOIN aqi_data ON aqi_data.date = base_date WHERE days_ahead NOT IN (2, 3)""")
+FROM reqh JOIN fit USING (horizon) JOIN st ON st.date = base_date WHERE days_ahead NOT IN (2, 3)""")
 def direct_forecast(spark, sf_dir):
     _, fitted = _fitted(spark, sf_dir)
     requests = _requests(spark, sf_dir).filter(~F.col("recursive"))
-    out = forecast.direct(
-        requests, station(spark, sf_dir).drop("series", "aqi"), {h: f for (h, _), f in fitted.items()})
+    history = forecast.fill_features(station(spark, sf_dir).drop("series", "aqi"), ["PM2_5"])
+    out = forecast.direct(requests, history, {h: f for (h, _), f in fitted.items()})
     return r6(out.drop("recursive"), digits=4)
 
 
-_LAGGED_SQL = INDEX_SQL + """, st AS (SELECT date, PM2_5, lag(PM2_5) OVER (ORDER BY date) AS PM2_5_lag1,
-  lead(PM2_5) OVER (ORDER BY date) AS y FROM aqi_data),
+_LAGGED_SQL = SPINE_SQL + """, st AS (SELECT date, PM2_5, lag(PM2_5) OVER (ORDER BY date) AS PM2_5_lag1,
+  lead(PM2_5) OVER (ORDER BY date) AS y FROM sp),
 filled AS (SELECT * REPLACE (coalesce(PM2_5_lag1, (SELECT avg(PM2_5_lag1) FROM st)) AS PM2_5_lag1) FROM st),
 sup AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS row_no, count(*) OVER () AS n_rows FROM filled
   WHERE y IS NOT NULL),
@@ -289,10 +297,11 @@ def feature_fallback(spark, sf_dir):
     return r6(out.select("l_orderkey", "l_linenumber", "PM2_5", "SO2_column"))
 
 
-@query("M16_back_test", INDEX_SQL + _REQUESTS_SQL + """, p AS (SELECT forecast_date, base_date,
-  least(greatest(b.aqi * 1.05e0, 0), 500) AS predicted FROM reqh JOIN aqi_data b ON b.date = base_date)
+@query("M16_back_test", SPINE_SQL + _REQUESTS_SQL + """, p AS (SELECT forecast_date, base_date,
+  CASE WHEN b.aqi IS NOT NULL THEN least(greatest(b.aqi * 1.05e0, 0), 500) END AS predicted
+  FROM reqh JOIN sp b ON b.date = base_date)
 SELECT forecast_date, base_date, round(predicted, 6) AS predicted, aqi AS actual, round(abs(predicted - aqi), 6) AS error,
-  round(abs(predicted - aqi) * 100e0 / aqi, 6) AS error_pct FROM p LEFT JOIN aqi_data ON date = forecast_date""")
+  round(abs(predicted - aqi) * 100e0 / aqi, 6) AS error_pct FROM p LEFT JOIN sp ON date = forecast_date""")
 def back_test(spark, sf_dir):
     history = station(spark, sf_dir)
     base = history.select(F.col("date").alias("base_date"), clip(F.col("aqi") * 1.05, 0.0, 500.0).alias("predicted"))

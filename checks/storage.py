@@ -76,7 +76,7 @@ def declared_fill_values(spark, sf_dir):
     f"('{catalog.SERIES[t][0]}', 'g4.areaAvgTimeSeries.{t}.20240101-20240130.csv')" for t in HOURLY.values())},
     ('precipitation', 'hanoi.precipitation.csv')) t(feature, file)""")
 def first_file_per_feature(spark, sf_dir):
-    return series_files.chosen_files(series_files._lines(spark, files(spark, sf_dir)))
+    return series_files.chosen_files(series_files.list_files(spark, files(spark, sf_dir)))
 
 
 @query("S4_cadence_of_series", SERIES_SQL + """SELECT feature, count(*) AS n_rows, CASE WHEN feature = 'precipitation'

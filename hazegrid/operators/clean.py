@@ -23,10 +23,13 @@ def is_extreme(value: Column) -> Column:
     return (F.abs(value) > 1e12) | (value < -1e15)
 
 
-def sweep_near_sentinels(df: DataFrame, keys, value: str = "value", fill: str = "fill_value") -> DataFrame:
+def sweep_near_sentinels(df: DataFrame, keys, value: str = "value", fill: str = "fill_value",
+                         few_groups: bool = False) -> DataFrame:
     """Blank extreme values within 1 % of a huge declared fill value.
 
     Applies to series whose extreme rows exceed 0.1 % of the present ones.
+    `few_groups` states that the number of series is bounded by a fixed list;
+    the one row per series is then broadcast and the readings stay in place.
     """
     v, f = F.col(value), F.col(fill)
     rate = df.groupBy(*keys).agg(
@@ -34,6 +37,7 @@ def sweep_near_sentinels(df: DataFrame, keys, value: str = "value", fill: str =
     near = F.abs(v - f) <= F.lit(0.01) * F.abs(f)
     hit = F.col("_sweep") & (F.abs(f) > 1e10) & is_extreme(v) & near
     swept = F.when(~F.coalesce(hit, F.lit(False)), v)
+    rate = F.broadcast(rate) if few_groups else rate
     return df.join(rate, list(keys)).withColumn(value, swept).drop("_sweep")
 
 

@@ -16,11 +16,21 @@ from hazegrid.operators import clean
 _NAME = r"([^/=]*\.csv)(?:/[^/]*)?$"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
+def _name_of(path: Column) -> Column:
+    return F.regexp_extract(path, _NAME, 1)
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, value) of all text below `path`."""
     text = spark.read.option("recursiveFileLookup", "true").text(path)
-    # Paths arrive percent-encoded.
-    name = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), _NAME, 1)
-    return text.select(name.alias("file"), "value")
+    # Paths of this column arrive percent-encoded.
+    return text.select(_name_of(F.url_decode(F.col("_metadata.file_path"))).alias("file"), "value")
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file) names below `path`; without its content column this source opens no file."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return found.select(_name_of(F.col("path")).alias("file")).distinct()
 
 
 def _feature_of(file: Column) -> Column:
@@ -52,25 +62,30 @@ def parse_fill_values(lines: DataFrame) -> DataFrame:
     )
 
 
-def chosen_files(lines: DataFrame) -> DataFrame:
+def chosen_files(files: DataFrame) -> DataFrame:
     """(feature, file): the first file by name of every known feature."""
-    names = lines.select("file").distinct().withColumn("feature", _feature_of(F.col("file")))
+    names = files.withColumn("feature", _feature_of(F.col("file")))
     return names.filter("feature IS NOT NULL").groupBy("feature").agg(F.min("file").alias("file"))
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """All known series below `path`: (feature, ts, value, fill_value), as declared."""
-    lines = _lines(spark, path)
-    # Two rows of a few bytes per file: AQE broadcasts them if they are small.
-    facts = chosen_files(lines).join(parse_fill_values(lines), "file", "left")
-    return parse_data(lines).join(facts, "file").select("feature", "ts", "value", "fill_value")
+    """All known series below `path`: (feature, ts, value, fill_value), as declared.
+
+    Two passes over the text: one for the declared fill values, one for the
+    data. What is joined to the data is one row per feature of the catalog,
+    which bounds the broadcast.
+    """
+    lines = read_lines(spark, path)
+    chosen = chosen_files(list_files(spark, path))
+    facts = chosen.join(parse_fill_values(lines), "file", "left")
+    return parse_data(lines).join(F.broadcast(facts), "file").select("feature", "ts", "value", "fill_value")
 
 
 def read_clean_series(spark: SparkSession, path: str) -> DataFrame:
     """(feature, ts, value) with declared and near-declared fill values blanked."""
     raw = read_series(spark, path)
     exact = raw.withColumn("value", clean.drop_sentinels(F.col("value"), F.col("fill_value")))
-    return clean.sweep_near_sentinels(exact, ["feature"]).select("feature", "ts", "value")
+    return clean.sweep_near_sentinels(exact, ["feature"], few_groups=True).select("feature", "ts", "value")
 
 
 def cadence(series: DataFrame) -> DataFrame:
