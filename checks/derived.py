@@ -206,7 +206,8 @@ _UNHEALTHY = _ACTIONS.join(catalog.ACTIONS_UNHEALTHY)
     CASE WHEN month = 10 OR (month = 11 AND day <= 15) THEN '{catalog.ACTION_FLOWER[0]}'
       || strftime(date, '%d/%m') || '{catalog.ACTION_FLOWER[1]}' END) AS actions FROM air""")
 def recommendations(spark, sf_dir):
-    parts = advice.recommendation(F.col("aqi"), F.col("date"), F.col("temperature_mean"))
+    parts = advice.recommendation(
+        F.col("aqi"), F.col("date"), F.col("temperature_mean"), F.col("aqi_category"))
     parts["actions"] = F.array_join(parts["actions"], _ACTIONS)
     return air(spark, sf_dir).select(*KEY, *[c.alias(n) for n, c in parts.items()])
 

@@ -25,9 +25,13 @@ def _texts(actions) -> Column:
     return F.array(*[F.lit(a) for a in actions])
 
 
-def recommendation(aqi: Column, date: Column, temperature: Column) -> dict[str, Column]:
-    """Title, health note and ordered list of actions."""
-    name = air.category(aqi)
+def recommendation(aqi: Column, date: Column, temperature: Column,
+                   category: Column | None = None) -> dict[str, Column]:
+    """Title, health note and ordered list of actions.
+
+    The category is read in many places: give its column where the table has one.
+    """
+    name = air.category(aqi) if category is None else category
     flags = weather_flags(date, temperature)
     titles = {c: texts[0] for c, texts in catalog.ADVICE.items()}
     health = {c: texts[1] for c, texts in catalog.ADVICE.items()}
