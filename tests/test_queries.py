@@ -5,7 +5,8 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import ORACLES, QUERIES
 from checks.compare import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -17,10 +18,10 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, con, name):
-    df = queries()[name](spark, SF)
-    sql = oracle_sql().get(name)
+    df = QUERIES[name](spark, SF)
+    sql = ORACLES.get(name)
     if sql is None:
         assert df.count() > 0
     else:
