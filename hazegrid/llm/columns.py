@@ -10,6 +10,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+#: Bytes of the source column handled at once, unless one value is longer: Python objects take many times that.
+SLICE = 1 << 20
+
+
+def sliced(batch: pa.RecordBatch, source: str) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about SLICE bytes of its column `source`."""
+    column = batch.column(source)
+    rows = max(1, int(len(column) * SLICE / max(column.nbytes, 1)))
+    for at in range(0, len(column), rows):
+        yield batch.slice(at, rows)
+
+
 def added(df: DataFrame, fields: str, source: str, make: Callable[[pa.Array], list]) -> DataFrame:
     """`df` with the columns of the DDL `fields`, which `make` computes from an Arrow array of column `source`.
 
@@ -23,7 +35,7 @@ def added(df: DataFrame, fields: str, source: str, make: Callable[[pa.Array], li
     kept = [f.name for f in schema if f.name not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, source)):
             values = make(batch.column(source))
             columns = [batch.column(c) for c in kept]
             columns += [pa.array(v, arrow.field(n).type) if not isinstance(v, pa.Array) else v
