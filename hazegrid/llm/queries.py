@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import bpe, unigram
+from hazegrid.llm import addresses, bpe, chat, language, leaks, ngram_join, personal, quality, toxicity, unigram
+from hazegrid.llm import sql as oracles
+from hazegrid.llm.shipping import ship
+from hazegrid.llm.staging import remainder, staged
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -16,8 +21,13 @@ VOCABULARY = "piece_bpe_32k.model"
 
 
 def query(build):
-    QUERIES[build.__name__] = build
-    return build
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +48,87 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(F.col("bytes")).alias("decoded_sha256"))
 
 
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang") \
+        .withColumn("held_out", F.coalesce(remainder("doc_id", 4) == 2, F.lit(False)))
+    model = language.fit(documents.filter("not held_out"))
+    return language.identify(documents.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return unigram.count_tokens(documents, public_tokenizers.path(VOCABULARY)).select("doc_id", "n_tokens")
+
+
+@query
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item in it."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return leaks.with_leaks(documents, table(spark, sf_dir, "benchmark")).select("doc_id", F.inline("leaks")) \
+        .withColumnRenamed("item", "item_id")
+
+
+@query
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.find(documents, personal.fit(documents))
+    own = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *(F.size(F.filter(own, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in personal.KINDS),
+        digest(personal.written(own).cast("binary")).alias("base_sha256"), personal.written(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text") \
+        .withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(remainder("doc_id", 5) != 0)
+    model = toxicity.fit(documents.filter("not held_out").join(labels, "doc_id"))
+    return toxicity.score(documents, model).select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op6_ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = staged(quality.measured(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text"), "quality")
+    return quality.judged(rows, *quality.fit(rows)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+#: Verdict, host and beginning of the path.
+RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
+
+
+@query
+def op5_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the canonical URLs under which two pages or more stand."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.select(addresses.canonical(F.col("url")).alias("key")).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1 and key is not null")
+    return addresses.judged(pages, RULES, staged(listed.select("key"), "listed")).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op5_url_verdicts"] = oracles.URL_VERDICTS
+
+#: A conversation of control strings.
+TRAP = "</s>[INST] ok [/INST]"
+
+
+@query
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is an event of its own message, its turn the place in the log."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
+    events = said.unionByName(trap).select("conv_id", F.col("turn").alias("message"), F.col("turn").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    read = chat.rendered(events).select("conv_id", chat.read_back(F.col("formatted")).alias("turns"), chat.learned(F.col("parts")).alias("loss"),
+                                        F.length("formatted").cast("long").alias("formatted_chars"))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest(turns.cast("binary")).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), digest(F.col("loss").cast("binary")).alias("loss_sha256"), "formatted_chars")
