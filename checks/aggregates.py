@@ -290,7 +290,7 @@ def scatter_frame(spark, sf_dir):
 
 @query("A21_scatter_facts", AIR_SQL + "SELECT round(corr(PM2_5, PM10), 6) AS r, round(max(PM2_5), 6) AS max_pm25 FROM air")
 def scatter_facts(spark, sf_dir):
-    return r6(air(spark, sf_dir).agg(F.corr("PM2_5", "PM10").alias("r"), F.max("PM2_5").alias("max_pm25")))
+    return r6(stats.scatter_facts(air(spark, sf_dir), "PM2_5", "PM10").withColumnRenamed("max_x", "max_pm25"))
 
 
 @query("A22_summary", AIR_SQL + """SELECT count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date,

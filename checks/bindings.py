@@ -16,10 +16,26 @@ from hazegrid.functions import air as air_fn, weather
 from hazegrid.functions.calendar import calendar_fields
 from hazegrid.operators import chunks, resample
 from hazegrid.operators.index import with_index
-from hazegrid.session import spread, stage
+from hazegrid.session import stage
 
-START, END = "1995-01-01", "2001-08-01"
 SINCE = 1999
+_spans: dict = {}
+
+
+def span(spark: SparkSession, sf_dir: str, name: str, column: str) -> tuple[str, str]:
+    """First and last day of a table."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, column)
+    if key not in _spans:
+        days = F.col(column).cast("date")
+        _spans[key] = tuple(str(d) for d in table(spark, sf_dir, name).agg(F.min(days), F.max(days)).first())
+    return _spans[key]
+
+
+def spine_sql(name: str, column: str) -> str:
+    """CTE body of all days from the first to the last one of a table."""
+    return (f"SELECT CAST(unnest(generate_series(min(CAST({column} AS DATE)), max(CAST({column} AS DATE)), INTERVAL 1 DAY)) "
+            f"AS DATE) AS date FROM {name}")
+
 
 def day():
     return chunks.day(F.col("date"))
@@ -81,8 +97,7 @@ def air(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed table: written once per session, then read by all analyses."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
-        observed = spread(observations(spark, sf_dir))
-        _written[key] = stage(with_index(with_weather(observed)), "air")
+        _written[key] = stage(computed_air(spark, sf_dir), "air")
     return _written[key]
 
 
@@ -194,14 +209,14 @@ def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(series, date, value) on the daily spine; about one cell in twelve is present at sf0.01."""
     days = resample.daily_mean(order_days(spark, sf_dir), ["series"])
-    return resample.on_spine(days, ["series"], START, END)
+    return resample.on_spine(days, ["series"], *span(spark, sf_dir, "orders", "o_orderdate"))
 
 
 CELLS_SQL = f"""
 WITH raw AS (SELECT CAST(c_nationkey AS VARCHAR) || '|' || o_orderstatus AS series, o_orderdate AS ts,
     o_totalprice / 997e0 AS value FROM orders JOIN customer ON o_custkey = c_custkey),
 days AS (SELECT series, CAST(ts AS DATE) AS date, avg(value) AS value FROM raw GROUP BY 1, 2),
-spine AS (SELECT CAST(d AS DATE) AS date FROM generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY) g(d)),
+spine AS ({spine_sql('orders', 'o_orderdate')}),
 cells AS (SELECT s.series, spine.date, days.value,
     row_number() OVER (PARTITION BY s.series ORDER BY spine.date) AS p
     FROM (SELECT DISTINCT series FROM days) s CROSS JOIN spine
@@ -248,7 +263,7 @@ def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg("l_tax") * 100.0 - 4.0, 6).alias("wind_v10m"),
         F.round(F.avg(F.when(returned, F.col("l_tax"))) * 100.0, 6).alias("wind_speed"))
     names = ["PM2_5", "PM10", "wind_u10m", "wind_v10m", "wind_speed"]
-    return resample.on_spine(days, ["series"], START, END, names)
+    return resample.on_spine(days, ["series"], *span(spark, sf_dir, "lineitem", "l_shipdate"), names)
 
 
 DENSE_SQL = f"""
@@ -257,7 +272,7 @@ WITH days AS (SELECT l_linestatus AS series, CAST(l_shipdate AS DATE) AS date,
     round(avg(l_discount) * 100e0 - 5e0, 6) AS wind_u10m, round(avg(l_tax) * 100e0 - 4e0, 6) AS wind_v10m,
     round(avg(l_tax) FILTER (WHERE l_returnflag = 'R') * 100e0, 6) AS wind_speed
     FROM lineitem GROUP BY 1, 2),
-spine AS (SELECT CAST(d AS DATE) AS date FROM generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY) g(d)),
+spine AS ({spine_sql('lineitem', 'l_shipdate')}),
 dense AS (SELECT s.series, spine.date, days.* EXCLUDE (series, date),
     row_number() OVER (PARTITION BY s.series ORDER BY spine.date) AS p
     FROM (SELECT DISTINCT series FROM days) s CROSS JOIN spine

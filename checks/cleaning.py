@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import query
 from checks.bindings import (
-    AIR_SQL, CATEGORY_SQL, CELLS_SQL, DENSE_SQL, END, INDEX_SQL, SINCE, START, air, cells, dense, index, order_days,
-    r6, table,
+    AIR_SQL, CATEGORY_SQL, CELLS_SQL, DENSE_SQL, INDEX_SQL, SINCE, air, cells, dense, index, line_sql, order_days,
+    r6, span, spine_sql, table,
 )
 from hazegrid import catalog
 from hazegrid.functions import air as air_fn
@@ -18,8 +18,6 @@ from checks.bindings import day
 
 # Events as raw sensor readings: the last hour of a day carries a fill value that
 # differs by sensor: huge and exact, huge and near, or small.
-_FILL = {"click": 1e15, "view": -1e30, "purchase": -999.0, "error": 1e15, "login": 1e15}
-
 
 def readings(spark, sf_dir):
     """(event_id, feature, ts, value, fill_value) with sentinels in the last hour of each day."""
@@ -199,12 +197,10 @@ def _months(spark, sf_dir):
         (F.avg("l_quantity") / 0.997).alias("value")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-from checks.bindings import line_sql  # noqa: E402
-
 _MONTH_SQL = f"""
 WITH m AS (SELECT l_returnflag AS series, CAST(date_trunc('month', l_shipdate) AS DATE) AS date,
   avg(l_quantity) / 0.997e0 AS value FROM lineitem GROUP BY 1, 2),
-spine AS (SELECT CAST(d AS DATE) AS date FROM generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY) g(d)),
+spine AS ({spine_sql('(SELECT date FROM m UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)', 'date')}),
 placed AS (SELECT s.series, spine.date, m.value, row_number() OVER (PARTITION BY s.series ORDER BY spine.date) AS p
   FROM (SELECT DISTINCT series FROM m) s CROSS JOIN spine LEFT JOIN m ON m.series = s.series AND m.date = spine.date)
 """
@@ -213,7 +209,9 @@ placed AS (SELECT s.series, spine.date, m.value, row_number() OVER (PARTITION BY
 @query("R3_monthly_to_daily", _MONTH_SQL + line_sql("placed", "daily", None)
        + "SELECT series, date, round(value, 6) AS value FROM daily")
 def monthly_to_daily(spark, sf_dir):
-    return r6(resample.monthly_to_daily(_months(spark, sf_dir), ["series"], START, END))
+    # A month stands on its first day, which may be before the first row.
+    first, last = span(spark, sf_dir, "lineitem", "l_shipdate")
+    return r6(resample.monthly_to_daily(_months(spark, sf_dir), ["series"], first[:8] + "01", last))
 
 
 @query("R4_daily_pass_through", """SELECT l_returnflag AS series, CAST(l_shipdate AS DATE) AS date,
@@ -230,9 +228,8 @@ def spine_join(spark, sf_dir):
 
 
 @query("J1_wide_daily_table", f"""WITH raw AS (SELECT l_linestatus AS series, CAST(l_shipdate AS DATE) AS date,
-  l_returnflag AS f, l_quantity AS v FROM lineitem WHERE l_shipdate >= TIMESTAMP '{START}'
-  AND l_shipdate < TIMESTAMP '{END}' + INTERVAL 1 DAY),
-spine AS (SELECT CAST(d AS DATE) AS date FROM generate_series(DATE '{START}', DATE '{END}', INTERVAL 1 DAY) g(d)),
+  l_returnflag AS f, l_quantity AS v FROM lineitem),
+spine AS ({spine_sql('lineitem', 'l_shipdate')}),
 grid AS (SELECT series, date FROM (SELECT DISTINCT l_linestatus AS series FROM lineitem) CROSS JOIN spine),
 span AS (SELECT l_linestatus AS series, min(CAST(l_shipdate AS DATE)) AS a, max(CAST(l_shipdate AS DATE)) AS b
   FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
@@ -245,7 +242,7 @@ def wide_daily_table(spark, sf_dir):
         F.col("l_linestatus").alias("series"), F.col("l_shipdate").alias("ts"),
         clean.lookup(F.col("l_returnflag"), names).alias("feature"), F.col("l_quantity").alias("value"))
     wide = resample.to_daily_table(
-        raw, ["series"], {f: "hourly" for f in names.values()}, START, END)
+        raw, ["series"], {f: "hourly" for f in names.values()}, *span(spark, sf_dir, "lineitem", "l_shipdate"))
     return r6(wide)
 
 

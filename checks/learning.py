@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks import query
-from checks.bindings import AIR_SQL, DENSE_SQL, INDEX_SQL, air, day, dense, index, r6, table
+from checks.bindings import AIR_SQL, CATEGORY_SQL, DENSE_SQL, INDEX_SQL, air, day, dense, index, r6, table
 from hazegrid import catalog
 from hazegrid.functions.numeric import clip
 from hazegrid.operators import clean, forecast, learn, windows
+from hazegrid.plans import forecast as forecast_job
 from hazegrid.session import scratch
 
 KEYS = ["series"]
-HORIZONS = (1, 7, 30)
+HORIZONS = catalog.HORIZONS
 TARGETS = ("PM2_5", "wind_u10m")
 _W = "OVER (PARTITION BY series ORDER BY date)"
 
@@ -61,12 +64,13 @@ _SCALED = ("PM10", "PM2_5", "PM2_5_h1", "wind_u10m_h30")
 
 
 @query("M4_robust_scale", SUPERVISED_SQL + " UNION ALL ".join(
-    f"""SELECT '{c}' AS "column", round(median({c}), 6) AS center, round(CASE WHEN quantile_cont({c}, 0.75) =
-    quantile_cont({c}, 0.25) THEN 1e0 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END, 6) AS scale
+    f"""SELECT '{c}' AS "column", round(median({c}), 9) AS center, round(CASE WHEN quantile_cont({c}, 0.75) =
+    quantile_cont({c}, 0.25) THEN 1e0 ELSE quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) END, 9) AS scale
     FROM split WHERE split = 'train'""" for c in _SCALED))
 def robust_scale(spark, sf_dir):
     train = split_rows(spark, sf_dir).filter(F.col("split") == "train")
-    return r6(learn.quartile_table(train, _SCALED))
+    # Values of six decimals, interpolated: ties of the sixth decimal would round either way.
+    return r6(learn.quartile_table(train, _SCALED), digits=9)
 
 
 # --- one feature, one target: least squares has a closed form ------------------------------------
@@ -78,7 +82,7 @@ SPINE_SQL = INDEX_SQL + """, sp AS (SELECT days.date, aqi, PM2_5 FROM (SELECT CA
 _STATION_SQL = SPINE_SQL + ", st AS (SELECT date, coalesce(PM2_5, (SELECT avg(PM2_5) FROM sp)) AS PM2_5, aqi, " + ", ".join(
     f"lead(aqi, {h}) OVER (ORDER BY date) AS aqi_h{h}" for h in HORIZONS) + """ FROM sp),
 sup AS (SELECT *, row_number() OVER (ORDER BY date) - 1 AS row_no, count(*) OVER () AS n_rows FROM st
-  WHERE aqi_h1 IS NOT NULL AND aqi_h7 IS NOT NULL AND aqi_h30 IS NOT NULL),
+  WHERE """ + " AND ".join(f"aqi_h{h} IS NOT NULL" for h in HORIZONS) + """),
 split AS (SELECT *, CASE WHEN row_no < floor(n_rows * 0.8e0) THEN 'train' ELSE 'test' END AS split FROM sup),
 fit AS (""" + " UNION ALL ".join(
     f"SELECT {h} AS horizon, regr_slope(aqi_h{h}, PM2_5) AS b, regr_intercept(aqi_h{h}, PM2_5) AS a "
@@ -122,11 +126,17 @@ def least_squares_fit(spark, sf_dir):
     return spark.createDataFrame(rows, "horizon int, intercept double, slope double")
 
 
-@query("M5_all_learners")
+@query("M5_all_learners", f"""SELECT CAST(h AS INTEGER) AS horizon, m AS model, 'aqi' AS target, true AS finite, true AS fits
+FROM (VALUES {', '.join(f"({h})" for h in HORIZONS)}) a(h), (VALUES {', '.join(f"('{m}')" for m in learn.LEARNERS)}) b(m)""")
 def all_learners(spark, sf_dir):
-    """Every learner at a small size; fitted values differ by implementation, so there is no SQL."""
+    """Every learner at a small size. Fitted values differ by implementation; all must be finite and no worse in training than the mean by a tenth."""
     frame, fitted = _fitted(spark, sf_dir, learn.LEARNERS, trees=10, depth=5, rounds=5, round_depth=3)
-    return learn.metrics(learn.predictions(frame, fitted.values()))
+    scores = learn.metrics(learn.predictions(frame, fitted.values()))
+    numbers = [F.col(c) for c, t in scores.dtypes if t == "double"]
+    finite = F.lit(True)
+    for c in numbers:
+        finite = finite & F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False))
+    return scores.select("horizon", "model", "target", finite.alias("finite"), (F.col("r2_train") > -0.1).alias("fits"))
 
 
 @query("M6_batch_prediction", _STATION_SQL + _PREDICTED_SQL)
@@ -136,7 +146,7 @@ def batch_prediction(spark, sf_dir):
         f.predict(frame).select(F.lit(h).alias("horizon"), "date", "split", F.col(f"aqi_h{h}").alias("y"),
                                 F.round("aqi_pred", 4).alias("yhat"))
         for (h, _), f in fitted.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("M10_saved_models", _STATION_SQL + _PREDICTED_SQL)
@@ -148,7 +158,7 @@ def saved_models(spark, sf_dir):
         f.predict(frame).select(F.lit(h).alias("horizon"), "date", "split", F.col(f"aqi_h{h}").alias("y"),
                                 F.round("aqi_pred", 4).alias("yhat"))
         for (h, _), f in sorted(learn.load(spark, path).items(), key=lambda x: x[0])]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- scores of naive forecasts -----------------------------------------------------------------------
@@ -259,7 +269,7 @@ reqh AS (SELECT *, CASE WHEN days_ahead <= 3 THEN 1 WHEN days_ahead <= 14 THEN 7
 
 @query("M13_direct_forecast", _STATION_SQL + _REQUESTS_SQL + """SELECT forecast_date, base_date, days_ahead,
   CAST(horizon AS INTEGER) AS horizon, round(least(greatest(a + b * PM2_5, 0), 500), 4) AS aqi_pred
-FROM reqh JOIN fit USING (horizon) JOIN st ON st.date = base_date WHERE days_ahead NOT IN (2, 3)""")
+FROM reqh LEFT JOIN fit USING (horizon) LEFT JOIN st ON st.date = base_date WHERE days_ahead NOT IN (2, 3)""")
 def direct_forecast(spark, sf_dir):
     _, fitted = _fitted(spark, sf_dir)
     requests = _requests(spark, sf_dir).filter(~F.col("recursive"))
@@ -307,3 +317,30 @@ def back_test(spark, sf_dir):
     base = history.select(F.col("date").alias("base_date"), clip(F.col("aqi") * 1.05, 0.0, 500.0).alias("predicted"))
     forecasts = _requests(spark, sf_dir).join(base, "base_date").select("forecast_date", "base_date", "predicted")
     return r6(forecast.back_test(forecasts, history))
+
+
+_COLD = catalog.ACTION_COLD
+_FLOWER = f"""'{catalog.ACTION_FLOWER[0]}' || strftime(forecast_date, '%d/%m') || '{catalog.ACTION_FLOWER[1]}'"""
+
+
+@query("E4_forecasts", _STATION_SQL + _REQUESTS_SQL + f""", p AS (SELECT forecast_date, base_date, days_ahead, horizon,
+  days_ahead IN (2, 3) AS recursive, least(greatest(a + b * PM2_5, 0), 500) AS predicted
+  FROM reqh LEFT JOIN fit USING (horizon) LEFT JOIN st ON st.date = base_date),
+named AS (SELECT *, {CATEGORY_SQL.format('predicted')} AS category FROM p)
+SELECT forecast_date, base_date, days_ahead, CAST(horizon AS INTEGER) AS horizon, recursive, round(predicted, 4) AS predicted, category,
+  round(sp.aqi, 4) AS actual, round(abs(predicted - sp.aqi), 4) AS error,
+  CASE category {' '.join(f"WHEN '{c}' THEN '{t[0]}'" for c, t in catalog.ADVICE.items())} ELSE '{catalog.ADVICE['Moderate'][0]}' END AS title,
+  concat_ws(' | ', CASE WHEN month(forecast_date) IN (12, 1, 2) THEN '{_COLD}' END, CASE WHEN month(forecast_date) = 10
+    OR (month(forecast_date) = 11 AND day(forecast_date) <= 15) THEN {_FLOWER} END) AS seasonal
+FROM named LEFT JOIN sp ON sp.date = forecast_date""")
+def forecast_requests(spark, sf_dir):
+    """Requests up to four months after each order, with the least-squares models of all horizons."""
+    _, fitted = _fitted(spark, sf_dir)
+    dates = table(spark, sf_dir, "orders").select(
+        F.date_add(F.col("o_orderdate").cast("date"), 120).alias("forecast_date")).distinct()
+    days = station(spark, sf_dir).drop("series")
+    filled = forecast.fill_features(days, ["PM2_5"])
+    out = forecast_job.forecasts(dates, filled, {h: f for (h, _), f in fitted.items()})
+    seasonal = F.filter("actions", lambda a: a.startswith(_COLD) | a.startswith(catalog.ACTION_FLOWER[0]))
+    return r6(out.select("forecast_date", "base_date", "days_ahead", "horizon", "recursive", "predicted", "category", "actual", "error",
+                         "title", F.array_join(seasonal, " | ").alias("seasonal")), digits=4)

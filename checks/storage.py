@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks import query
 from checks.aggregates import e2
-from checks.bindings import AIR_SQL, HEALTH_SQL, INDEX_SQL, air, health, index, r6, table
+from checks.bindings import AIR_SQL, HEALTH_SQL, INDEX_SQL, air, health, index, r6, span, table
 from checks.learning import HORIZONS, NAIVE_SQL, TARGETS, naive, split_rows
 from hazegrid import catalog
 from hazegrid.functions.numeric import lookup
 from hazegrid.operators import learn, reports, sinks, stats
 from hazegrid.plans import analysis, preprocess, training
-from hazegrid.session import scratch, spread, stage
+from hazegrid.session import scratch, stage
 from hazegrid.sources import series_files, tables
 
 # Which series a test table stands in for; the name decides feature and cadence.
@@ -23,6 +25,25 @@ HOURLY = {
 _written: dict = {}
 
 
+def header_lines(variable, fill):
+    """The lines before the data of a series file, as an array."""
+    return F.array(
+        F.concat(F.lit('Title:,"Area mean of '), variable, F.lit('"')),
+        F.lit("User Start Date:,"), F.lit("User End Date:,"), F.lit("User Bounding Box:,"), F.lit("Data Bounding Box:,"), F.lit("URL:,"),
+        F.concat(F.lit("Fill Value (mean_"), variable, F.lit("):, "), fill),
+        F.lit(""),
+        F.concat(F.lit("time, mean_"), variable))
+
+
+def write_series(df, path: str, fill: str = "1000000000000000") -> None:
+    """Write (file, variable, ts, value) as one folder of parts per file; null becomes the fill value."""
+    text = F.coalesce(F.col("value").cast("string"), F.lit(fill))
+    data = df.select("file", F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), text).alias("value"))
+    heads = df.select("file", "variable").distinct().select(
+        "file", F.explode(header_lines(F.col("variable"), F.lit(fill))).alias("value"))
+    data.unionByName(heads).write.mode("error").partitionBy("file").text(path)
+
+
 def file_rows(spark, sf_dir):
     """(file, variable, ts, value): events by hour as five hourly series and as rainfall; gaps every midnight."""
     hours = table(spark, sf_dir, "events").groupBy(
@@ -44,7 +65,7 @@ def files(spark, sf_dir) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _written:
         _written[key] = scratch(spark, "series")
-        series_files.write_series(file_rows(spark, sf_dir), _written[key])
+        write_series(file_rows(spark, sf_dir), _written[key])
     return _written[key]
 
 
@@ -72,15 +93,16 @@ def declared_fill_values(spark, sf_dir):
         F.max("fill_value").alias("fill_value"))
 
 
-@query("S3_first_file_per_feature", f"""SELECT * FROM (VALUES {', '.join(
+@query("S3_files_of_features", f"""SELECT * FROM (VALUES {', '.join(
     f"('{catalog.SERIES[t][0]}', 'g4.areaAvgTimeSeries.{t}.20240101-20240130.csv')" for t in HOURLY.values())},
+    ('PM2_5', 'g4.areaAvgTimeSeries.{HOURLY['view']}.20240102-20240130.csv'),
     ('precipitation', 'hanoi.precipitation.csv')) t(feature, file)""")
-def first_file_per_feature(spark, sf_dir):
-    return series_files.chosen_files(series_files.list_files(spark, files(spark, sf_dir)))
+def files_of_features(spark, sf_dir):
+    return series_files.known_files(series_files.list_files(spark, files(spark, sf_dir))).select("feature", "file")
 
 
 @query("S4_cadence_of_series", SERIES_SQL + """SELECT feature, count(*) AS n_rows, CASE WHEN feature = 'precipitation'
-  AND count(*) <= 1000 THEN 'daily' ELSE 'hourly' END AS resolution FROM series GROUP BY feature""")
+  AND NOT bool_or(ts <> date_trunc('day', ts)) THEN 'daily' ELSE 'hourly' END AS resolution FROM series GROUP BY feature""")
 def cadence_of_series(spark, sf_dir):
     return series_files.cadence(series_files.read_series(spark, files(spark, sf_dir)))
 
@@ -152,7 +174,7 @@ def replaced_table(spark, sf_dir):
     name = "hazegrid_index"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     sinks.replace_table(index(spark, sf_dir).select("date"), name, scratch(spark, "table"))
-    spark.sql(f"DROP TABLE {name}")
+    # The second one meets the first.
     sinks.replace_table(index(spark, sf_dir).select("date", "aqi", "aqi_category"), name, scratch(spark, "table"))
     return spark.table(name)
 
@@ -215,7 +237,7 @@ def model_metrics(spark, sf_dir):
 
 def raw_series(spark, sf_dir):
     """Lineitem by day (dew point by month) as the series of two stations, one per line status."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = table(spark, sf_dir, "lineitem")
     roles = {
         "PM2_5": F.col("l_quantity") * 1.3e-9, "NO2_trop": F.col("l_extendedprice") * 1e11,
         "SO2_column": F.col("l_discount") * 12.0, "O3": F.col("l_quantity") * 9.0, "CO": F.col("l_tax") * 7000.0,
@@ -241,7 +263,7 @@ def processed(spark, sf_dir):
     if key not in _tables:
         raw = stage(raw_series(spark, sf_dir), "series")
         _, done = preprocess.daily_table(
-            raw, ["station"], RESOLUTIONS, "1995-02-01", "2001-08-01")
+            raw, ["station"], RESOLUTIONS, *span(spark, sf_dir, "lineitem", "l_shipdate"))
         _tables[key] = stage(done, "processed")
     return _tables[key]
 
@@ -264,21 +286,48 @@ def analyses(spark, sf_dir):
 
 @query("E2_chart_tables")
 def chart_tables(spark, sf_dir):
-    made = analysis.charts(processed(spark, sf_dir))
-    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("chart"), "n_rows")
-             for name, df in made.items()]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """All numbers of all charts, one a row: (chart, key, measure, value)."""
+    parts = []
+    for name, df in analysis.charts(processed(spark, sf_dir)).items():
+        numbers = [c for c, t in df.dtypes if t == "double"]
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns if c not in numbers])
+        parts.append(df.select(F.lit(name).alias("chart"), key.alias("key"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in numbers]))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("E3_train_and_rank")
 def train_and_rank(spark, sf_dir):
+    """Three targets at all horizons; small forests and without boosting, whose full sizes do not fit a test."""
     frame, features, targets = training.prepared(
-        processed(spark, sf_dir), ["station"], ("aqi", "PM2_5"), HORIZONS)
-    frame = stage(frame, "supervised")
+        processed(spark, sf_dir), ["station"], ("aqi", "PM2_5", "temperature_mean"), HORIZONS)
     _, _, board = training.train_and_rank(
-        frame, features, targets, HORIZONS[:2], ("RandomForest", "Ridge", "Lasso", "LinearRegression"),
+        frame, features, targets, HORIZONS, ("RandomForest", "Ridge", "Lasso", "LinearRegression"),
         trees=10, depth=5)
     return board
+
+
+@query("E1_facts", """WITH d AS (SELECT l_linestatus AS station, CAST(l_shipdate AS DATE) AS date FROM lineitem),
+s AS (SELECT min(date) AS first_date, max(date) AS last_date FROM d)
+SELECT station, CAST(last_date - first_date + 1 AS BIGINT) AS n_rows, first_date, last_date,
+  CAST(last_date - first_date + 1 AS BIGINT) AS n_dates, true AS complete, true AS banded
+FROM s, (SELECT DISTINCT station FROM d)""")
+def preprocess_facts(spark, sf_dir):
+    """What must hold of the finished table: every day once, no gaps in what had values, an index and its band on all rows."""
+    df = processed(spark, sf_dir)
+    measures = [c for c in catalog.POLLUTANTS + catalog.WEATHER + catalog.DERIVED if c in df.columns]
+    whole = F.lit(True)
+    for c in measures:
+        whole = whole & (F.count(c) == F.count(F.lit(1)))
+    banded = F.bool_and(F.col("aqi").between(0, 500) & (F.col("aqi_category") != catalog.UNKNOWN))
+    return df.groupBy("station").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.count_distinct("date").alias("n_dates"), whole.alias("complete"), banded.alias("banded"))
+
+
+@query("E2_saved_results", AIR_SQL + """SELECT 'results' AS kind, 5 AS n UNION ALL SELECT 'trends', count(DISTINCT year) FROM air""")
+def saved_results(spark, sf_dir):
+    folder = scratch(spark, "saved")
+    analysis.save(air(spark, sf_dir), folder)
+    return spark.read.parquet(f"{folder}/results").agg(F.count(F.lit(1)).alias("n")).select(F.lit("results").alias("kind"), "n").unionByName(
+        spark.read.parquet(f"{folder}/trends").agg(F.count(F.lit(1)).alias("n")).select(F.lit("trends").alias("kind"), "n"))

@@ -26,9 +26,8 @@ SERIES = {
     "M2T1NXSLV_5_12_4_U10M": ("wind_u10m", "hourly"),
     "M2T1NXSLV_5_12_4_V10M": ("wind_v10m", "hourly"),
 }
-# Tokens that mark a rainfall file; its cadence follows from its row count.
+# Tokens that mark a rainfall file; its cadence follows from its time stamps.
 PRECIPITATION_TOKENS = ("precipitation", "PRECIP", "PRCP")
-PRECIPITATION_HOURLY_ABOVE = 1000
 
 RESOLUTION = {feature: resolution for feature, resolution in SERIES.values()}
 

@@ -62,15 +62,21 @@ def fill_features(df: DataFrame, features, base: dict[str, Column] | None = None
 
 
 def direct(requests: DataFrame, history: DataFrame, forecasters: dict[int, Forecaster], keys=()) -> DataFrame:
-    """Forecast each request from its base row with the model of its horizon."""
+    """Forecast each request from its base row with the model of its horizon.
+
+    No request is lost: one whose horizon has no model, or whose base row is
+    missing, comes back without predictions.
+    """
     keys = list(keys)
-    rows = history.withColumnRenamed("date", "base_date")
-    out = None
+    targets = list(dict.fromkeys(t for f in forecasters.values() for t in f.targets))
+    empty = [F.lit(None).cast("double").alias(f"{t}_pred") for t in targets]
+    rows = history.withColumnRenamed("date", "base_date").withColumn("_known", F.lit(True))
+    out = requests.filter(~F.coalesce(F.col("horizon").isin(list(forecasters)), F.lit(False))).select(*requests.columns, *empty)
     for horizon, f in forecasters.items():
-        mine = requests.filter(F.col("horizon") == horizon).join(rows, [*keys, "base_date"])
-        part = bounded_index(f.predict(mine)).select(
-            *requests.columns, *[f"{t}_pred" for t in f.targets])
-        out = part if out is None else out.unionByName(part)
+        mine = requests.filter(F.col("horizon") == horizon).join(rows, [*keys, "base_date"], "left")
+        part = bounded_index(f.predict(mine.filter("_known"))).select(
+            *requests.columns, *[F.col(f"{t}_pred") if t in f.targets else F.lit(None).cast("double").alias(f"{t}_pred") for t in targets])
+        out = out.unionByName(part).unionByName(mine.filter("_known IS NULL").select(*requests.columns, *empty))
     return out
 
 

@@ -42,12 +42,15 @@ def forward_backward(k: int) -> Fill:
     return Fill(reach=0, carry=k)
 
 
-def neighbours(df: DataFrame, keys, position: Column, columns, length: int = chunks.LENGTH) -> DataFrame:
+def neighbours(df: DataFrame, keys, position: Column, columns, length: int = chunks.LENGTH,
+               known: DataFrame | None = None) -> DataFrame:
     """Add position and value of the nearest present cell on both sides.
 
     For column c: `c__pp`, `c__pv` (at or before the row) and `c__np`, `c__nv`
     (at or after it); `_pos` is the row's own position. One small row per
     chunk is ordered over the whole series, the cells only inside chunks.
+    `known` has one row per series; its columns travel with the chunk rows, so
+    that the cells themselves move once, to their chunk, and never by series.
 
     Wide tables need hundreds of expressions here, so they are given as SQL
     text: one call each instead of one per operator.
@@ -75,12 +78,15 @@ def neighbours(df: DataFrame, keys, position: Column, columns, length: int = chu
         for end, frame, out in (
             ("lp", earlier, "pp"), ("lv", earlier, "pv"), ("fp", later, "np"), ("fv", later, "nv"))
     ])
+    facts = [] if known is None else [c for c in known.columns if c not in keys]
+    if known is not None:
+        carried = carried.join(known, keys)
     # The second frame runs backwards: a frame open towards the end of the
     # partition would be evaluated anew for every row.
     upto = over(f"{series}, _chunk", "_pos", "CURRENT ROW")
     down = over(f"{series}, _chunk", "_pos DESC", "CURRENT ROW")
     joined = df.join(carried, [*keys, "_chunk"])
-    return joined.selectExpr(*[f"`{x}`" for x in df.columns if x != "_chunk"], *[
+    return joined.selectExpr(*[f"`{x}`" for x in [*df.columns, *facts] if x != "_chunk"], *[
         f"coalesce(last({x}) IGNORE NULLS {frame}, `{c}__c{out}`) AS `{c}__{out}`"
         for c in columns
         for x, frame, out in (
@@ -150,15 +156,12 @@ def fill_pollutants(df: DataFrame, keys, position: Column, ranges: dict,
         (F.max(f"{c}__was_null") & F.coalesce(F.max(out_of_range(c, ranges)), F.lit(False))).alias(f"{c}__redo")
         for c in columns
     ])
-    flagged = once.join(redo, list(keys))
-    blanked = flagged.select(*[
-        F.when(~(F.col(f"{c}__redo") & F.coalesce(out_of_range(c, ranges), F.lit(False))), F.col(c)).alias(c)
-        if c in columns else F.col(c)
-        for c in flagged.columns
-    ])
-    near = neighbours(blanked, keys, position, columns, length)
+    # Blanked for all series; where the flag says no, the first pass stays.
+    blanked = once.select("*", *[
+        F.when(~F.coalesce(out_of_range(c, ranges), F.lit(False)), F.col(c)).alias(f"{c}__in") for c in columns])
+    near = neighbours(blanked, keys, position, [f"{c}__in" for c in columns], length, redo)
     return near.select(*[
-        F.when(F.col(f"{c}__redo"), clip(filled(c, LIMITED), *ranges[c])).otherwise(F.col(c)).alias(c)
+        F.when(F.col(f"{c}__redo"), clip(filled(f"{c}__in", LIMITED), *ranges[c])).otherwise(F.col(c)).alias(c)
         if c in columns else F.col(c)
         for c in df.columns
     ])
@@ -188,11 +191,13 @@ def fill_weather(df: DataFrame, keys, date: str, columns, noise: float = 0.0, se
     position = chunks.day(F.col(date))
     share = missing_share(df, keys, columns).select(
         *keys, *[(F.col(f"{c}__missing_pct") < sparse_pct).alias(f"{c}__dense") for c in columns])
-    months = df.groupBy(*keys, F.month(date).alias("_month")).agg(
-        *[F.avg(c).alias(f"{c}__month") for c in columns])
-    known = df.withColumn("_month", F.month(date)).join(share, keys).join(months, [*keys, "_month"])
-    near = neighbours(known, keys, position, columns, length)
-    lined = near.select(*known.columns, *[
+    # Twelve means per series and column.
+    months = df.groupBy(*keys, F.month(date).alias("_month")).agg(*[F.avg(c).alias(c) for c in columns])
+    months = months.groupBy(*keys).agg(*[
+        F.map_from_entries(F.collect_list(F.struct("_month", c))).alias(f"{c}__months") for c in columns])
+    near = neighbours(df, keys, position, columns, length, share.join(months, keys))
+    lined = near.select(*df.columns, *[f"{c}__dense" for c in columns], *[
+        F.try_element_at(f"{c}__months", F.month(date)).alias(f"{c}__month") for c in columns], *[
         # No limit is a reach longer than any series.
         filled(c, Fill(reach=f"CASE WHEN `{c}__dense` THEN {1 << 40} ELSE 30 END")).alias(f"{c}__lined")
         for c in columns
@@ -224,7 +229,7 @@ def fill_by_share(df: DataFrame, keys, position: Column, columns, rule: Fill, be
         return df
     share = missing_share(df, keys, columns).select(
         *keys, *[F.expr(f"`{c}__missing` < n_rows * {below_pct / 100.0!r}D AS `{c}__few`") for c in columns])
-    near = neighbours(df.join(share, list(keys)), keys, position, columns, length)
+    near = neighbours(df, keys, position, columns, length, share)
     return near.select(*[
         F.when(F.col(f"{c}__few"), filled(c, rule)).otherwise(F.col(c)).alias(c) if c in columns else c
         for c in df.columns

@@ -22,13 +22,16 @@ def _with_digits(df: DataFrame) -> DataFrame:
     One projection per step, so that no step is evaluated more than once.
     """
     kept = df.columns
-    near = df.select("*", F.floor(F.log2(F.abs("_v"))).alias("_near"))
+    # Infinities have the digits of the largest numbers.
+    largest = F.lit(1.7976931348623157e308)
+    ends = df.select("*", F.greatest(F.least("_v", largest), -largest).alias("_w"))
+    near = ends.select("*", F.floor(F.log2(F.abs("_w"))).alias("_near"))
     # The logarithm may be off by one next to a power of two.
     exact = F.expr(
-        "CASE WHEN pow(2D, _near) > abs(_v) THEN _near - 1 "
-        "WHEN pow(2D, _near + 1) <= abs(_v) THEN _near + 1 ELSE _near END")
-    out = near.select(*kept, exact.alias("_e"))
-    out = out.select("*", (F.abs("_v") / F.pow(F.lit(2.0), F.col("_e")) - 1).alias("_f0"))
+        "CASE WHEN pow(2D, _near) > abs(_w) THEN _near - 1 "
+        "WHEN pow(2D, _near + 1) <= abs(_w) THEN _near + 1 ELSE _near END")
+    out = near.select(*kept, "_w", exact.alias("_e"))
+    out = out.select("*", (F.abs("_w") / F.pow(F.lit(2.0), F.col("_e")) - 1).alias("_f0"))
     for i, bits in enumerate(_BITS, 1):
         out = out.select("*", (F.col(f"_f{i - 1}") * float(1 << bits)).alias("_s"))
         out = out.select(*[c for c in out.columns if c != "_s"], F.floor("_s").alias(f"_c{i}"),
@@ -54,7 +57,9 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
     few_groups = few_groups or not keys
     groups = [F.col(k) for k in keys] or [F.lit(0).alias("_all")]
     names = keys or ["_all"]
-    rows = _with_digits(df.select(*groups, F.col(value).cast("double").alias("_v")))
+    v = F.col(value).cast("double")
+    # What isn't a number is missing.
+    rows = _with_digits(df.select(*groups, F.when(~F.isnan(v), v).alias("_v")))
     small = F.broadcast if few_groups else (lambda x: x)
 
     def hits(counts: DataFrame, known, digit: str) -> DataFrame:
@@ -94,7 +99,9 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
         F.max(F.when(F.col("side") == 1, F.col("_value"))).alias("high"),
         F.max("part").alias("part"),
     )
-    q = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    # A rank that is whole is its value; infinities have no difference.
+    q = F.when(F.col("part") == 0, F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
     ordered = F.array_sort(F.collect_list(F.struct("i", q.alias("q"))))
     return each.groupBy(*names, "n").agg(F.transform(ordered, lambda x: x["q"]).alias("q")).select(
         *keys, "n", "q")

@@ -23,13 +23,19 @@ def daily_sum(df: DataFrame, keys, ts: str = "ts", value: str = "value") -> Data
 
 
 def daily_value(df: DataFrame, keys, ts: str = "ts", value: str = "value") -> DataFrame:
-    """Values already daily: midnight stamps only, and one per day or the job fails."""
+    """Values already daily: stamped midnight, and one per day, or the job fails. Rows without a time are left out."""
     at = F.col(ts)
     n = F.count(F.lit(1))
     same = F.when(n == 1, F.first(value)).otherwise(
         F.raise_error(F.lit("a daily series has more than one row for a day")).cast("double"))
-    midnight = at == F.date_trunc("day", at)
-    return df.filter(midnight).groupBy(*keys, at.cast("date").alias("date")).agg(same.alias(value))
+    return df.filter(at.isNotNull()).groupBy(*keys, day_of(at).alias("date")).agg(same.alias(value))
+
+
+def day_of(at: Column, daily: Column | None = None) -> Column:
+    """The day of a time; a time of a daily series must be midnight, or the job fails."""
+    off = at != F.date_trunc("day", at)
+    wrong = off if daily is None else daily & off
+    return F.when(wrong, F.raise_error(F.lit("a daily series has a row that is not stamped midnight")).cast("date")).otherwise(at.cast("date"))
 
 
 def spine(df: DataFrame, keys, start, end, step: str = "1 day", name: str = "date") -> DataFrame:
@@ -62,13 +68,11 @@ def to_daily_table(raw: DataFrame, keys, resolutions: dict[str, str], start, end
     """
     keys = list(keys)
     at = F.col(ts)
-    midnight = at == F.date_trunc("day", at)
     daily = [f for f, r in resolutions.items() if r != "hourly"]
     kept = raw.filter(
         (at >= F.lit(start).cast("timestamp_ntz"))
         & (at < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz"))
-        & (~F.col(feature).isin(daily) | midnight)
-    ).select(*keys, at.cast("date").alias("date"), feature, value)
+    ).select(*keys, day_of(at, F.col(feature).isin(daily)).alias("date"), feature, value)
     empty = spine(raw, keys, start, end).select(
         *keys, "date", F.lit(None).cast("string").alias(feature), F.lit(None).cast("double").alias(value))
 
@@ -83,13 +87,13 @@ def to_daily_table(raw: DataFrame, keys, resolutions: dict[str, str], start, end
             F.raise_error(F.lit(f"{name} has more than one row for a day")).cast("double"))
         return [one.alias(name)]
 
-    wide = kept.unionByName(empty).groupBy(*keys, "date").agg(
+    rows = kept.unionByName(empty)
+    if resolutions.get("precipitation") == "hourly":
+        # Days without rain values inside the span of the series count as dry: a zero more on each of them.
+        rain = kept.filter(F.col(feature) == "precipitation").groupBy(*keys).agg(
+            F.min("date").alias("_first"), F.max("date").alias("_last"))
+        rows = rows.unionByName(rain.select(
+            *keys, F.explode(F.sequence("_first", "_last")).alias("date"),
+            F.lit("precipitation").alias(feature), F.lit(0.0).alias(value)))
+    return rows.groupBy(*keys, "date").agg(
         *[c for name, resolution in resolutions.items() for c in cell(name, resolution)])
-    if resolutions.get("precipitation") != "hourly":
-        return wide
-    # Days without rain values inside the span of the series count as dry.
-    rain = raw.filter((F.col(feature) == "precipitation") & (at >= F.lit(start).cast("timestamp_ntz")))
-    spans = rain.groupBy(*keys).agg(
-        F.min(at.cast("date")).alias("_first"), F.max(at.cast("date")).alias("_last"))
-    dry = F.when(F.col("date").between(F.col("_first"), F.col("_last")), F.lit(0.0))
-    return wide.join(spans, keys, "left").withColumn("precipitation", F.coalesce("precipitation", dry)).drop("_first", "_last")

@@ -14,8 +14,8 @@ def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace a whole catalog table; the columns of `df` become its columns."""
-    writer = df.write.mode("overwrite").option("overwriteSchema", "true")
+    """Replace a whole catalog table; the columns of `df` become its columns, and `path`, if given, its place."""
+    writer = df.write.mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 

@@ -102,39 +102,36 @@ def dominant_components(df: DataFrame) -> DataFrame:
 
 def dominant_counts(df: DataFrame, k: int = 5) -> DataFrame:
     """How often each component decides the index, with its share of all rows."""
-    return counted(dominant_components(df), "component", index.components(df.columns)).orderBy(
+    return counted(dominant_components(df), "component").orderBy(
         F.desc("n"), "component").limit(k)
 
 
-def counted(df: DataFrame, key: str, names) -> DataFrame:
-    """Rows and share of all rows for each of a fixed list of names that occurs.
-
-    One global aggregate holds all counts and the total, so no second pass
-    and no window is needed for the shares. Rows with other names only count
-    towards the total.
-    """
-    names = list(names)
-    row = df.agg(F.count(F.lit(1)).alias("total"), *[
-        F.count_if(F.col(key) == n).alias(f"n{i}") for i, n in enumerate(names)])
-    pairs = F.array(*[
-        F.struct(F.lit(n).alias(key), F.col(f"n{i}").alias("n")) for i, n in enumerate(names)])
-    return row.select("total", F.inline(pairs)).filter("n > 0").select(
-        key, "n", percent(F.col("n"), F.col("total")).alias("pct"))
+def counted(df: DataFrame, key: str) -> DataFrame:
+    """Rows and share of all rows for each name; rows without a name only count towards the total."""
+    each = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = each.agg(F.sum("n")).scalar()
+    return each.filter(F.col(key).isNotNull()).select(key, "n", percent(F.col("n"), total).alias("pct"))
 
 
 def category_counts(df: DataFrame, key: str = "aqi_category") -> DataFrame:
-    return counted(df, key, catalog.CATEGORIES + (catalog.UNKNOWN,))
+    return counted(df, key)
 
 
 def status_counts(df: DataFrame, category: str = "aqi_category") -> DataFrame:
-    return counted(
-        df.select(air.status(F.col(category)).alias("status")), "status",
-        (catalog.STATUS_NORMAL, catalog.STATUS_POLLUTED))
+    return counted(df.select(air.status(F.col(category)).alias("status")), "status")
+
+
+def correlation(x, y) -> Column:
+    """Pearson correlation over the pairs both present; missing where either side is constant or there is no pair."""
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
 
 
 def correlations(df: DataFrame, columns, target: str = "aqi", labelled: bool = True) -> DataFrame:
     """Pearson correlation with the target over the pairs both present, strongest first."""
-    row = df.agg(*[F.corr(c, target).alias(c) for c in columns])
+    row = df.agg(*[correlation(c, target).alias(c) for c in columns])
     tall = row.unpivot([], list(columns), "variable", "r")
     if labelled:
         tall = tall.select(
@@ -158,16 +155,16 @@ def correlation_pairs(df: DataFrame, columns) -> DataFrame:
     spread = F.inline(F.array(*[
         F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
         for i, (a, b) in enumerate(pairs)]))
-    each = df.select(spread).groupBy("pair").agg(F.corr("x", "y").alias("r"))
+    each = df.select(spread).groupBy("pair").agg(correlation("x", "y").alias("r"))
     names = F.array(*[F.struct(F.lit(a).alias("first"), F.lit(b).alias("second")) for a, b in pairs])
     return each.select(names[F.col("pair")].alias("names"), "r").select("names.*", "r")
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
-    """All ordered pairs; each correlation is computed once, a column with itself is 1."""
-    row = df.agg(*[F.count_if(F.col(c).isNotNull()).alias(c) for c in columns])
-    own = row.unpivot([], list(columns), "first", "n").select(
-        "first", F.col("first").alias("second"), F.when(F.col("n") > 1, F.lit(1.0)).alias("r"))
+    """All ordered pairs; each correlation is computed once, a column that varies is 1 with itself."""
+    row = df.agg(*[(F.min(c) < F.max(c)).alias(c) for c in columns])
+    own = row.unpivot([], list(columns), "first", "varies").select(
+        "first", F.col("first").alias("second"), F.when(F.col("varies"), F.lit(1.0)).alias("r"))
     both = correlation_pairs(df, columns).select(F.inline(F.array(
         F.struct("first", "second", "r"),
         F.struct(F.col("second").alias("first"), F.col("first").alias("second"), "r"))))
@@ -269,7 +266,12 @@ def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares line and correlation over the complete pairs."""
     return df.select(F.col(x).alias("x"), F.col(y).alias("y")).dropna().agg(
         F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
-        F.corr("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
+        correlation("x", "y").alias("r"), F.count(F.lit(1)).alias("n"))
+
+
+def scatter_facts(df: DataFrame, x: str, y: str) -> DataFrame:
+    """What stands beside a scatter chart: the correlation and the largest x."""
+    return df.agg(correlation(x, y).alias("r"), F.max(x).alias("max_x"))
 
 
 def summary(df: DataFrame, date: str = "date", value: str = "aqi") -> DataFrame:

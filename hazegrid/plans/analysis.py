@@ -79,6 +79,12 @@ def all_results(df: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def save(df: DataFrame, folder: str) -> None:
+    """Append the result of every analysis, and replace the yearly trends."""
+    sinks.append_result(all_results(df), f"{folder}/results")
+    sinks.reload_trends(df, f"{folder}/trends")
+
+
 def charts(df: DataFrame, keys=("station",)) -> dict[str, DataFrame]:
     """The table behind each chart."""
     keys = list(keys)

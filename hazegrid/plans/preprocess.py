@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hazegrid import catalog
 from hazegrid.functions import air, weather
 from hazegrid.functions.calendar import calendar_fields
-from hazegrid.operators import chunks, clean, gapfill, resample, windows
+from hazegrid.operators import chunks, clean, gapfill, resample, sinks, windows
 from hazegrid.operators.index import with_index
 from hazegrid.session import stage
 from hazegrid.sources import series_files
@@ -89,7 +89,8 @@ def featured(df: DataFrame, keys, length: int = chunks.LENGTH) -> DataFrame:
 def before_fill(raw: DataFrame, keys, resolutions: dict[str, str], start=catalog.START_DATE,
                 end=catalog.END_DATE, length: int = chunks.LENGTH) -> DataFrame:
     """The daily table before gaps are filled."""
-    wide = resample.to_daily_table(raw, keys, resolutions, start, end)
+    # The gap filling reads it twice.
+    wide = stage(resample.to_daily_table(raw, keys, resolutions, start, end), "wide")
     monthly = {f: gapfill.LINEAR for f, r in resolutions.items() if r == "monthly"}
     placed = gapfill.fill_gaps(wide, keys, chunks.day(F.col("date")), monthly, length)
     return derive(placed)
@@ -109,8 +110,15 @@ def daily_table(raw: DataFrame, keys, resolutions: dict[str, str], start=catalog
 def preprocess(spark: SparkSession, path: str, start=catalog.START_DATE, end=catalog.END_DATE,
                noise: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Daily tables of all series files below `path`, as one station."""
-    series = stage(series_files.read_clean_series(spark, path), "series")
+    # A feature without a row since the start has no column.
+    series = stage(clean.from_date(series_files.read_clean_series(spark, path), "ts", start), "series")
     # One row per feature of the catalog.
     cadence = {r["feature"]: r["resolution"] for r in series_files.cadence(series).collect()}
     raw = series.withColumn("station", F.lit("all"))
     return daily_table(raw, ["station"], cadence, start, end, noise)
+
+
+def save(before: DataFrame, done: DataFrame, folder: str) -> None:
+    """Both checkpoints: the table before its gaps are filled as CSV, the finished one as Parquet."""
+    sinks.write_table(before, f"{folder}/before_fill", "csv")
+    sinks.write_table(done, f"{folder}/daily")

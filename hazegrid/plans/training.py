@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hazegrid import catalog
-from hazegrid.operators import chunks, clean, learn
+from hazegrid.operators import chunks, clean, learn, sinks
+from hazegrid.session import stage
 
 
 def prepared(daily: DataFrame, keys, targets=catalog.TARGETS, horizons=catalog.HORIZONS,
@@ -14,6 +15,9 @@ def prepared(daily: DataFrame, keys, targets=catalog.TARGETS, horizons=catalog.H
     targets = [t for t in targets if t in daily.columns]
     numeric = [c for c, t in daily.dtypes if t in ("double", "int", "bigint")]
     features = features or [c for c in clean.feature_columns(numeric, targets) if c not in keys]
+    # A feature without any value cannot be filled.
+    found = daily.agg(*[F.count(c).alias(c) for c in features]).first()
+    features = [c for c in features if found[c]]
     day = chunks.day(F.col("date"))
     rows = learn.supervised(daily, keys, day, features, targets, horizons, length)
     return learn.split_by_time(rows, keys, day, length=length), list(features), targets
@@ -21,9 +25,13 @@ def prepared(daily: DataFrame, keys, targets=catalog.TARGETS, horizons=catalog.H
 
 def train_and_rank(frame: DataFrame, features, targets, horizons=catalog.HORIZONS, names=learn.LEARNERS,
                    threads: int = 4, k: int = 2, **sizes):
-    """(forecasters, metrics per target, leaderboard)."""
+    """(forecasters, metrics per target, leaderboard).
+
+    The rows are written first: training and every model's predictions read them.
+    """
+    frame = stage(frame, "supervised")
     fitted = learn.train(frame, features, targets, horizons, names, threads, **sizes)
-    scored = learn.metrics(learn.predictions(frame, fitted.values())).persist()
+    scored = stage(learn.metrics(learn.predictions(frame, fitted.values())), "scored")
     board = learn.leaderboard(learn.weighted_scores(scored), k)
     return fitted, scored, board
 
@@ -47,3 +55,13 @@ def metadata(board: DataFrame, features, targets, sizes: DataFrame) -> DataFrame
         F.array(*[F.lit(t) for t in targets]).alias("targets"),
         F.struct("overall_r2_test", "overall_rmse_test", "aqi_r2_test").alias("metrics"),
         n.getField("train").alias("train_size"), n.getField("test").alias("test_size"))
+
+
+def run(daily: DataFrame, keys, folder: str, horizons=catalog.HORIZONS, names=learn.LEARNERS, **sizes) -> dict:
+    """The whole training job: models under `folder`/models, their descriptions under `folder`/metadata."""
+    frame, features, targets = prepared(daily, keys, horizons=horizons)
+    frame = stage(frame, "supervised")
+    fitted, _, board = train_and_rank(frame, features, targets, horizons, names, **sizes)
+    board = stage(board, "board")
+    sinks.write_json(metadata(board, features, targets, frame), f"{folder}/metadata")
+    return keep_best(daily.sparkSession, fitted, board, f"{folder}/models")

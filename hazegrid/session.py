@@ -54,12 +54,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     finally:
         spark.conf.set(_CODE_LIMIT, before)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores where a table comes in fewer pieces than there are cores.
-
-    Large tables have more pieces and stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -4,16 +4,27 @@ A file has metadata lines, one header line `time, <variable>` and data lines
 `2000-01-01 00:00:00,290.09`. Lines are told apart by their shape and not by
 their number, so large files can be split and a "file" may also be a folder
 `<name>.csv/` of parts. Nothing is parsed on the driver.
+
+A file is known by its whole path: files of one name in two folders are two
+files. A feature may come in any number of files, each with its own fill
+value; where they overlap, the first file by name counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hazegrid import catalog
 from hazegrid.operators import clean
+from hazegrid.session import stage
+
+# A folder of parts may be written as `<column>=<name>.csv`.
+_PATH = r"^(.*\.csv)(?:/[^/]*)?$"
+_NAME = r"([^/=]*\.csv)$"
 
-_NAME = r"([^/=]*\.csv)(?:/[^/]*)?$"
+
+def _path_of(path: Column) -> Column:
+    return F.regexp_extract(path, _PATH, 1)
 
 
 def _name_of(path: Column) -> Column:
@@ -21,16 +32,16 @@ def _name_of(path: Column) -> Column:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, value) of all text below `path`."""
+    """(path, value) of all text below `path`."""
     text = spark.read.option("recursiveFileLookup", "true").text(path)
     # Paths of this column arrive percent-encoded.
-    return text.select(_name_of(F.url_decode(F.col("_metadata.file_path"))).alias("file"), "value")
+    return text.select(_path_of(F.url_decode(F.col("_metadata.file_path"))).alias("path"), "value")
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(file) names below `path`; without its content column this source opens no file."""
+    """(path) of the files below `path`; without its content column this source opens no file."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return found.select(_name_of(F.col("path")).alias("file")).distinct()
+    return found.select(_path_of(F.col("path")).alias("path")).distinct()
 
 
 def _feature_of(file: Column) -> Column:
@@ -43,82 +54,65 @@ def _feature_of(file: Column) -> Column:
     return F.when(case.isNull() & rain, F.lit("precipitation")).otherwise(case)
 
 
-def parse_data(lines: DataFrame) -> DataFrame:
-    """(file, ts, value) of the data lines; the first column after `time` is the value."""
-    parts = F.split("value", ",")
-    return lines.filter(F.col("value").rlike(r"^\d{4}-")).select(
-        "file",
-        F.to_timestamp_ntz(F.trim(parts[0])).alias("ts"),
-        F.trim(F.try_element_at(parts, F.lit(2))).try_cast("double").alias("value"),
-    )
-
+def known_files(files: DataFrame) -> DataFrame:
+    """(path, file, feature) of all files (path) whose name tells a known feature."""
+    named = files.select("path", _name_of(F.col("path")).alias("file"))
+    return named.withColumn("feature", _feature_of(F.col("file"))).filter("feature IS NOT NULL")
 
-def parse_fill_values(lines: DataFrame) -> DataFrame:
-    """(file, fill_value): last field of the `Fill Value` line."""
-    last = F.trim(F.element_at(F.split("value", ","), -1)).try_cast("double")
-    return (
-        lines.filter(F.col("value").contains("Fill Value"))
-        .groupBy("file").agg(F.max(last).alias("fill_value"))
-    )
 
+def parse(lines: DataFrame) -> DataFrame:
+    """(path, ts, value, fill_value) of the lines that say something.
 
-def chosen_files(files: DataFrame) -> DataFrame:
-    """(feature, file): the first file by name of every known feature."""
-    names = files.withColumn("feature", _feature_of(F.col("file")))
-    return names.filter("feature IS NOT NULL").groupBy("feature").agg(F.min("file").alias("file"))
+    A data line has a time and its first value, a `Fill Value` line its last
+    field. Text that isn't a finite number is a missing value.
+    """
+    parts = F.split("value", ",")
+    is_data = F.col("value").rlike(r"^\d{4}-")
+    is_fill = F.col("value").contains("Fill Value") & ~is_data
+
+    def number(text: Column) -> Column:
+        v = F.trim(text).try_cast("double")
+        return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
+
+    return lines.filter(is_data | is_fill).select(
+        "path",
+        F.when(is_data, F.to_timestamp_ntz(F.trim(parts[0]))).alias("ts"),
+        F.when(is_data, number(F.try_element_at(parts, F.lit(2)))).alias("value"),
+        F.when(is_fill, number(F.element_at(parts, -1))).alias("fill_value"),
+        is_data.alias("is_data"),
+    )
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
     """All known series below `path`: (feature, ts, value, fill_value), as declared.
 
-    Two passes over the text: one for the declared fill values, one for the
-    data. What is joined to the data is one row per feature of the catalog,
-    which bounds the broadcast.
+    The text is parsed once and written; fill values and data are read from
+    there. Every file's facts are one row, joined by size as it turns out.
     """
-    lines = read_lines(spark, path)
-    chosen = chosen_files(list_files(spark, path))
-    facts = chosen.join(parse_fill_values(lines), "file", "left")
-    return parse_data(lines).join(F.broadcast(facts), "file").select("feature", "ts", "value", "fill_value")
+    parsed = stage(parse(read_lines(spark, path)), "lines")
+    fills = parsed.filter("NOT is_data").groupBy("path").agg(F.max("fill_value").alias("fill_value"))
+    facts = known_files(parsed.select("path").distinct()).join(fills, "path", "left")
+    rows = parsed.filter("is_data").select("path", "ts", "value").join(facts, "path")
+    # One time of one feature has a row or few in each file that has it.
+    place = F.struct("file", "path")
+    first = F.min(place).over(Window.partitionBy("feature", "ts"))
+    return rows.withColumn("_first", first == place).filter("_first").select("feature", "ts", "value", "fill_value")
 
 
 def read_clean_series(spark: SparkSession, path: str) -> DataFrame:
     """(feature, ts, value) with declared and near-declared fill values blanked."""
-    raw = read_series(spark, path)
+    raw = stage(read_series(spark, path), "raw")
     exact = raw.withColumn("value", clean.drop_sentinels(F.col("value"), F.col("fill_value")))
     return clean.sweep_near_sentinels(exact, ["feature"], few_groups=True).select("feature", "ts", "value")
 
 
 def cadence(series: DataFrame) -> DataFrame:
-    """(feature, n_rows, resolution); rain is hourly above a row count, else daily."""
+    """(feature, n_rows, resolution); rain is hourly if any of its stamps is off midnight, else daily."""
     known = F.lit("daily")
     for feature, resolution in catalog.RESOLUTION.items():
         known = F.when(F.col("feature") == feature, F.lit(resolution)).otherwise(known)
-    return series.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows")).select(
+    within = F.bool_or(F.col("ts") != F.date_trunc("day", "ts"))
+    return series.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows"), within.alias("_within")).select(
         "feature", "n_rows",
-        F.when(
-            (F.col("feature") == "precipitation") & (F.col("n_rows") > catalog.PRECIPITATION_HOURLY_ABOVE),
-            F.lit("hourly"),
-        ).otherwise(known).alias("resolution"),
+        F.when((F.col("feature") == "precipitation") & F.col("_within"), F.lit("hourly")).otherwise(known).alias("resolution"),
     )
-
-
-def header_lines(file: Column, variable: Column, fill: Column) -> Column:
-    """The lines before the data, as an array."""
-    return F.array(
-        F.concat(F.lit('Title:,"Time Series, Area-Averaged of '), variable, F.lit('"')),
-        F.lit("User Start Date:,"), F.lit("User End Date:,"),
-        F.lit('User Bounding Box:,"102,8,110,24"'), F.lit('Data Bounding Box:,"102.5,8,110,24"'),
-        F.lit("URL to Reproduce Results:,"),
-        F.concat(F.lit("Fill Value (mean_"), variable, F.lit("):, "), fill),
-        F.lit(""),
-        F.concat(F.lit("time, mean_"), variable),
-    )
-
-
-def write_series(df: DataFrame, path: str, fill: str = "1000000000000000") -> None:
-    """Write (file, variable, ts, value) as one folder of parts per file; null becomes the fill value."""
-    text = F.coalesce(F.col("value").cast("string"), F.lit(fill))
-    data = df.select("file", F.concat_ws(",", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), text).alias("value"))
-    heads = df.select("file", "variable").distinct().select(
-        "file", F.explode(header_lines(F.col("file"), F.col("variable"), F.lit(fill))).alias("value"))
-    data.unionByName(heads).write.mode("error").partitionBy("file").text(path)

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from hazegrid import session
 from hazegrid.operators import chunks, gapfill
 from tests.util import DAY0, blocks, frame, gappy, policy, result, same
 
@@ -126,3 +127,33 @@ def test_fill_report_counts(spark):
     after = gapfill.fill_gaps(before, ["series"], day(), {"v": gapfill.Fill(reach=0, carry=1)})
     row = gapfill.fill_report(before, after, ["series"], ["v"]).first()
     assert (row["missing_before"], row["missing_after"], row["filled"]) == (3, 1, 2)
+
+
+@pytest.mark.parametrize("policy", ["pollutants", "weather", "share"])
+def test_cells_move_once_and_never_by_series(spark, policy):
+    """Without broadcasts cells are only exchanged to their chunks: once as they are, and once for what a chunk carries on."""
+    import re
+
+    rng = np.random.default_rng(2)
+    df = session.stage(frame(spark, {"PM2_5": gappy(rng, 60, 0.3), "dew_point": gappy(rng, 60, 0.3)}))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        position = chunks.day(F.col("date"))
+        if policy == "pollutants":
+            out = gapfill.fill_pollutants(df, ["series"], position, {"PM2_5": (0.0, 40.0)}, session.stage)
+        elif policy == "weather":
+            out = gapfill.fill_weather(df, ["series"], "date", ["dew_point"])
+        else:
+            out = gapfill.fill_by_share(df, ["series"], position, ["PM2_5"], gapfill.LINEAR, 50.0)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.split("\n")
+    moved = []
+    for k, line in enumerate(lines):
+        found = re.search(r"Exchange hashpartitioning\(([^)]*)\)", line)
+        # What comes below an exchange: cells are what no aggregate or window has made small.
+        if found and not re.search("HashAggregate|SortAggregate|ObjectHashAggregate|Window|Join", lines[k + 1]):
+            moved.append(found[1])
+    assert 1 <= len(moved) <= 2 and all("_chunk" in m for m in moved), moved

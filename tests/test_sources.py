@@ -6,15 +6,16 @@ from pyspark.sql import functions as F
 from hazegrid import session
 from hazegrid.operators import sinks, stats
 from hazegrid.plans import analysis, preprocess
+from checks.storage import write_series
 from hazegrid.sources import series_files, tables
 from tests.util import frame
 
 
 def write(folder, name, rows, fill="1000000000000000", variable="mean_X"):
     head = [
-        'Title:,"Time Series, Area-Averaged of something (monthly)"', "User Start Date:,2000-01-01T00:00:00Z",
-        "User End Date:,2025-10-31T23:59:59Z", 'User Bounding Box:,"102,8,110,24"', 'Data Bounding Box:,"102.5,8,110,24"',
-        'URL to Reproduce Results:,"https://example.org/#a=2000-01-01T00:00:00Z&bbox=102,8"',
+        'Title:,"Something, by area (monthly)"', "User Start Date:,1999-05-05T00:00:00Z",
+        "User End Date:,2020-02-02T23:59:59Z", 'User Bounding Box:,"1,2,3,4"', 'Data Bounding Box:,"1.5,2,3,4"',
+        'URL:,"https://example.org/#a=1999-05-05T00:00:00Z&box=1,2"',
         f"Fill Value ({variable}):, {fill}" if fill else "No fill", "", f"time, {variable}"]
     (folder / name).write_text("\n".join(head + [f"{t},{v}" for t, v in rows]) + "\n")
 
@@ -23,7 +24,7 @@ DEW = "g4.areaAvgTimeSeries.M2TMNXSLV_5_12_4_T2MDEW.20000101-20251031.102E_8N_11
 PM = "g4.areaAvgTimeSeries.M2T1NXAER_5_12_4_TOTSMASS25.%s.csv"
 
 
-def test_reads_values_fill_values_and_the_first_file(spark, tmp_path):
+def test_reads_values_and_fill_values_of_all_files(spark, tmp_path):
     write(tmp_path, DEW, [("2000-01-01 00:00:00", "290.099243"), ("2000-02-01 00:00:00", "1000000000000000")])
     write(tmp_path, PM % "2001", [("2001-01-01 00:30:00", "-999"), ("2001-01-01 01:30:00", "2e-8")], fill="-999")
     write(tmp_path, PM % "2002", [("2002-01-01 00:30:00", "7")])
@@ -36,6 +37,7 @@ def test_reads_values_fill_values_and_the_first_file(spark, tmp_path):
         ("dew_point", "2000-02-01 00:00:00"): (1e15, 1e15),
         ("PM2_5", "2001-01-01 00:30:00"): (-999.0, -999.0),
         ("PM2_5", "2001-01-01 01:30:00"): (2e-8, -999.0),
+        ("PM2_5", "2002-01-01 00:30:00"): (7.0, 1e15),
         ("precipitation", "2001-01-01 00:00:00"): (3.5, None)}
     clean = {(r["feature"], str(r["ts"])): r["value"] for r in series_files.read_clean_series(spark, str(tmp_path)).collect()}
     assert clean[("dew_point", "2000-02-01 00:00:00")] is None and clean[("PM2_5", "2001-01-01 00:30:00")] is None
@@ -47,17 +49,35 @@ def test_written_series_read_back(spark, tmp_path):
     rows = [(PM % "x", "v", "2001-01-01 00:00:00", 1.5), (PM % "x", "v", "2001-01-01 01:00:00", None)]
     df = spark.createDataFrame(rows, "file string, variable string, t string, value double").select(
         "file", "variable", F.to_timestamp_ntz("t").alias("ts"), "value")
-    series_files.write_series(df, str(tmp_path / "out"))
+    write_series(df, str(tmp_path / "out"))
     got = [r["value"] for r in series_files.read_clean_series(spark, str(tmp_path / "out")).orderBy("ts").collect()]
     assert got == [1.5, None]
 
 
-def test_rain_is_hourly_above_a_thousand_rows(spark):
-    for n, kind in ((1000, "daily"), (1001, "hourly")):
-        df = spark.range(n).select(F.lit("precipitation").alias("feature"))
+@pytest.mark.parametrize("n", [5, 1500])
+def test_rain_is_hourly_by_its_stamps(spark, n):
+    for step, kind in (("1 day", "daily"), ("1 hour", "hourly")):
+        ts = F.expr(f"timestamp_ntz '2001-01-01' + id * interval {step}").alias("ts")
+        df = spark.range(n).select(F.lit("precipitation").alias("feature"), ts)
         assert series_files.cadence(df).first()["resolution"] == kind
 
 
+def test_overlapping_files_and_equal_names(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    write(tmp_path / "b", PM % "1", [("2001-01-01 00:30:00", "-999"), ("2001-01-03 00:30:00", "3")], fill="-999")
+    write(tmp_path / "a", PM % "1", [("2001-01-01 00:30:00", "1"), ("2001-01-02 00:30:00", "-999")], fill="-5")
+    write(tmp_path, PM % "2", [("2001-01-03 00:30:00", "8"), ("2001-01-04 00:30:00", "9")])
+    rows = {str(r["ts"])[:10]: (r["value"], r["fill_value"]) for r in series_files.read_series(spark, str(tmp_path)).collect()}
+    assert rows == {"2001-01-01": (1.0, -5.0), "2001-01-02": (-999.0, -5.0), "2001-01-03": (3.0, -999.0), "2001-01-04": (9.0, 1e15)}
+
+
+def test_text_that_is_no_number_is_missing(spark, tmp_path):
+    write(tmp_path, PM % "1", [(f"2001-01-01 0{k}:30:00", v) for k, v in enumerate(("NaN", "inf", "-Infinity", "x", "", "2.5"))])
+    values = [r["value"] for r in series_files.read_clean_series(spark, str(tmp_path)).orderBy("ts").collect()]
+    assert values == [None] * 5 + [2.5]
+
+
 def test_saved_results_keep_missing_values_as_null(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
     path = str(tmp_path / "r")
@@ -70,8 +90,8 @@ def test_saved_results_keep_missing_values_as_null(spark, tmp_path):
 
 def test_table_replacement_drops_old_columns(spark, tmp_path):
     first, second = spark.range(3), spark.range(5).select(F.col("id").alias("n"))
+    spark.sql("DROP TABLE IF EXISTS hazegrid_t")
     for df in (first, second):
-        spark.sql("DROP TABLE IF EXISTS hazegrid_t")
         sinks.replace_table(df, "hazegrid_t", str(tmp_path / df.columns[0]))
     assert spark.table("hazegrid_t").columns == ["n"] and spark.table("hazegrid_t").count() == 5
 

@@ -131,7 +131,8 @@ def test_extremes_take_the_lowest_key_on_ties(spark):
 
 def test_shares_count_unlisted_rows_in_the_total(spark):
     df = spark.createDataFrame([("Good",), ("Good",), ("else",), (None,)], "aqi_category string")
-    assert [(r["aqi_category"], r["n"], r["pct"]) for r in stats.category_counts(df).collect()] == [("Good", 2, 50.0)]
+    got = sorted((r["aqi_category"], r["n"], r["pct"]) for r in stats.category_counts(df).collect())
+    assert got == [("Good", 2, 50.0), ("else", 1, 25.0)]
 
 
 def test_daily_sum_is_zero_inside_the_span_only(spark):
@@ -142,13 +143,21 @@ def test_daily_sum_is_zero_inside_the_span_only(spark):
     assert [r["value"] for r in days] == [1.0, 0.0, 0.0, 0.0, 2.0]
 
 
-def test_daily_series_refuses_two_rows_a_day_and_skips_other_hours(spark):
-    rows = [("a", "2020-01-01 00:00:00", 1.0), ("a", "2020-01-02 06:00:00", 9.0)]
+def test_daily_series_refuses_two_rows_a_day_and_other_hours(spark):
+    rows = [("a", "2020-01-01 00:00:00", 1.0), ("a", None, 7.0)]
     df = spark.createDataFrame(rows, "series string, t string, value double").select(
         "series", F.to_timestamp_ntz("t").alias("ts"), "value")
     assert [r["value"] for r in resample.daily_value(df, ["series"]).collect()] == [1.0]
     with pytest.raises(Exception, match="more than one row"):
         resample.daily_value(df.unionByName(df), ["series"]).collect()
+    late = df.withColumn("ts", F.expr("ts + interval 6 hours"))
+    with pytest.raises(Exception, match="not stamped midnight"):
+        resample.daily_value(late, ["series"]).collect()
+    table = late.withColumn("feature", F.lit("O3"))
+    with pytest.raises(Exception, match="not stamped midnight"):
+        resample.to_daily_table(table, ["series"], {"O3": "daily"}, "2020-01-01", "2020-01-03").collect()
+    hourly = resample.to_daily_table(table, ["series"], {"O3": "hourly"}, "2020-01-01", "2020-01-02").orderBy("date").collect()
+    assert [r["O3"] for r in hourly] == [1.0, None]
 
 
 def test_sentinels(spark):
@@ -174,3 +183,43 @@ def test_recommendation_order(spark):
     assert rows[0]["actions"][0] == catalog.ACTION_MASK and "(15/11 - 15/11)" in rows[0]["actions"][-1]
     assert rows[1]["actions"][-1] == catalog.ACTION_HOT and len(rows[1]["actions"]) == 4
     assert rows[2]["title"] == catalog.ADVICE["Moderate"][0] and rows[2]["actions"] == [catalog.ACTION_COLD]
+
+
+def test_correlations_of_constant_empty_and_single_columns(spark):
+    rows = [(1.0, 5.0, None, 2.0), (2.0, 5.0, None, 4.0), (4.0, 5.0, None, None), (None, 5.0, None, 9.0)]
+    df = spark.createDataFrame(rows, "a double, flat double, none double, aqi double")
+    assert {r["variable"]: r["r"] for r in stats.correlations(df, ["a", "flat", "none"], labelled=True).collect()} == {"a": 1.0, "flat": None, "none": None}
+    matrix = {(r["first"], r["second"]): r["r"] for r in stats.correlation_matrix(df, ["a", "flat", "none", "aqi"]).collect()}
+    assert len(matrix) == 16
+    assert matrix["a", "a"] == matrix["aqi", "aqi"] == 1.0 and matrix["flat", "flat"] is None and matrix["none", "none"] is None
+    assert matrix["a", "flat"] is None and matrix["a", "none"] is None
+    line = stats.fitted_line(df, "flat", "aqi").first()
+    assert line["r"] is None and line["n"] == 3
+    assert stats.correlations(df.limit(1), ["a"]).first()["r"] is None
+
+
+def test_correlation_matches_numpy(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1e6, 500)
+    y = x * 0.3 + rng.normal(0, 1e6, 500)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0), (1.0, None)], "x double, y double")
+    assert abs(df.agg(stats.correlation("x", "y").alias("r")).first()["r"] - np.corrcoef(x, y)[0, 1]) < 1e-12
+
+
+def test_counts_of_unlisted_names(spark):
+    df = spark.createDataFrame([("Good",), ("Other",), (None,), ("Good",)], "aqi_category string")
+    assert {r["aqi_category"]: (r["n"], r["pct"]) for r in stats.category_counts(df).collect()} == {"Good": (2, 50.0), "Other": (1, 25.0)}
+
+
+def test_exact_quantiles_of_numbers_that_are_none_or_infinite(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, nan, None)], "v double")
+    assert exact_quantiles(df, [], "v", (0.0, 0.5, 1.0)).first()["q"] == [1.0, 1.5, 2.0]
+    wide = spark.createDataFrame([(v,) for v in (-inf, 1.0, 2.0, 3.0, inf)], "v double")
+    assert exact_quantiles(wide, [], "v", (0.0, 0.25, 0.5, 0.75, 1.0)).first()["q"] == [-inf, 1.0, 2.0, 3.0, inf]
+
+
+def test_breakpoints_are_as_published():
+    assert catalog.BREAKPOINTS["PM2_5"] == (0.0, 12.0, 35.4, 55.4, 150.4, 250.4, 350.4, 500.4)
+    assert catalog.BREAKPOINTS["O3"] == (0.0, 54.0, 70.0, 85.0, 105.0, 200.0, 300.0, 400.0)
+    assert catalog.INDEX_LEVELS == (0, 50, 100, 150, 200, 300, 400, 500)
