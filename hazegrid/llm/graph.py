@@ -12,7 +12,7 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of links (a, b): the label is the smallest node that links reach.
 
     In each round every node takes the least label among itself and its neighbours, then the label of its label, so paths
-    halve. Each round is written, and its links run between labels only: links inside one label are dropped, so the work
+    shrink to a quarter or less. Each round is written, and its links run between labels only: links inside one label are dropped, so the work
     shrinks. A hub's neighbours are never collected: its least neighbour is an aggregate with map-side combine.
     """
     links = staged(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
@@ -21,9 +21,9 @@ def components(links: DataFrame) -> DataFrame:
         both = links.union(links.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")) \
             .select("node", F.least("node", "near").alias("up"))
-        # Each node points to a smaller one or itself; three jumps shorten chains.
-        up = staged(least, "up")
-        for _ in range(3):
+        # Each node points to a smaller one or itself; two jumps shorten chains.
+        up = least
+        for _ in range(2):
             top = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
             up = up.join(top, "up").select("node", F.col("top").alias("up"))
         up = staged(up, "labels")
@@ -38,4 +38,3 @@ def components(links: DataFrame) -> DataFrame:
         links = staged(ends.filter("a_up <> b_up").select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct(), "links")
         if links.isEmpty():
             return staged(result, "components")
-        result = staged(result, "components")

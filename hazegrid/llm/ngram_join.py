@@ -1,17 +1,21 @@
 """Documents whose sets of word n-grams are nearly equal: an exact Jaccard join by T-occurrence search, and its components.
 
 A document of n shingles can only link with one that holds at least T = ceil(share * n) of them. Its inverted lists are
-divided as in DivideSkip, with the longest T - 1 lists skipped: a partner must stand in one of the other n - T + 1 lists,
+divided as in DivideSkip, with the longest T - k lists skipped: a partner must stand in k of the other n - T + k lists,
 the short ones, which are merged; the skipped lists are probed by binary search, candidate by candidate, until the
 overlap is exact. Which lists are long is counted first, over all documents; the order is by length, then by hash, and
-serves speed alone: whatever it is, no link is lost.
+serves speed alone: whatever it is, no link is lost. k is a twentieth of n, so that a few shingles in common, which any
+two texts may have, make no candidate.
 
 Documents with equal sets share one node, so copies meet as one posting. Most postings stand alone in their list and
-are dropped at once. The rest form open lists. Copies of one text would be a pair for every two of them, so lists are
-worked off in rounds: in each list all members outside the largest component are compared with one member of it, the
-pivot; links merge components; members of one component need no comparison any more. When few pairs of different
-components are left, or rounds run out, all of these are compared. No pair goes untested unless its nodes are linked
-already, so components are exact.
+are dropped at once, and so are nodes that stand in fewer than k lists with others. The rest form open lists. Copies of
+one text would be a pair for every two of them, so lists are worked off in rounds: each list has a pivot, a member of its
+largest component, and each member of another component is compared with the pivot that it meets most; links merge
+components; members of one component need no comparison any more. When rounds bring little, or run out, all pairs of
+different components are proposed at their first common list: what stands before it in either set cannot be shared, so
+its place in both orders must leave room for the overlap. No pair goes untested unless its nodes are linked already, or
+sizes, places or bitmaps rule it out, so components are exact. A bitmap holds the parity of a set's shingles in SIGNS
+hash classes: where two differ, a shingle is not shared.
 
 Nodes are 64-bit hashes of whole sets, shingles are 64-bit hashes. Null and empty texts have no shingle and link with
 nothing; a text of fewer words than n has one shingle. Repeated rows are copies.
@@ -36,10 +40,16 @@ SIZE, PERCENT = 4, 85
 #: Lists that the order knows as long, at most: 16 bytes each go to every task. The least length falls as they allow.
 LONG_LISTS = 1 << 20
 SHORTEST_LONG = 8
-#: Rounds with pivots at most; pairs that may be left over for the last comparison, as a multiple of the open postings.
-ROUNDS, LEFT = 8, 2.0
+#: Lists in which two partners meet at least, in percent of the set.
+MEETINGS = 5
+#: Rounds with pivots at most; they end as well when a round links fewer than one in PROGRESS nodes.
+ROUNDS, PROGRESS = 8, 50
+#: Bits of a set's bitmap.
+SIGNS = 1024
+#: Passes that drop nodes with too few meetings.
+SWEEPS = 3
 #: Tokens or postings that a task holds before it hands them on. Memory only.
-HELD = 1 << 21
+HELD = 1 << 19
 #: Bits of the filter that keeps only sets of open lists, at most.
 FILTER_BITS = 1 << 25
 
@@ -71,6 +81,11 @@ def least_overlap(n, percent: int):
     return -(-percent * n // 100)
 
 
+def meetings(n, percent: int):
+    """Short lists in which a set of n must meet a partner of its size, at least; grows with n."""
+    return 1 + n * MEETINGS // 100
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     """Binary probes of the smaller set in the larger: is 100 * intersection >= percent * union?"""
     if len(a) > len(b):
@@ -82,6 +97,12 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * same >= percent * (len(a) + len(b) - same)
 
 
+def signs(shingles: np.ndarray) -> bytes:
+    """Parity of a set's shingles in each class."""
+    counts = np.bincount((shingles % np.uint64(SIGNS)).astype(np.int64), minlength=SIGNS)
+    return np.packbits(counts & 1).tobytes()
+
+
 def _places(shingles: np.ndarray, buckets: int) -> np.ndarray:
     """List number of each shingle: its bucket, and 32 bits within. Two shingles under one number only mean more candidates."""
     return ((shingles >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (shingles & np.uint64(0xFFFFFFFF))
@@ -90,9 +111,9 @@ def _places(shingles: np.ndarray, buckets: int) -> np.ndarray:
 class _Held:
     """Arrays of a task, handed on as one blob for each bucket when there are many."""
 
-    def __init__(self, width: int):
+    def __init__(self):
         self.parts: list[tuple[np.ndarray, ...]] = []
-        self.size, self.width = 0, width
+        self.size = 0
 
     def add(self, *arrays: np.ndarray) -> None:
         self.parts.append(arrays)
@@ -115,7 +136,7 @@ class _Held:
 def _counted(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFrame:
     """A row (key, node, n) for each document, and rows (bucket, blob) with the shingles that may stand in short lists."""
     def run(batches):
-        held = _Held(1)
+        held = _Held()
 
         def handed(key=(), nodes=(), sizes=()):
             blobs = list(held.blobs()) if held.size >= HELD or not len(sizes) else []
@@ -134,7 +155,7 @@ def _counted(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFram
                 nodes.append(node(own) if n else None)
                 sizes.append(n)
                 # Twice the short lists: the order may skip as many for longer ones.
-                held.add(_places(own[:2 * (n - least_overlap(n, percent)) + 1], buckets))
+                held.add(_places(own[:2 * (n - least_overlap(n, percent) + meetings(n, percent))], buckets))
             yield handed(batch.column("key"), nodes, sizes)
         yield handed()
 
@@ -169,7 +190,7 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
     seen[places % np.uint64(1 << 22)] = True
 
     def run(batches):
-        short, long = _Held(3), _Held(3)
+        short, long = _Held(), _Held()
 
         def handed():
             rows = [(b, False, x) for b, x in short.blobs()] + [(b, True, x) for b, x in long.blobs()]
@@ -195,10 +216,12 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
                     at = np.minimum(np.searchsorted(places, own[maybe]), len(places) - 1)
                     hit = places[at] == own[maybe]
                     length[maybe[hit]] = lengths[at[hit]]
-                chosen = np.argsort(length, kind="stable")[:n - least_overlap(n, percent) + 1]
-                for held, mine in ((short, chosen[length[chosen] == 0]), (long, chosen[length[chosen] > 0])):
-                    if len(mine):
-                        held.add(own[mine], np.full(len(mine), name, np.int64), np.full(len(mine), n, np.uint32))
+                chosen = np.argsort(length, kind="stable")[:n - least_overlap(n, percent) + meetings(n, percent)]
+                at = np.arange(len(chosen), dtype=np.uint32)
+                for held, which in ((short, length[chosen] == 0), (long, length[chosen] > 0)):
+                    if which.any():
+                        m = int(which.sum())
+                        held.add(own[chosen[which]], np.full(m, name, np.int64), np.full(m, n, np.uint32), at[which])
             if short.size + long.size >= HELD:
                 yield handed()
         yield handed()
@@ -211,29 +234,30 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
             parts = []
             for blob, long in zip(table.column("blob").to_pylist(), table.column("long").to_pylist(), strict=True):
                 if long == kind:
-                    m = len(blob) // 16
-                    parts.append((np.frombuffer(blob, np.uint32, m), np.frombuffer(blob, np.int64, m, 4 * m), np.frombuffer(blob, np.uint32, m, 12 * m)))
+                    m = len(blob) // 20
+                    parts.append((np.frombuffer(blob, np.uint32, m), np.frombuffer(blob, np.int64, m, 4 * m),
+                                  np.frombuffer(blob, np.uint32, m, 12 * m), np.frombuffer(blob, np.uint32, m, 16 * m)))
             if not parts:
                 continue
-            place, name, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((name, place))
-            place, name, n = place[order], name[order], n[order]
-            fresh = np.append(True, (place[1:] != place[:-1]) | (name[1:] != name[:-1]))
-            place, name, n = place[fresh], name[fresh], n[fresh]
+            rows = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            order = np.lexsort((rows[3], rows[1], rows[0]))
+            rows = [x[order] for x in rows]
+            fresh = np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))
+            rows = [x[fresh] for x in rows]
             if not kind:
-                same = np.append(False, place[1:] == place[:-1])
+                same = np.append(False, rows[0][1:] == rows[0][:-1])
                 shared = same | np.append(same[1:], False)
-                place, name, n = place[shared], name[shared], n[shared]
-            out.append((place.astype(np.int64) + (bucket << 32), name, n.astype(np.int64)))
-        place, name, n = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
-        return pa.table({"place": place, "node": name, "n": n})
+                rows = [x[shared] for x in rows]
+            out.append((rows[0].astype(np.int64) + (bucket << 32), rows[1], rows[2].astype(np.int64), rows[3].astype(np.int64)))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4
+        return pa.table(dict(zip(("place", "node", "n", "at"), columns, strict=True)))
 
     blobs = docs.mapInArrow(run, "bucket int, long boolean, blob binary")
-    return blobs.groupBy("bucket").applyInArrow(merged, "place long, node long, n long")
+    return blobs.groupBy("bucket").applyInArrow(merged, "place long, node long, n long, at long")
 
 
 def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) -> str:
-    """Name of a table (node, shingles) of the nodes in open lists, and some others: a filter of bounded size picks them while
+    """Name of a table (node, n, signs, shingles) of the nodes in open lists, and some others: a filter of bounded size picks them while
     texts are read again. The table is bucketed by node, so that joins on it move the other side alone."""
     nodes = members.select("node").distinct()
     # Nodes are hashes already. 16 bits a node, as long as the filter may grow.
@@ -246,14 +270,15 @@ def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) ->
 
     def run(batches):
         for batch in (part for whole in batches for part in sliced(whole, "text")):
-            names, shingles = [], []
+            rows = []
             for _, own in sets(batch.column("text"), size):
                 name = node(own) if len(own) else 0
                 at = name % bits
                 if len(own) and int(table[at // 32]) >> at % 32 & 1:
-                    names.append(name)
-                    shingles.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(shingles, pa.binary())], names=["node", "shingles"])
+                    rows.append((name, len(own), signs(own), own.tobytes()))
+            names, sizes, maps, shingles = zip(*rows, strict=True) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()),
+                                              pa.array(shingles, pa.binary())], names=["node", "n", "signs", "shingles"])
 
     def once(batches):
         met: set[int] = set()
@@ -263,20 +288,22 @@ def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) ->
             yield batch.take(pa.array(fresh, pa.int64()))
 
     spark = docs.sparkSession
-    unique = docs.mapInArrow(run, "node long, shingles binary").repartition(buckets, "node").mapInArrow(once, "node long, shingles binary")
+    columns = "node long, n long, signs binary, shingles binary"
+    unique = docs.mapInArrow(run, columns).repartition(buckets, "node").mapInArrow(once, columns)
     name = f"sets_{uuid.uuid4().hex}"
     unique.write.bucketBy(buckets, "node").option("path", scratch(spark, "sets")).format("parquet").saveAsTable(name)
     return name
 
 
 def _compared(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b, same) for pairs (a, b), by the sets of both. Many pairs share a b, few an a: the sets of all b are few."""
+    """(a, b, same) for those pairs (a, b) that their bitmaps leave, by the sets of both. Many pairs share a b, few an a: the sets of all b are few."""
+    pairs = _possible(pairs, known, percent)
     first = pairs.join(known.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
     wanted = pairs.select(F.col("b").alias("node")).distinct()
     second = known.join(wanted, "node", "left_semi").select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in sliced(whole, "of_a")):
             same = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                     for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same, pa.bool_())], names=["a", "b", "same"])
@@ -284,6 +311,23 @@ def _compared(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return staged(first.join(second, "b").mapInArrow(run, "a long, b long, same boolean"), "compared")
 
 
+def _possible(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose bitmaps differ in no more shingles than a link allows."""
+    for c in ("a", "b"):
+        pairs = pairs.join(known.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("signs").alias(f"{c}_signs")), c)
+
+    def run(batches):
+        for batch in batches:
+            m = len(batch)
+            a, b = (np.frombuffer(b"".join(batch.column(f"{c}_signs").to_pylist()), np.uint64).reshape(m, -1) for c in ("a", "b"))
+            both = batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy()
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) if m else both
+            kept = batch.filter(pa.array(differ <= both - 2 * -(-percent * both // (100 + percent))))
+            yield kept.select(["a", "b"])
+
+    return staged(pairs.select("a", "b", "a_n", "b_n", "a_signs", "b_signs").mapInArrow(run, "a long, b long"), "pairs")
+
+
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return members.withColumn("label", F.col("node"))
@@ -314,7 +358,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = staged(_counted(docs, buckets, size, percent), "counted")
     rows = counted.filter("bucket is null").select("key", "node", "n")
-    members = staged(_postings(docs.select("text"), buckets, size, percent, *_long_lists(counted)), "members")
+    members = _swept(staged(_postings(docs.select("text"), buckets, size, percent, *_long_lists(counted)), "members"), percent)
     labels = None
     if not members.isEmpty():
         name = _open_sets(docs.select("text"), members, size, buckets)
@@ -329,38 +373,57 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
         F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "key").alias("component_id"))
 
 
+def _swept(members: DataFrame, percent: int) -> DataFrame:
+    """Members without those that cannot have a partner: it has `least_overlap` shingles at least, and meets them in as many lists as that asks for."""
+    # One less, as two shingles of a set may have fallen into one list.
+    least = F.greatest(F.lit(1), (F.floor((F.col("n") * percent + 99) / 100) * MEETINGS / 100).cast("long"))
+    for _ in range(SWEEPS):
+        enough = members.groupBy("node").agg(F.count("*").alias("met"), F.first("n").alias("n")).filter(F.col("met") >= least).select("node")
+        members = members.join(enough, "node", "left_semi")
+        shared = members.groupBy("place").agg(F.count("*").alias("size")).filter("size > 1").select("place")
+        members = staged(members.join(shared, "place", "left_semi"), "members")
+    return members
+
+
 def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Components (node, label) of all links between members of common lists."""
-    labels, tested, total = None, None, members.count()
-    near = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    labels, tested, total, linked_now = None, None, members.select("node").distinct().count(), None
+
+    def near(n, m, at, other):
+        """May sets of n and m link that have nothing in common before places `at` and `other` of their orders?"""
+        n, m, at, other = (F.col(c) for c in (n, m, at, other))
+        least = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (n - at >= least) & (m - other >= least)
+
     for turn in range(ROUNDS + 1):
         # Lists with one component left are done.
         lists = _labelled(members, labels)
-        groups = lists.groupBy("place", "label").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n")).alias("one"))
+        groups = lists.groupBy("place", "label").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at")).alias("one"))
         heads = staged(groups.groupBy("place").agg(
-            F.max(F.struct("size", F.negative("one.h").alias("h"), "label", "one")).alias("head"), F.count("*").alias("groups"),
-            ((F.sum("size").cast("double") * F.sum("size") - F.sum(F.col("size").cast("double") * F.col("size"))) / 2).alias("pairs")).filter("groups > 1"), "heads")
-        left = heads.agg(F.sum("pairs")).first()[0]
-        if not left:
+            F.max(F.struct("size", F.negative("one.h").alias("h"), "label", "one")).alias("head"), F.count("*").alias("groups")).filter("groups > 1"), "heads")
+        if heads.isEmpty():
             break
-        last = turn == ROUNDS or turn > 0 and left <= LEFT * total
+        last = turn == ROUNDS or linked_now is not None and linked_now * PROGRESS < total
         if last:
             open_ = lists.join(heads.select("place"), "place", "left_semi")
-            other = open_.select("place", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-            pairs = open_.join(other, "place").filter((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near(F.col("n"), F.col("m")))
-            pairs = pairs.select(F.col("node").alias("a"), "b")
+            theirs = open_.select("place", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("at").alias("b_at"))
+            pairs = open_.join(theirs, "place").filter((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
+            pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
         else:
-            pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"))
-            pairs = lists.join(pivot, "place").filter((F.col("label") != F.col("other")) & near(F.col("n"), F.col("m")))
-            pairs = pairs.select(F.col("node").alias("a"), "b")
-        pairs = pairs.distinct()
+            pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"),
+                                 F.col("head.one.at").alias("b_at"))
+            pairs = lists.join(pivot, "place").filter((F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
+            pairs = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met"))
         if tested is not None:
             both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
             pairs = pairs.join(both, ["a", "b"], "left_anti")
-        found = _compared(staged(pairs, "pairs"), known, percent)
+        if not last:
+            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
+        pairs = staged(pairs.select("a", "b"), "pairs")
+        found = _compared(pairs, known, percent)
         labels = _merged(labels, found)
         if last:
             break
-        done = found.filter("not same").select("a", "b")
-        tested = done if tested is None else tested.union(done)
+        linked_now = found.filter("same").count()
+        tested = pairs if tested is None else tested.union(pairs)
     return labels
