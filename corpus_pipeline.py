@@ -29,9 +29,12 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the least doc_id of each component of near copies. Rows that equal each other in id and text are one; texts without a word stay."""
     ship(spark)
-    found = ngram_join.components(docs, key="doc_id")
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_chosen")).distinct()
-    return docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi").dropDuplicates(["doc_id", "text"])
+    found = staged(ngram_join.components(docs, key="doc_id"), "components")
+    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .groupBy(F.col("doc_id").alias("_chosen")).agg(F.count("*").alias("_rows"))
+    kept = docs.join(chosen.drop("_rows"), F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")
+    # Texts move once more only where an id is repeated.
+    return kept if chosen.filter("_rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
