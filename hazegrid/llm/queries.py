@@ -85,7 +85,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text") \
         .withColumn("held_out", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)))
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(remainder("doc_id", 5) != 0)
-    model = toxicity.fit(documents.filter("not held_out").join(labels, "doc_id"))
+    model = toxicity.fit(toxicity.labelled(documents.filter("not held_out"), labels))
     return toxicity.score(documents, model).select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
