@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 #: Passes of expectation-maximisation, and what is added to every count.
 PASSES, SMOOTH = 100, 1.0
 #: Symbols that are counted; separators.
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 _BLANKS = " \t\n\x0b\x0c\r"
 _GAP = r"[\x20\x09-\x0D]+"
 _CHARACTER = r"[^\x20\x09-\x0D]"
@@ -32,8 +32,8 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
 
 
 def repeated_words(words: Column) -> Column:
@@ -64,12 +64,11 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     of_words = _bound(words, lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("again")))
     of_lines = _bound(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("again")))
     made = df.withColumn("_value", value).withColumn("_words", of_words).withColumn("_lines", of_lines)
-    value, size = F.col("_value"), F.length("_value")
+    value = F.col("_value")
     numbers = {
-        "n_words": F.col("_words.n"), "word_chars": _without(value, _BLANKS), "n_symbols": size - _without(value, SYMBOLS),
+        "n_words": F.col("_words.n"), "word_chars": F.length(value) - _count(value, r"[\x20\x09-\x0D]"), "n_symbols": _count(value, SYMBOLS),
         "n_dup_lines": F.col("_lines.again"), "n_repeat_words": F.col("_words.again"), "n_lines": F.col("_lines.n"),
-        "n_upper": size - _without(value, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "n_shouts": size - _without(value, "!"),
-        "n_ends": size - _without(value, ".?"),
+        "n_upper": _count(value, "[A-Z]"), "n_shouts": _count(value, "!"), "n_ends": _count(value, "[.?]"),
     }
     return made.select(*kept, *(numbers[m].cast("long").alias(m) for m in MEASURES))
 
