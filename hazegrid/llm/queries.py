@@ -132,3 +132,6 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest(turns.cast("binary")).alias("turns_sha256"),
                        F.length("loss").cast("long").alias("loss_chars"), digest(F.col("loss").cast("binary")).alias("loss_sha256"), "formatted_chars")
+
+
+ORACLES["op3_chat_format"] = oracles.CHAT_FORMAT

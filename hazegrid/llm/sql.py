@@ -29,3 +29,23 @@ SELECT page_id, host, path, rule, CASE
   WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+CHAT_FORMAT = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+-- A rendered turn is longer by its marks, by a backslash for each backslash and control string, and for each line end in the role.
+sized AS (
+  SELECT *, role || text AS both,
+    length('<|im_start|>') + length('<|im_end|>') + 2 + length(role) + length(text)
+    + length(role || text) - length(replace(role || text, chr(92), '')) + length(role) - length(replace(role, chr(10), ''))
+    + len(regexp_extract_all(text, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|</?s>|\[/?INST\]'))
+    + len(regexp_extract_all(role, '<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|</?s>|\[/?INST\]')) AS chars
+  FROM said)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""

@@ -77,9 +77,9 @@ def test_many_turns_in_order(spark):
     assert [t.text for t in turns] == [str(k) for k in range(1000)]
 
 
-def test_url_verdicts_match_sql(spark):
-    con = connect(SF)
-    assert compare(queries.QUERIES["op5_url_verdicts"](spark, SF), con, queries.ORACLES["op5_url_verdicts"]) == ""
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_match_their_sql(spark, name):
+    assert compare(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLES[name]) == ""
 
 
 URLS = [None, "", "no scheme", "http://", "http://A.Org", "https://x.EXAMPLE.org/es/1?q#f", "http://example.org/en/12", "http://example.org/en/2", "http://badexample.org/es/",
