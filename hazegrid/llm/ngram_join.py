@@ -44,6 +44,8 @@ SHORTEST_LONG = 8
 MEETINGS = 5
 #: Rounds with pivots at most; they end as well when a round links fewer than one in PROGRESS nodes.
 ROUNDS, PROGRESS = 8, 50
+#: Members of a list that meet in one task, at most.
+WIDEST = 4096
 #: Bits of a set's bitmap.
 SIGNS = 1024
 #: Passes that drop nodes with too few meetings.
@@ -385,6 +387,76 @@ def _swept(members: DataFrame, percent: int) -> DataFrame:
     return members
 
 
+def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that sizes, places and bitmaps leave, of all open lists (place, node, n, at, label, members, first).
+
+    Pairs are looked at inside tasks and only the few that are left go out. Lists with one first member mostly have the same
+    members: they go to one task, which names a pair once. A list of more than WIDEST members is cut into parts by node, and
+    each two of its parts meet in a task.
+    """
+    signed = lists.join(known.select("node", "signs"), "node")
+    parts = F.ceil(F.col("members") / WIDEST).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    met = signed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))) \
+        .select("first", "place", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "at", "label", "signs")
+
+    def pairs_of(rows: dict[str, np.ndarray], lo: int, hi: int) -> np.ndarray:
+        """Rows (a, b) of one list part, in blocks of rows."""
+        node, n, at, label, own, maps = (rows[c][lo:hi] for c in ("node", "n", "at", "label", "own", "signs"))
+        apart = rows["low"][lo] != rows["high"][lo]
+        found = []
+        step = max(1, (1 << 20) // (hi - lo))
+        for i in range(0, hi - lo, step):
+            s = slice(i, i + step)
+            both = n[s, None] + n
+            least = -(-percent * both // (100 + percent))
+            ok = (node[s, None] < node) & (label[s, None] != label) & (n[s, None] - at[s, None] >= least) & (n - at >= least)
+            ok &= (100 * n[s, None] >= percent * n) & (100 * n >= percent * n[s, None])
+            if apart:
+                ok &= own[s, None] != own
+            a, b = np.nonzero(ok)
+            if len(a):
+                differ = np.bitwise_count(maps[a + i] ^ maps[b]).sum(axis=1, dtype=np.int64)
+                left = differ <= both[a, b] - 2 * least[a, b]
+                a, b = a[left] + i, b[left]
+                swap = node[a] > node[b]
+                found.append(np.stack([np.where(swap, node[b], node[a]), np.where(swap, node[a], node[b])], axis=1))
+        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+
+    def run(batches):
+        rest: pa.Table | None = None
+
+        def done(table: pa.Table, whole: bool):
+            """Pairs of all list parts that are complete, and the rows of the last one if more may come."""
+            rows = {c: table.column(c).to_numpy() for c in ("place", "low", "high", "own", "node", "n", "at", "label")}
+            rows["signs"] = np.frombuffer(b"".join(table.column("signs").to_pylist()), np.uint64).reshape(len(table), -1)
+            fresh = np.append(True, (np.diff(rows["place"]) != 0) | (np.diff(rows["low"]) != 0) | (np.diff(rows["high"]) != 0))
+            starts = np.append(np.flatnonzero(fresh), len(table))
+            last = len(starts) - 1 if whole else len(starts) - 2
+            found = [pairs_of(rows, starts[k], starts[k + 1]) for k in range(last) if starts[k + 1] - starts[k] > 1]
+            return found, table.slice(int(starts[last]))
+
+        def named(found: list[np.ndarray]) -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table])
+            found, rest = done(table, False)
+            held += found
+            if sum(map(len, held)) > HELD:
+                yield named(held)
+                held = []
+        if rest is not None and len(rest):
+            held += done(rest, True)[0]
+        yield named(held)
+
+    return met.repartition("first", "low", "high").sortWithinPartitions("first", "low", "high", "place") \
+        .mapInArrow(run, "a long, b long").distinct()
+
+
 def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Components (node, label) of all links between members of common lists."""
     labels, tested, total, linked_now = None, None, members.select("node").distinct().count(), None
@@ -398,17 +470,16 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
     for turn in range(ROUNDS + 1):
         # Lists with one component left are done.
         lists = _labelled(members, labels)
-        groups = lists.groupBy("place", "label").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at")).alias("one"))
+        groups = lists.groupBy("place", "label").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at")).alias("one"))
         heads = staged(groups.groupBy("place").agg(
-            F.max(F.struct("size", F.negative("one.h").alias("h"), "label", "one")).alias("head"), F.count("*").alias("groups")).filter("groups > 1"), "heads")
+            F.max(F.struct("size", F.negative("one.h").alias("h"), "label", "one")).alias("head"), F.count("*").alias("groups"),
+            F.sum("size").alias("members"),
+            F.min("least").alias("first")).filter("groups > 1"), "heads")
         if heads.isEmpty():
             break
         last = turn == ROUNDS or linked_now is not None and linked_now * PROGRESS < total
         if last:
-            open_ = lists.join(heads.select("place"), "place", "left_semi")
-            theirs = open_.select("place", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("at").alias("b_at"))
-            pairs = open_.join(theirs, "place").filter((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
-            pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
+            pairs = _rest(lists.join(heads.select("place", "members", "first"), "place"), known, percent)
         else:
             pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"),
                                  F.col("head.one.at").alias("b_at"))
