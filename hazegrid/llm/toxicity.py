@@ -24,15 +24,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazegrid.llm import addresses
 from hazegrid.llm.columns import added
-from hazegrid.llm.staging import spread, staged
+from hazegrid.llm.staging import staged
 
 #: Shortest and longest beginning of a word in the lexicon.
 SHORTEST, LONGEST = 4, 12
 #: Least number of toxic texts with an entry and least log odds; size of the lexicon.
 SUPPORT, ODDS, ENTRIES = 4, 2.5, 5000
-#: Labelled texts that the lexicon is learned from, about.
-SAMPLE = 20_000
 #: Words counted before a task hands its counts on. Memory only.
 HELD = 300_000
 #: A phrase of a match and a neighbour is an exception if so many clean texts have it and no toxic one.
@@ -184,11 +183,13 @@ def learn_exceptions(rows: DataFrame, lexicon: tuple[tuple[str, float], ...]) ->
     return tuple(sorted(r.phrase for r in found.collect()))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", sample: int = SAMPLE) -> DataFrame:
-    """`docs` with the columns of `labels`, for about `sample` labelled rows picked by a hash of the key; so few labels are broadcast, and no text moves."""
-    n = labels.count()
-    chosen = labels.filter(spread(key) < min(1.0, sample / max(n, 1)))
-    return docs.join(F.broadcast(chosen), key)
+def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """`docs` with the columns of `labels`, for all labelled rows. Of the texts hardly more than the labelled ones move: a
+    Bloom filter of the labels' keys goes to the tasks first. Its size is bounded; when it's full, more texts move."""
+    blocks = min(max(1, labels.count() // addresses.PER_BLOCK), addresses.BROADCAST_BLOCKS)
+    maybe = addresses.possible(docs, key, labels.select(F.col(key).alias("key")), blocks).filter("possible").drop("possible")
+    # Merged at any size of the labels, so that what is moved grows with the texts.
+    return maybe.join(labels.hint("merge"), key)
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:

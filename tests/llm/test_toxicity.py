@@ -81,3 +81,22 @@ def test_without_both_labels(spark):
     assert scores(spark, toxicity.fit(clean), ["moron", None])[0] < 0.01
     toxic = spark.createDataFrame([("a", 1), (None, 1)], "text string, toxic int")
     assert scores(spark, toxicity.fit(toxic), ["moron", None])[1] > 0.99
+
+
+def test_all_labels_count(spark):
+    """A word in SUPPORT of 60,000 texts and a phrase in CLEAN of them are learned, wherever they stand."""
+    cases = "case when id % 15000 = 7 then 'you quixwort' when id % 6000 = 9 then 'the zorblax went' when id % 12000 = 3 then 'a zorblax fish' " \
+        "when id % 10 = 1 then 'what a moron' else 'a plain text' end"
+    docs = spark.range(60_000).selectExpr("id as doc_id", f"{cases} as text")
+    labels = docs.selectExpr("doc_id", "cast(text in ('you quixwort', 'the zorblax went', 'what a moron') as int) as toxic")
+    model = toxicity.fit(toxicity.labelled(docs, labels))
+    assert {"moron", "quixwort", "zorblax"} <= {entry for entry, _ in model.lexicon}
+    assert "zorblax fish" in model.exceptions
+
+
+def test_labelled_rows_are_those_of_the_join(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "b"), (2, None), (None, "c"), (4, "d")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, 1), (2, 1)], "doc_id long, toxic int")
+    rows = sorted(toxicity.labelled(docs, labels).select("doc_id", "text", "toxic").collect(), key=str)
+    assert [tuple(r) for r in rows] == [(1, "a", 1), (1, "b", 1), (2, None, 0), (2, None, 1)]
+    assert toxicity.labelled(docs, labels.limit(0)).count() == 0
