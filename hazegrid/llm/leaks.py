@@ -4,11 +4,13 @@ Words are runs of letters and digits, in lower case. The search follows the CGK
 shared random bits, one output a step, and a step moves on by one word or none, as a random bit of the word read says.
 Strings at a small edit distance then agree in most outputs. A window of the document starts at each of its words; so
 does one at each word of an item, for as long as the walk stays inside the item. A key is a sample of the outputs, and
-REPEATS independent walks give as many keys. Equal keys propose where the item as a whole lies in the document, and the
+independent walks give as many keys. Equal keys propose where the item as a whole lies in the document, and the
 edit distance over words decides: at most SHARE of the item's words, rounded down.
 
-With STEPS steps a walk reads about half as many words, so any clean stretch of that length inside a passage proposes it.
-Items with fewer words use the longest power of two of steps that fits; an item with a single word is looked up by it.
+Steps and number of walks follow from the item's length, SHARE and RECALL. Edits are worst spaced evenly: they leave the
+shortest clean stretches. A walk from the first word of a stretch reads only clean words if it moves less often than the
+stretch has words, a binomial chance; stretches and walks are independent. Each length takes the most steps with which
+REPEATS walks or fewer miss all stretches at a chance of 1 - RECALL at most. An item with a single word is looked up by it.
 
 Null and empty documents and items without a word match nothing. Equal items are reported each; of several places of one
 item in a document the closest, then the first is. Items are taken in blocks of BLOCK words: each block travels with the
@@ -17,6 +19,8 @@ tasks, of bounded size, and all blocks look at all documents in one pass.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -30,8 +34,10 @@ from hazegrid.llm.columns import added
 
 #: Part of an item's words that may differ.
 SHARE = 0.2
-#: Independent walks, and the steps of a walk.
-REPEATS, STEPS = 3, 16
+#: Least chance that an item with as many edits as allowed is proposed, however they lie.
+RECALL = 0.999
+#: Independent walks, and the steps of a walk, at most.
+REPEATS, STEPS = 8, 16
 #: Words of benchmark items in a block, about.
 BLOCK = 2_000_000
 
@@ -60,17 +66,27 @@ def _blank(data: np.ndarray) -> np.ndarray:
     return blank
 
 
-def _steps(n: int) -> int:
-    """Steps of the walks over an item of n words: they read n words at most."""
-    steps = 1
-    while steps * 2 <= min(n, STEPS):
-        steps *= 2
-    return steps
+def _missed(n: int, steps: int) -> float:
+    """Chance, at most, that one walk of so many steps misses an item of n words whose allowed edits are spaced evenly."""
+    edits = int(SHARE * n)
+    least, longer = divmod(n - edits, edits + 1)
+    clean = [sum(math.comb(steps - 1, k) for k in range(min(size, steps))) / 2 ** (steps - 1) for size in (least, least + 1)]
+    return (1 - clean[0]) ** (edits + 1 - longer) * (1 - clean[1]) ** longer
+
+
+@functools.lru_cache(None)
+def _plan(n: int) -> tuple[int, int]:
+    """Steps and number of the walks over an item of n words: they read n words at most, and RECALL holds."""
+    steps = 1 << (min(n, STEPS).bit_length() - 1)
+    while steps > 1 and _missed(n, steps) ** REPEATS > 1 - RECALL:
+        steps //= 2
+    return steps, next(k for k in range(1, REPEATS + 1) if k == REPEATS or _missed(n, steps) ** k <= 1 - RECALL)
 
 
 def _walks(tokens: np.ndarray, starts: np.ndarray, repeat: int, wanted: set[int]):
     """Keys of the walks from `starts` after each wanted number of steps, and the last word read. Needs STEPS words beyond each start."""
     at = starts.copy()
+    coins = words.mixed(tokens + np.uint64((repeat + 1) * int(_KEY) & (1 << 64) - 1))
     key = np.full(len(starts), repeat + 1, np.uint64)
     for step in range(max(wanted)):
         word = tokens[at]
@@ -79,7 +95,7 @@ def _walks(tokens: np.ndarray, starts: np.ndarray, repeat: int, wanted: set[int]
             key ^= key >> np.uint64(29)
         if step + 1 in wanted:
             yield step + 1, key, at
-        at = at + ((word >> np.uint64(repeat * STEPS + step)) & _ONE).astype(np.int64)
+        at = at + ((coins[at] >> np.uint64(step)) & _ONE).astype(np.int64)
 
 
 class Items:
@@ -94,9 +110,9 @@ class Items:
         for item, own in enumerate(self.words):
             if not len(own):
                 continue
-            steps = _steps(len(own))
+            steps, repeats = _plan(len(own))
             padded = np.append(own, np.zeros(STEPS + 1, np.uint64))
-            for repeat in range(REPEATS):
+            for repeat in range(repeats):
                 for _, key, last in _walks(padded, np.arange(len(own)), repeat, {steps}):
                     inside = np.flatnonzero(last < len(own))
                     found[steps, repeat].append((key[inside], np.full(len(inside), item), inside))
@@ -108,15 +124,15 @@ class Items:
             seen = np.zeros(1 << bits, bool)
             seen[keys >> np.uint64(64 - bits)] = True
             self.tables[kind] = keys[order], items[order], offsets[order], seen, np.uint64(64 - bits)
-        self.steps = {s for s, _ in self.tables}
+        self.steps = {repeat: {s for s, r in self.tables if r == repeat} for _, repeat in self.tables}
 
     def proposed(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and the words of the document where they would start, for all equal keys."""
         padded = np.append(tokens, np.zeros(STEPS + 1, np.uint64))
         starts = np.arange(len(tokens))
         items, begins = [], []
-        for repeat in range(REPEATS if self.steps else 0):
-            for steps, key, _ in _walks(padded, starts, repeat, self.steps):
+        for repeat, wanted in self.steps.items():
+            for steps, key, _ in _walks(padded, starts, repeat, wanted):
                 keys, owner, offset, seen, shift = self.tables[steps, repeat]
                 hit = np.flatnonzero(seen[key >> shift])
                 if not len(hit):

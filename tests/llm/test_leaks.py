@@ -108,3 +108,24 @@ def test_a_word_that_is_repeated_very_often(spark):
     items = spark.createDataFrame([(1, "the of the of the of the of the of the of"), (2, "a b c d e f g h i j")], "item_id long, text string")
     out = {r.doc_id: [(x["item"], x["distance"]) for x in r.leaks] for r in leaks.with_leaks(docs, items).collect()}
     assert out == {1: [(1, 0), (2, 0)], 2: []}
+
+
+@pytest.mark.parametrize("even", [True, False])
+def test_recall_at_all_allowed_edits_and_every_length(even):
+    """Items of 5 words and more with floor(n / 5) replaced words, at even distances or anywhere."""
+    rng = np.random.default_rng(8)
+    lost = []
+    for n in [*range(5, 61), 80, 140, 200, 400]:
+        items = leaks.Items([" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, n)) for _ in range(100)])
+        edits = int(leaks.SHARE * n)
+        missed = 0
+        for k, own in enumerate(items.words):
+            places = [(j + 1) * (n + 1) // (edits + 1) - 1 for j in range(edits)] if even else rng.choice(n, edits, replace=False)
+            changed = own.copy()
+            changed[places] = rng.integers(1, 1 << 63, edits, dtype=np.uint64)
+            noise = rng.integers(1, 1 << 63, 60, dtype=np.uint64)
+            text = np.concatenate([noise[:30], changed, noise[30:]])
+            missed += (k, edits) not in {(i, d) for _, i, d, _, _ in leaks.found(items, text, np.array([0, len(text)]))}
+        lost.append((n, missed))
+    assert all(missed <= 2 for _, missed in lost), lost
+    assert sum(missed for _, missed in lost) <= 0.004 * 100 * len(lost), lost
