@@ -38,6 +38,8 @@ SHARE = 0.2
 RECALL = 0.999
 #: Independent walks, and the steps of a walk, at most.
 REPEATS, STEPS = 8, 16
+#: Proposals looked at together. Memory only.
+CANDIDATES = 1 << 18
 #: Words of benchmark items in a block, about.
 BLOCK = 2_000_000
 
@@ -116,6 +118,12 @@ class Items:
                 for _, key, last in _walks(padded, np.arange(len(own)), repeat, {steps}):
                     inside = np.flatnonzero(last < len(own))
                     found[steps, repeat].append((key[inside], np.full(len(inside), item), inside))
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        # Whether an item has a word, by a hash of both; a false yes only costs time.
+        pairs = np.concatenate([w + k for w, k in zip(self.words, self.marks(np.arange(len(self.words))), strict=True)] or [np.zeros(0, np.uint64)])
+        self.shift = np.uint64(64 - min(24, max(16, len(pairs).bit_length() + 4)))
+        self.has = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.has[words.mixed(pairs) >> self.shift] = True
         self.tables = {}
         for kind, parts in found.items():
             keys, items, offsets = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -146,6 +154,37 @@ class Items:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(items), np.concatenate(begins)
 
+    @staticmethod
+    def marks(items: np.ndarray) -> np.ndarray:
+        return words.mixed(items.astype(np.uint64) + _ONE)
+
+    def likely(self, tokens: np.ndarray, item: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of proposals, each once, those around which as many of the item's words stand as a match needs."""
+        both = np.unique(item * (2 * len(tokens) + 2 * int(self.sizes.max(initial=0))) + begin + int(self.sizes.max(initial=0)))
+        item, begin = np.divmod(both, 2 * len(tokens) + 2 * int(self.sizes.max(initial=0)))
+        begin -= int(self.sizes.max(initial=0))
+        kept = []
+        for at in range(0, len(item), CANDIDATES):
+            which = np.arange(at, min(at + CANDIDATES, len(item)))
+            size = self.sizes[item[which]]
+            slack = (SHARE * size).astype(np.int64)
+            first, width, mark = begin[which] - slack, size + 2 * slack, self.marks(item[which])
+            # Words that may still be missing; who has run out of them is out.
+            spare = width - (size - slack)
+            for k in range(int(width.max())):
+                place = first + k
+                inside = (place >= 0) & (place < len(tokens))
+                there = self.has[words.mixed(tokens[np.where(inside, place, 0)] + mark) >> self.shift] & inside
+                spare = spare - (~there & (k < width))
+                if k % 8 == 7:
+                    left = spare >= 0
+                    which, first, width, mark, spare = which[left], first[left], width[left], mark[left], spare[left]
+                    if not len(which):
+                        break
+            kept.append(which[spare >= 0])
+        which = np.concatenate(kept)
+        return item[which], begin[which]
+
 
 def placed(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """Least edit distance of an item to any stretch of a text, in words, and that stretch: of equals the one that ends first, then the longest."""
@@ -170,8 +209,9 @@ def found(items: Items, tokens: np.ndarray, rows: np.ndarray):
     item, begin = items.proposed(tokens)
     if not len(item):
         return
+    item, begin = items.likely(tokens, item, begin)
     # A walk from a word of one row may read words of the next: the start tells the row.
-    sizes = np.array([len(w) for w in items.words])
+    sizes = items.sizes
     middle = np.clip(begin, 0, max(len(tokens) - 1, 0))
     candidates = set()
     for at in (middle, np.clip(begin + sizes[item] - 1, 0, max(len(tokens) - 1, 0)), np.clip(begin + sizes[item] // 2, 0, max(len(tokens) - 1, 0))):
