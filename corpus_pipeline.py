@@ -16,6 +16,8 @@ from hazegrid.llm.staging import remainder, staged
 
 #: What the stages work on and return; further columns of a table pass through.
 RANKS = "byte_bpe_50k.tiktoken"
+#: Words of a shingle and least similarity in percent of near copies; op6 has its own.
+SHINGLE, ALIKE = 5, 80
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +31,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the least doc_id of each component of near copies. Rows that equal each other in id and text are one; texts without a word stay."""
     ship(spark)
-    found = staged(ngram_join.components(docs, key="doc_id"), "components")
+    found = staged(ngram_join.components(docs, key="doc_id", size=SHINGLE, percent=ALIKE), "components")
     chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy(F.col("doc_id").alias("_chosen")).agg(F.count("*").alias("_rows"))
     kept = docs.join(chosen.drop("_rows"), F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")

@@ -104,3 +104,22 @@ def test_shared_folder_is_the_sessions(spark):
     from hazegrid.session import shared_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or shared_dir(spark)) and (named or os.path.isdir(shared_dir(spark)))
+
+
+def test_near_copies_share_four_fifths_of_their_five_word_shingles(spark):
+    """Brute force at 5 words and 80 percent, with copies that are less alike on 4-word shingles than op6 asks for."""
+    own = [f"w{k}" for k in range(100)]
+    changed = lambda *at: " ".join("x" + w if k in at else w for k, w in enumerate(own))
+    rows = [(1, changed()), (2, changed(30, 70)), (3, changed(20, 50, 80)), (4, "one two three four five six"), (5, "one two three four five seven")]
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+    kept = []
+    for d, t in rows:
+        if not any(len(shingles(t) & shingles(u)) >= 0.8 * len(shingles(t) | shingles(u)) for c, u in rows if c < d):
+            kept.append(d)
+    assert kept == [1, 3, 4, 5]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF).collect()) == kept
