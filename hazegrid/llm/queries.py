@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import addresses, bpe, chat, language, leaks, ngram_join, personal, quality, toxicity, unigram
+from hazegrid.llm import addresses, bpe, chat, language, leaks, manifest, ngram_join, personal, quality, toxicity, unigram
 from hazegrid.llm import sql as oracles
 from hazegrid.llm.shipping import ship
 from hazegrid.llm.staging import remainder, staged
@@ -135,3 +135,25 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op3_chat_format"] = oracles.CHAT_FORMAT
+
+
+#: What a row's leaf covers, in this order.
+SEALED = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+@query
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows; a fifth of them is tampered with after the manifest was written."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = manifest.leaf(*(lowered if c == "text" else F.col(c) for c in SEALED))
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", manifest.leaf(*map(F.col, SEALED)).alias("leaf"), F.when(remainder("doc_id", 5) == 0, tampered).alias("tampered"))
+    found = manifest.with_proofs(rows, "source", "doc_id", "leaf", kept=("doc_id", "leaf", "tampered"))
+    path = F.col("proof.path")
+    return found.select(
+        "doc_id", "leaf", "proof.subroot", "proof.root", digest(manifest.siblings(path).cast("binary")).alias("proof_sha256"),
+        manifest.folded(path, F.coalesce("tampered", "leaf")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLES["op12_manifest"] = oracles.MANIFEST

@@ -49,3 +49,55 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+def crc32(text: str) -> str:
+    """Unsigned crc32 of an expression's ASCII text, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda r, _: xor(r >> 1, 3988292384 * (r & 1)))"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda t: CAST(ord(t) AS BIGINT))), "
+            f"lambda c, b: {bits}), 4294967295)")
+
+
+def _manifest(levels: int = 6) -> str:
+    """Trees of up to 16 ** levels leaves, level by level; from where one node is left, the levels above change nothing."""
+    part = "CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+    joined = " || ".join(part.format(c=c) for c in ("doc_id", "source", "lang", "n_chars"))
+    text = "CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || {} END"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [f"""WITH leaves AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree, sha256({joined} || {text.format('text')}) AS leaf,
+    CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 5 = 0 THEN sha256({joined} || {text.format(lowered)}) END AS tampered
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves)"""]
+
+    def grown(name: str, first: str) -> None:
+        out.append(f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM ({first}))")
+        for k in range(levels):
+            out.append(f"{name}run{k} AS (SELECT tree, pos // 16 AS run, any_value(n) AS n, list(d ORDER BY pos) AS ds FROM {name}{k} GROUP BY tree, pos // 16)")
+            out.append(f"{name}{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM "
+                       f"(SELECT tree, run AS pos, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d FROM {name}run{k}))")
+
+    def walked(name: str, source: str, runs: str, tree: str, at: str) -> str:
+        last = source
+        for k in range(levels):
+            inside = f"(({at} // {16 ** k}) % 16)"
+            left = f"CASE WHEN r.n > 1 THEN array_to_string(r.ds[1:{inside}], '') ELSE '' END"
+            right = f"CASE WHEN r.n > 1 THEN array_to_string(r.ds[{inside} + 2:], '') ELSE '' END"
+            out.append(f"{name}{k} AS (SELECT w.* EXCLUDE (proof, node), w.proof || {left} || {right} AS proof, "
+                       f"CASE WHEN r.n > 1 THEN sha256({left} || w.node || {right}) ELSE w.node END AS node "
+                       f"FROM {last} w JOIN {runs}run{k} r ON r.tree = {tree} AND r.run = {at} // {16 ** (k + 1)})")
+            last = f"{name}{k}"
+        return last
+
+    grown("g", "SELECT tree, place AS pos, leaf AS d FROM placed")
+    grown("s", f"SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, d FROM g{levels}")
+    out.append(f"tops AS (SELECT tree AS of_tree, row_number() OVER (ORDER BY tree) - 1 AS top_at, d AS subroot FROM g{levels})")
+    out.append("start AS (SELECT *, '' AS proof, coalesce(tampered, leaf) AS node FROM placed JOIN tops ON tree = of_tree)")
+    inner = walked("a", "start", "g", "w.tree", "w.place")
+    outer = walked("b", inner, "s", "''", "w.top_at")
+    return ",\n".join(out) + f"""
+SELECT doc_id, leaf, subroot, (SELECT d FROM s{levels}) AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+  node = (SELECT d FROM s{levels}) AS verified FROM {outer}"""
+
+
+MANIFEST = _manifest()
