@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import addresses, bpe, chat, language, leaks, manifest, ngram_join, personal, quality, toxicity, unigram
+from hazegrid.llm import addresses, bpe, chat, language, leaks, manifest, ngram_join, personal, quality, spelling, toxicity, unigram
 from hazegrid.llm import sql as oracles
 from hazegrid.llm.shipping import ship
 from hazegrid.llm.staging import remainder, staged
@@ -157,3 +157,21 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_manifest"] = oracles.MANIFEST
+
+
+#: Code points of a word, occurrences, and how many times as many a form has.
+WORD_SIZE, WORD_COUNT, FORM_RATIO = 7, 2, 10
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some occurrences lose a letter, as the crc32 of document and word says."""
+    said = table(spark, sf_dir, "documents").select("doc_id", F.explode(spelling.runs(F.col("text"), WORD_SIZE)).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    cut = (h % F.length("run")).cast("int")
+    word = F.when(h % 31 == 0, F.concat(F.substring("run", F.lit(1), cut), F.substring("run", cut + 2, F.length("run")))).otherwise(F.col("run"))
+    words = said.select(word.alias("word")).filter(F.length("word") >= WORD_SIZE).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= WORD_COUNT)
+    return spelling.variants(words, FORM_RATIO)
+
+
+ORACLES["op13_spelling"] = oracles.SPELLING

@@ -101,3 +101,38 @@ SELECT doc_id, leaf, subroot, (SELECT d FROM s{levels}) AS root, sha256(proof) A
 
 
 MANIFEST = _manifest()
+
+_HEX = "strpos('0123456789ABCDEF', substr(bytes, {}, 1)) - 1"
+_BITS = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda r, _: xor(r >> 1, 3988292384 * (r & 1)))"
+
+SPELLING = rf"""
+WITH said AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(list_transform(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'),
+    lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))) AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes FROM said WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(CAST(length(bytes) / 2 AS BIGINT)),
+    lambda i: CAST(16 * ({_HEX.format('2 * i + 1')}) + {_HEX.format('2 * i + 2')} AS BIGINT))), lambda c, b: {_BITS}), 4294967295) AS h
+  FROM counted),
+cut AS (
+  SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, unnest(range(length(word))) AS i FROM words),
+less AS (SELECT DISTINCT word, substr(word, 1, i) || substr(word, i + 2) AS rest FROM places),
+holes AS (SELECT word, i, substr(word, 1, i) || '?' || substr(word, i + 2) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS near FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word FROM less l JOIN words w ON l.rest = w.word),
+ranked AS (
+  SELECT a.word, a.near, w.n AS near_n, count(*) OVER (PARTITION BY a.word) AS n_near,
+    row_number() OVER (PARTITION BY a.word ORDER BY w.n DESC, encode(a.near)) AS place
+  FROM near a JOIN words w ON a.near = w.word),
+formed AS (
+  SELECT w.word, w.n, CAST(coalesce(r.n_near, 0) AS BIGINT) AS n_near,
+    CASE WHEN r.near_n >= 10 * w.n THEN r.near END AS form, CASE WHEN r.near_n >= 10 * w.n THEN r.near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1)
+SELECT word, form, n, n_near, form_n, coalesce(f4, f3, f2, f1, form, word) AS root FROM (
+  SELECT a.*, b.form AS f1, c.form AS f2, d.form AS f3, e.form AS f4 FROM formed a LEFT JOIN formed b ON a.form = b.word
+  LEFT JOIN formed c ON b.form = c.word LEFT JOIN formed d ON c.form = d.word LEFT JOIN formed e ON d.form = e.word)
+"""
