@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import addresses, bpe, chat, language, leaks, manifest, ngram_join, personal, quality, spelling, toxicity, unigram
+from hazegrid.llm import addresses, bpe, chat, language, leaks, manifest, ngram_join, personal, quality, spelling, substrings, toxicity, unigram
 from hazegrid.llm import sql as oracles
 from hazegrid.llm.shipping import ship
 from hazegrid.llm.staging import remainder, staged
@@ -175,3 +175,12 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_spelling"] = oracles.SPELLING
+
+
+@query
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "repeats.n_words", "repeats.n_removed", digest(F.col("repeats.kept").cast("binary")).alias("kept_sha256"))
+
+
+ORACLES["op11_repeats"] = oracles.REPEATS

@@ -136,3 +136,17 @@ SELECT word, form, n, n_near, form_n, coalesce(f4, f3, f2, f1, form, word) AS ro
   SELECT a.*, b.form AS f1, c.form AS f2, d.form AS f3, e.form AS f4 FROM formed a LEFT JOIN formed b ON a.form = b.word
   LEFT JOIN formed c ON b.form = c.word LEFT JOIN formed d ON c.form = d.word LEFT JOIN formed e ON d.form = e.word)
 """
+
+REPEATS = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(words) - 18)) AS i,
+    unnest(list_transform(range(1, len(words) - 18), lambda k: sha256(array_to_string(words[k:k + 19], ' ')))) AS d
+  FROM split WHERE len(words) >= 20),
+repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY d ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM repeated),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split),
+left_over AS (SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept, count(*) AS n FROM placed p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT s.doc_id, CAST(len(s.words) AS BIGINT) AS n_words, CAST(len(s.words) - coalesce(l.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(l.kept, '')) AS kept_sha256
+FROM split s LEFT JOIN left_over l ON s.doc_id = l.doc_id
+"""
