@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from hazegrid.llm import addresses
 from hazegrid.llm.columns import added, sliced
 from hazegrid.llm.staging import staged
 from hazegrid.llm.words import BLANK, mixed, shingled, texts, words
@@ -208,20 +209,28 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
     return a["key"].eqNullSafe(b["key"]) & (a["digest"] == b["digest"])
 
 
+def _sifted(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """`docs` with `possible`: false where no row of `found` has its digest. Most texts then needn't move to be joined; when the filter is full, more do."""
+    blocks = min(max(1, found.count() // addresses.PER_BLOCK), addresses.BROADCAST_BLOCKS)
+    return addresses.possible(docs, "digest", found.select(F.col("digest").alias("key")), blocks)
+
+
 def repeats(docs: DataFrame, span: int = SPAN, rounds: int = ROUNDS) -> DataFrame:
     """(key, digest, start, n): for rows (key, digest, text), stretches of n windows that also start earlier."""
     place = F.struct("key", "digest", "start")
     owners = staged(_owners(docs, span, rounds), "repeats-stretches")
-    shared = owners.groupBy("name").agg(F.count("*").alias("rows")).filter("rows > 1").select("name")
+    # Written, so that the join deals its rows anew and a name of many rows can be split.
+    shared = staged(owners.groupBy("name").agg(F.count("*").alias("rows")).filter("rows > 1").select("name"), "repeats-names")
     owners = staged(owners.join(shared, "name", "left_semi"), "repeats-shared")
     classes = staged(owners.groupBy("name", "whole").agg(F.min(place).alias("first"), F.max("n").alias("n")), "repeats-classes")
     copies = owners.join(classes.drop("n"), ["name", "whole"]).filter(place != F.col("first")).select("key", "digest", "start", "n")
     several = classes.groupBy("name").agg(F.count("*").alias("rows")).filter("rows > 1").select("name")
-    wanted = classes.join(several, "name", "left_semi").groupBy("first.key", "first.digest") \
-        .agg(F.collect_list(F.struct("name", "first.start", "n")).alias("wanted"))
-    texts_ = docs.join(wanted, _same(docs, wanted)).select(docs["key"], docs["digest"], docs["text"], "wanted")
+    wanted = staged(classes.join(several, "name", "left_semi").groupBy("first.key", "first.digest")
+                    .agg(F.collect_list(F.struct("name", "first.start", "n")).alias("wanted")), "repeats-wanted")
+    some = _sifted(docs, wanted).filter("possible")
+    texts_ = some.join(wanted, _same(some, wanted)).select(some["key"], some["digest"], some["text"], "wanted")
     windows = staged(_windows(texts_, span), "repeats-windows")
-    earliest = windows.groupBy("name", "window").agg(F.min(place).alias("first"))
+    earliest = staged(windows.groupBy("name", "window").agg(F.min(place).alias("first"), F.count("*").alias("rows")).filter("rows > 1").drop("rows"), "repeats-earliest")
     others = windows.join(earliest, ["name", "window"]).filter(place != F.col("first")).select("key", "digest", "start", F.lit(1).alias("n"))
     return copies.union(others)
 
@@ -260,8 +269,11 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", na
     rest = [c for c in docs.columns if c != text]
     digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     bare = docs.select(F.col(key).alias("key"), digest.alias("digest"), F.col(text).alias("text"))
-    marks = repeats(bare, span, rounds).groupBy("key", "digest").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
+    marks = staged(repeats(bare, span, rounds).groupBy("key", "digest").agg(F.collect_list(F.struct("start", "n")).alias("marks")), "repeats-marks")
     whole = docs.select(F.struct(*rest, F.lit(0).alias("_none_")).alias("row"), F.col(key).alias("key"), digest.alias("digest"), F.col(text).alias("text"))
-    both = whole.join(marks, _same(whole, marks), "left").select("row", F.struct("text", "marks").alias("work"))
+    sifted = _sifted(whole, marks)
+    some = sifted.filter("possible")
+    joined = some.join(marks, _same(some, marks), "left").select("row", F.struct("text", "marks").alias("work"))
+    both = sifted.filter("not possible").select("row", F.struct("text", F.lit(None).cast(marks.schema["marks"].dataType).alias("marks")).alias("work")).union(joined)
     made = added(both, "result struct<n_words: long, n_removed: long, kept: string, spans: array<struct<start: int, end: int>>>", "work", _kept(span))
     return made.select(*(F.col("work.text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns), F.col("result").alias(name))
