@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from checks import query
 from checks.bindings import AIR_SQL, CATEGORY_SQL, DENSE_SQL, INDEX_SQL, air, day, dense, index, r6, table
 from hazegrid import catalog
 from hazegrid.functions.numeric import clip
-from hazegrid.operators import clean, forecast, learn, windows
+from hazegrid.operators import clean, forecast, learn, linear, trees, windows
+from hazegrid.operators.windows import lead_name
 from hazegrid.plans import forecast as forecast_job
-from hazegrid.session import scratch
+from hazegrid.session import scratch, stage
 
 KEYS = ["series"]
 HORIZONS = catalog.HORIZONS
@@ -119,13 +121,74 @@ def least_squares_fit(spark, sf_dir):
     _, fitted = _fitted(spark, sf_dir)
     rows = []
     for (h, _), f in fitted.items():
-        b_scaled, a_scaled = float(f.models["aqi"].coefficients[0]), float(f.models["aqi"].intercept)
+        b_scaled, a_scaled = f.models["aqi"].coefficients[0], f.models["aqi"].intercept
         (cx, sx), (cy, sy) = f.scale_x.params["PM2_5"], f.scale_y.params["aqi"]
         slope = b_scaled * sy / sx
         rows.append((h, round(cy + a_scaled * sy - slope * cx, 4), round(slope, 6)))
     return spark.createDataFrame(rows, "horizon int, intercept double, slope double")
 
 
+# --- every series on its own, all targets and horizons from one pass -----------------------------
+
+_LABELS = [lead_name(t, h) for t in TARGETS for h in HORIZONS]
+_SEASON = "dayofyear(date) / 100e0"
+_MOMENTS_SQL = SUPERVISED_SQL + ", tall AS (" + " UNION ALL ".join(
+    f"SELECT series, '{y}' AS label, PM10 AS x1, {_SEASON} AS x2, {y} AS y FROM split WHERE split = 'train'" for y in _LABELS) + """),
+m AS (SELECT series, label, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) AS s11, var_pop(x2) * count(*) AS s22,
+  covar_pop(x1, x2) * count(*) AS s12, covar_pop(x1, y) * count(*) AS s1y, covar_pop(x2, y) * count(*) AS s2y FROM tall GROUP BY ALL)
+"""
+_TWO_SQL = " UNION ALL ".join(
+    f"""SELECT series, '{name}' AS learner, label, n, my - b1 * m1 - b2 * m2 AS a, b1, b2 FROM (SELECT *,
+  ((s22 + {alpha}) * s1y - s12 * s2y) / ((s11 + {alpha}) * (s22 + {alpha}) - s12 * s12) AS b1,
+  ((s11 + {alpha}) * s2y - s12 * s1y) / ((s11 + {alpha}) * (s22 + {alpha}) - s12 * s12) AS b2 FROM m)"""
+    for name, alpha in (("LinearRegression", "0e0"), ("Ridge", f"{linear.RIDGE_ALPHA}e0")))
+
+
+def _train_rows(spark, sf_dir):
+    return split_rows(spark, sf_dir).filter("split = 'train'").withColumn("season", F.dayofyear("date") / 100)
+
+
+@query("M5_linear_family", _MOMENTS_SQL + f"SELECT series, learner, label, n, round(a, 5) AS a, round(b1, 6) AS b1, round(b2, 6) AS b2 FROM ({_TWO_SQL})")
+def linear_family(spark, sf_dir):
+    """Least squares and ridge with two features against the solution by hand."""
+    found = linear.planes(_train_rows(spark, sf_dir), ["PM10", "season"], _LABELS, ("LinearRegression", "Ridge"), KEYS)
+    return found.select("series", "learner", "label", "n", F.round("intercept", 5).alias("a"), F.round(F.col("coefficients")[0], 6).alias("b1"),
+                        F.round(F.col("coefficients")[1], 6).alias("b2"))
+
+
+@query("M5_lasso", _MOMENTS_SQL + f"""SELECT series, label, n, round(my - b1 * m1, 5) AS a, round(b1, 6) AS b1 FROM (
+  SELECT *, sign(s1y) * greatest(abs(s1y) - n * {linear.LASSO_ALPHA}, 0) / s11 AS b1 FROM m)""")
+def lasso(spark, sf_dir):
+    """With one feature, lasso is least squares moved towards zero."""
+    found = linear.planes(_train_rows(spark, sf_dir), ["PM10"], _LABELS, ("Lasso",), KEYS)
+    return found.select("series", "label", "n", F.round("intercept", 5).alias("a"), F.round(F.col("coefficients")[0], 6).alias("b1"))
+
+
+# --- one tree of one cut, for both targets at once: the cut is drawn between the least and largest value ---
+
+_RNG = np.random.default_rng([42, 0, 0])
+_RNG.random((len(HORIZONS), 1))  # the draw of the features, of which there is one
+_DRAWN = [float(u) for u in _RNG.random((len(HORIZONS), 1))[:, 0]]
+
+
+@query("M5_extra_tree_stump", SUPERVISED_SQL + """, train AS (SELECT * FROM split WHERE split = 'train'),
+span AS (SELECT min(PM10) AS low, max(PM10) AS high FROM train)""" + " UNION ALL ".join(
+    f"""SELECT CAST({h} AS INTEGER) AS horizon, round(cut, 6) AS cut, """ + ", ".join(
+        f"round(avg({t}_h{h}) FILTER (WHERE PM10 {op} cut), 6) AS {t}_{side}" for t in TARGETS for side, op in (("below", "<="), ("above", ">")))
+    + f" FROM train, (SELECT low + {u!r}::DOUBLE * (high - low) AS cut FROM span) GROUP BY cut" for h, u in zip(HORIZONS, _DRAWN)))
+def extra_tree_stump(spark, sf_dir):
+    rows = split_rows(spark, sf_dir).filter("split = 'train'")
+    ready = stage(rows.select(F.array("PM10").alias("x"), F.array(*[lead_name(t, h) for h in HORIZONS for t in TARGETS]).alias("y")), "stump")
+    found = trees.fit(ready, 1, len(TARGETS), len(HORIZONS), trees=1, depth=1)
+    out = []
+    for h, f in zip(HORIZONS, found):
+        below, above = f.value[f.left[0]], f.value[f.left[0] + 1]
+        out.append((h, float(f.cut[0]), *(float(side[k]) for k in range(len(TARGETS)) for side in (below, above))))
+    names = [f"{t}_{side}" for t in TARGETS for side in ("below", "above")]
+    df = spark.createDataFrame(out, "horizon int, cut double, " + ", ".join(f"{n} double" for n in names))
+    return df.select("horizon", *(F.round(c, 6).alias(c) for c in ("cut", *names)))
+
+
 @query("M5_all_learners", f"""SELECT CAST(h AS INTEGER) AS horizon, m AS model, 'aqi' AS target, true AS finite, true AS fits
 FROM (VALUES {', '.join(f"({h})" for h in HORIZONS)}) a(h), (VALUES {', '.join(f"('{m}')" for m in learn.LEARNERS)}) b(m)""")
 def all_learners(spark, sf_dir):

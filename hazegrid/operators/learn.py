@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel,
-    RandomForestRegressionModel, RandomForestRegressor,
-)
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hazegrid import catalog
 from hazegrid.functions.numeric import lookup, ratio
-from hazegrid.operators import chunks, clean
+from hazegrid.operators import chunks, clean, linear, scoring, trees
 from hazegrid.operators.quantiles import exact_quantiles
 from hazegrid.operators.windows import lead_name, with_leads
 from hazegrid.session import stage
@@ -79,42 +77,27 @@ class RobustScale:
 
 # --- learners -----------------------------------------------------------------------------
 
-RIDGE_ALPHA = 0.1
-LASSO_ALPHA = 0.01
+RIDGE_ALPHA, LASSO_ALPHA = linear.RIDGE_ALPHA, linear.LASSO_ALPHA
 
 
-def learners(n: int, label_std: float, trees: int = 200, depth: int = 30, rounds: int = 200,
-             round_depth: int = 10) -> dict[str, Estimator]:
-    """The learners for a training set of n rows whose label deviates by label_std.
-
-    The ridge penalty is expressed per row and in units of the label, as the
-    solver scales the label itself.
-    """
+def learners(trees: int = 200, depth: int = 30, rounds: int = 200, round_depth: int = 10) -> dict[str, Estimator]:
+    """The learners that Spark ML has, one model a target."""
     return {
         "RandomForest": RandomForestRegressor(
             numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=42),
         "GradientBoosting": GBTRegressor(
             maxIter=rounds, maxDepth=round_depth, stepSize=0.05, subsamplingRate=0.8,
             featureSubsetStrategy="sqrt", seed=42),
-        "Ridge": LinearRegression(
-            regParam=RIDGE_ALPHA * label_std / n, elasticNetParam=0.0, standardization=False, solver="normal"),
-        "Lasso": LinearRegression(
-            regParam=LASSO_ALPHA, elasticNetParam=1.0, standardization=False, maxIter=3000),
-        "LinearRegression": LinearRegression(regParam=0.0, standardization=False, solver="normal"),
     }
 
 
-LEARNERS = ("RandomForest", "GradientBoosting", "Ridge", "Lasso", "LinearRegression")
-_MODEL_CLASSES = {
-    "RandomForest": RandomForestRegressionModel, "GradientBoosting": GBTRegressionModel,
-    "Ridge": LinearRegressionModel, "Lasso": LinearRegressionModel,
-    "LinearRegression": LinearRegressionModel,
-}
+LEARNERS = ("RandomForest", "ExtraTrees", "GradientBoosting", *linear.NAMES)
+_MODEL_CLASSES = {"RandomForest": RandomForestRegressionModel, "GradientBoosting": GBTRegressionModel}
 
 
 @dataclass
 class Forecaster:
-    """One learner fitted for one horizon: a model and a scale per target."""
+    """One learner fitted for one horizon: a scale and, unless one forest has all targets, a model per target."""
 
     horizon: int
     name: str
@@ -122,19 +105,12 @@ class Forecaster:
     targets: list[str]
     scale_x: RobustScale
     scale_y: RobustScale
-    models: dict[str, Model] = field(default_factory=dict)
-
-    def assembled(self, df: DataFrame) -> DataFrame:
-        return assembled(df, self.features, self.scale_x)
+    models: dict[str, Model | linear.Plane] = field(default_factory=dict)
+    forest: trees.Forest | None = None
 
     def predict(self, df: DataFrame, suffix: str = "_pred") -> DataFrame:
         """Add `<target><suffix>` on the original scale."""
-        out = self.assembled(df)
-        for target, model in self.models.items():
-            model.setFeaturesCol("_x").setPredictionCol("_yhat")
-            out = model.transform(out).withColumn(
-                target + suffix, self.scale_y.restored(target, F.col("_yhat"))).drop("_yhat")
-        return out.drop("_x")
+        return with_predictions(df, [self], lambda f, target: target + suffix)
 
 
 def assembled(df: DataFrame, features, scale: RobustScale) -> DataFrame:
@@ -145,53 +121,92 @@ def assembled(df: DataFrame, features, scale: RobustScale) -> DataFrame:
     return VectorAssembler(inputCols=parts, outputCol="_x").transform(wide).drop(*parts)
 
 
+def with_predictions(df: DataFrame, forecasters, name: Callable[[Forecaster, str], str]) -> DataFrame:
+    """Add the prediction of every forecaster and target under name(forecaster, target), on the original scale.
+
+    Forecasters of one training share features and scale: these are scaled once, and the table is read once for all.
+    """
+    out, left = df, list(forecasters)
+    while left:
+        first = left[0]
+        group = [f for f in left if f.features == first.features and f.scale_x.params == first.scale_x.params]
+        left = [f for f in left if f not in group]
+        scaled = [first.scale_x.scaled(c, F.col(c).cast("double")) for c in first.features]
+        out = out.withColumn("_a", F.array(*scaled))
+        planes = {name(f, t): f.scale_y.restored(t, scoring.height(F.col("_a"), m))
+                  for f in group for t, m in f.models.items() if isinstance(m, linear.Plane)}
+        out = out.withColumns(planes) if planes else out
+        wooded = [f for f in group if f.forest is not None]
+        if wooded:
+            out = scoring.with_forests(out, "_a", [f.forest for f in wooded], "_packed")
+            places = [(f, t) for f in wooded for t in f.targets]
+            out = out.withColumns({name(f, t): f.scale_y.restored(t, F.col("_packed")[i]) for i, (f, t) in enumerate(places)}).drop("_packed")
+        fitted = [(f, t, m) for f in group for t, m in f.models.items() if not isinstance(m, linear.Plane)]
+        if fitted:
+            out = assembled(out, first.features, first.scale_x)
+            for f, t, model in fitted:
+                model.setFeaturesCol("_x").setPredictionCol("_yhat")
+                out = model.transform(out).withColumn(name(f, t), f.scale_y.restored(t, F.col("_yhat"))).drop("_yhat")
+        out = out.drop("_x", "_a")
+    return out
+
+
 def train(frame: DataFrame, features, targets, horizons, names=LEARNERS, threads: int = 4,
           **sizes) -> dict[tuple[int, str], Forecaster]:
     """Fit every learner for every horizon and target on the rows with split = 'train'.
 
-    The fits themselves are distributed; a few of them are started side by
-    side from the driver.
+    The linear learners come from one pass over the rows, for all horizons and targets. Extremely randomised trees
+    predict all targets of a horizon at once. Of the others each target is one job of Spark ML, a few side by side.
     """
     labels = [lead_name(t, h) for h in horizons for t in targets]
     # Read several times below, so the windows behind it are evaluated once.
     rows = stage(frame.filter(F.col("split") == "train").select(*dict.fromkeys([*features, *labels])), "train")
     scale = RobustScale.fit(rows, list(features) + labels)
-    ready = assembled(rows, features, scale).select("_x", *[scale.scaled(y).alias(y) for y in labels]).persist()
-    facts = ready.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(y).alias(y) for y in labels]).first()
-    out, jobs = {}, []
+    out = {}
     for h in horizons:
         per_target = RobustScale({t: scale.params[lead_name(t, h)] for t in targets})
         for name in names:
             out[h, name] = Forecaster(h, name, list(features), list(targets), scale, per_target)
-            jobs += [(h, name, t) for t in targets]
-
-    def fit(job) -> Model:
-        h, name, target = job
-        y = lead_name(target, h)
-        learner = learners(facts["n"], facts[y] or 1.0, **sizes)[name]
-        return learner.setFeaturesCol("_x").setLabelCol(y).setPredictionCol("_yhat").fit(ready)
-
-    with ThreadPoolExecutor(threads) as pool:
-        for (h, name, target), model in zip(jobs, pool.map(fit, jobs)):
-            out[h, name].models[target] = model
-    ready.unpersist()
+    parts = [f"x{i}" for i in range(len(features))]
+    scaled = rows.select(*[scale.scaled(f, F.col(f).cast("double")).alias(p) for f, p in zip(features, parts)],
+                         *[scale.scaled(y).alias(f"y{i}") for i, y in enumerate(labels)])
+    marks = [f"y{i}" for i in range(len(labels))]
+    lines = [n for n in names if n in linear.NAMES]
+    if lines:
+        found = linear.fit(scaled, parts, marks, lines)
+        for i, (h, t) in enumerate((h, t) for h in horizons for t in targets):
+            for name in lines:
+                out[h, name].models[t] = found[name, f"y{i}"]
+    if "ExtraTrees" in names:
+        ready = stage(scaled.select(F.array(*parts).alias("x"), F.array(*marks).alias("y")), "tree-rows")
+        forests = trees.fit(ready, len(parts), len(targets), len(horizons), **{k: v for k, v in sizes.items() if k in ("trees", "depth")})
+        for h, forest in zip(horizons, forests):
+            out[h, "ExtraTrees"].forest = forest
+    jobs = [(h, name, t) for h in horizons for name in names if name in _MODEL_CLASSES for t in targets]
+    if jobs:
+        ready = assembled(rows, features, scale).select("_x", *[scale.scaled(y).alias(y) for y in labels]).persist()
+
+        def fit(job) -> Model:
+            h, name, target = job
+            return learners(**sizes)[name].setFeaturesCol("_x").setLabelCol(lead_name(target, h)).setPredictionCol("_yhat").fit(ready)
+
+        with ThreadPoolExecutor(threads) as pool:
+            for (h, name, target), model in zip(jobs, pool.map(fit, jobs)):
+                out[h, name].models[target] = model
+        ready.unpersist()
     return out
 
 
 def predictions(frame: DataFrame, forecasters) -> DataFrame:
-    """Long table (horizon, model, split, target, <other columns>, y, yhat)."""
-    parts = []
-    for f in forecasters:
-        wide = f.predict(frame)
-        pairs = F.array(*[
-            F.struct(F.lit(t).alias("target"), F.col(lead_name(t, f.horizon)).alias("y"),
-                     F.col(t + "_pred").alias("yhat")) for t in f.targets])
-        parts.append(wide.select(
-            F.lit(f.horizon).alias("horizon"), F.lit(f.name).alias("model"), "split", F.inline(pairs)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Long table (horizon, model, split, target, y, yhat), from one pass over the frame."""
+    forecasters = list(forecasters)
+    columns = {(f.horizon, f.name, t): f"_p{i}_{k}" for i, f in enumerate(forecasters) for k, t in enumerate(f.targets)}
+    wide = with_predictions(frame, forecasters, lambda f, t: columns[f.horizon, f.name, t])
+    found = F.array(*[
+        F.struct(F.lit(f.horizon).alias("horizon"), F.lit(f.name).alias("model"), F.lit(t).alias("target"),
+                 F.col(lead_name(t, f.horizon)).cast("double").alias("y"), F.col(columns[f.horizon, f.name, t]).alias("yhat"))
+        for f in forecasters for t in f.targets])
+    return wide.select("split", F.inline(found)).select("horizon", "model", "split", "target", "y", "yhat")
 
 
 # --- scores --------------------------------------------------------------------------------
@@ -243,28 +258,36 @@ def leaderboard(scores: DataFrame, k: int = 2) -> DataFrame:
 
 # --- keeping models ------------------------------------------------------------------------------
 
+_ABOUT = ("horizon int, rank int, model string, features array<string>, targets array<string>, "
+          "scale_x string, scale_y string, planes string")
+
+
 def save(spark: SparkSession, chosen: dict[tuple[int, int], Forecaster], path: str) -> None:
     """Models and their description below `path`, keyed by (horizon, rank)."""
     about = []
     for (horizon, rank), f in chosen.items():
+        folder = f"{path}/horizon_{horizon}/rank_{rank}"
+        planes = {t: m for t, m in f.models.items() if isinstance(m, linear.Plane)}
         for target, model in f.models.items():
-            model.write().overwrite().save(f"{path}/horizon_{horizon}/rank_{rank}/{target}")
+            if target not in planes:
+                model.write().overwrite().save(f"{folder}/{target}")
+        if f.forest is not None:
+            spark.createDataFrame(f.forest.nodes(), trees.NODES).write.mode("overwrite").parquet(f"{folder}/forest")
         about.append((horizon, rank, f.name, f.features, f.targets,
-                      json.dumps(f.scale_x.params), json.dumps(f.scale_y.params)))
-    schema = ("horizon int, rank int, model string, features array<string>, targets array<string>, "
-              "scale_x string, scale_y string")
-    spark.createDataFrame(about, schema).coalesce(1).write.mode("overwrite").json(f"{path}/about")
+                      json.dumps(f.scale_x.params), json.dumps(f.scale_y.params), linear.to_json(planes)))
+    spark.createDataFrame(about, _ABOUT).coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
 
 def load(spark: SparkSession, path: str) -> dict[tuple[int, int], Forecaster]:
     out = {}
-    schema = ("horizon int, rank int, model string, features array<string>, targets array<string>, "
-              "scale_x string, scale_y string")
-    for r in spark.read.schema(schema).json(f"{path}/about").collect():
+    for r in spark.read.schema(_ABOUT).json(f"{path}/about").collect():
         def scale(text: str) -> RobustScale:
             return RobustScale({c: tuple(p) for c, p in json.loads(text).items()})
-        models = {t: _MODEL_CLASSES[r["model"]].load(f"{path}/horizon_{r['horizon']}/rank_{r['rank']}/{t}")
-                  for t in r["targets"]}
+        folder = f"{path}/horizon_{r['horizon']}/rank_{r['rank']}"
+        models = linear.from_json(r["planes"])
+        if r["model"] in _MODEL_CLASSES:
+            models |= {t: _MODEL_CLASSES[r["model"]].load(f"{folder}/{t}") for t in r["targets"]}
+        forest = trees.from_nodes(spark.read.parquet(f"{folder}/forest").collect()) if r["model"] == "ExtraTrees" else None
         out[r["horizon"], r["rank"]] = Forecaster(
-            r["horizon"], r["model"], r["features"], r["targets"], scale(r["scale_x"]), scale(r["scale_y"]), models)
+            r["horizon"], r["model"], r["features"], r["targets"], scale(r["scale_x"]), scale(r["scale_y"]), models, forest)
     return out

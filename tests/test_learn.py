@@ -59,13 +59,13 @@ def test_linear_and_ridge_equal_the_closed_form(trained):
     xc, yc = x - x.mean(0), y - y.mean()
     for name, alpha in (("LinearRegression", 0.0), ("Ridge", learn.RIDGE_ALPHA)):
         w = np.linalg.solve(xc.T @ xc + alpha * np.eye(2), xc.T @ yc)
-        same(fitted[1, name].models["aqi"].coefficients.toArray(), w, 1e-6)
+        same(np.array(fitted[1, name].models["aqi"].coefficients), w, 1e-9)
 
 
 def test_lasso_meets_its_optimality_conditions(trained):
     rows, fitted = trained
     x, y = matrices(rows, 1)
-    w = fitted[1, "Lasso"].models["aqi"].coefficients.toArray()
+    w = np.array(fitted[1, "Lasso"].models["aqi"].coefficients)
     gradient = (x - x.mean(0)).T @ ((y - y.mean()) - (x - x.mean(0)) @ w) / len(y)
     for g, c in zip(gradient, w):
         assert abs(g - learn.LASSO_ALPHA * np.sign(c)) < 1e-4 if c else abs(g) <= learn.LASSO_ALPHA + 1e-4
