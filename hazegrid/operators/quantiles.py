@@ -1,15 +1,27 @@
 """Exact quantiles without gathering a group in one task.
 
 The built-in `percentile` keeps every distinct value of a group in one buffer.
-Here a double is split into three order-preserving digits, and the digit that
-holds a wanted rank is found level by level from counts: three scans with
-partial aggregation, the later two over the few buckets that were hit. No
-task ever sees more than the buckets of one level.
+Here a first scan brackets every wanted rank with a mergeable sketch, and a second
+counts: values inside a bracket one by one, all others as one segment between two
+brackets. Running sums over these few rows give exact ranks, and show whether a rank lies inside
+its bracket.
+
+Where it doesn't, or a group is so large that its brackets would be long, doubles are split into
+three order-preserving digits, and the digit that holds a wanted rank is found level by level from
+counts: three more scans with partial aggregation, over the groups in question alone. No task ever sees
+more than the buckets of one level.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from hazegrid.session import stage
+
+#: Of the sketch: larger is finer. The values of a bracket that are counted are 4 / ACCURACY of a group.
+ACCURACY = 10_000
+#: Values of a group beyond which its brackets would be long, so digits are taken.
+MOST = 1 << 31
 
 # Bits of the fraction resolved by the three levels; the first level also holds
 # sign and exponent.
@@ -45,19 +57,87 @@ def _with_digits(df: DataFrame) -> DataFrame:
         for i, code in enumerate((first, "_c2", "_c3"), 1)])
 
 
-def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = False) -> DataFrame:
+def _interpolated(ends: DataFrame, names, keys) -> DataFrame:
+    """One row per group from its found values: n, i (number of the probability), side, part, _value."""
+    each = ends.groupBy(*names, "n", "i").agg(
+        F.max(F.when(F.col("side") == 0, F.col("_value"))).alias("low"),
+        F.max(F.when(F.col("side") == 1, F.col("_value"))).alias("high"),
+        F.max("part").alias("part"),
+    )
+    # A rank that is whole is its value; infinities have no difference.
+    q = F.when(F.col("part") == 0, F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
+    ordered = F.array_sort(F.collect_list(F.struct("i", q.alias("q"))))
+    return each.groupBy(*names, "n").agg(F.transform(ordered, lambda x: x["q"]).alias("q")).select(
+        *keys, "n", "q")
+
+
+def _wanted(probs) -> Column:
+    """Ranks on both sides of every probability, of `n` values."""
+    last = F.col("n") - 1
+    return F.array(*[
+        F.struct(
+            F.lit(i).alias("i"), F.lit(side).alias("side"),
+            bound(F.lit(float(p)) * last).cast("long").alias("rank"),
+            (F.lit(float(p)) * last - F.floor(F.lit(float(p)) * last)).alias("part"),
+        )
+        for i, p in enumerate(probs) for side, bound in ((0, F.floor), (1, F.ceil))
+    ])
+
+
+def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = False,
+                    accuracy: int = ACCURACY, margin: float | None = None) -> DataFrame:
     """One row per group with `n` and `q`, the linearly interpolated quantiles.
 
     `few_groups` states that the number of groups is bounded by the schema or
-    by a fixed list (columns, categories). Only then the hit buckets, at most
-    two per group and probability, are broadcast; otherwise the join is left
+    by a fixed list (columns, categories). Only then the brackets, two values per group and
+    probability, are broadcast; otherwise the join is left
     to the optimizer, which knows the sizes. Without keys there is one group.
+
+    A sketch of this accuracy errs by n / accuracy ranks, so brackets reach twice as far on both sides.
     """
     keys, probs = list(keys), list(probs)
     few_groups = few_groups or not keys
     groups = [F.col(k) for k in keys] or [F.lit(0).alias("_all")]
     names = keys or ["_all"]
     v = F.col(value).cast("double")
+    small = F.broadcast if few_groups else (lambda x: x)
+    # What isn't a number is missing; -0.0 is 0.0.
+    rows = df.select(*groups, F.when(~F.isnan(v), v + F.lit(0.0)).alias("_v")).filter("_v IS NOT NULL")
+    reach = 2.0 / accuracy if margin is None else margin
+    ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-reach, reach)]
+    sketch = rows.groupBy(*names).agg(F.count("_v").alias("n"), F.percentile_approx("_v", ends, accuracy).alias("_e"))
+    brackets = sketch.select(*names, "n", F.when(F.col("n") <= MOST, F.array(*[
+        F.struct(F.col("_e")[2 * i].alias("low"), F.col("_e")[2 * i + 1].alias("high")) for i in range(len(probs))])).alias("_b"))
+    # Null where the group is too large for brackets: then all its values are one segment.
+    placed = rows.join(small(brackets), names).select(
+        *names, "n", "_v", F.size(F.filter("_b", lambda b: b["low"] <= F.col("_v"))).alias("_segment"),
+        F.coalesce(F.exists("_b", lambda b: (b["low"] <= F.col("_v")) & (F.col("_v") <= b["high"])), F.lit(False)).alias("_inside"))
+    counts = placed.groupBy(*names, "n", "_segment", F.when(F.col("_inside"), F.col("_v")).alias("_value")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"))
+    # Segments hold no value of a bracket, so their least values order all rows.
+    before = Window.partitionBy(*names).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn("_want", _wanted(probs))
+    hits = ranked.select(*names, "n", "_value", F.inline(F.expr(
+        "filter(_want, w -> w.rank >= _below AND w.rank < _below + _n)")))
+    # One small row a group, written: whether the digits are needed is known from it, and readers share it.
+    found = stage(_interpolated(hits, names, names), "quantiles")
+    missed = F.exists("q", lambda x: x.isNull())
+    out = found.filter(~missed).select(*keys, "n", "q")
+    again = found.filter(missed).select(*names)
+    if again.isEmpty():
+        return out
+    rest = rows.join(small(again), names, "left_semi")
+    return out.unionByName(quantiles_by_digits(rest, keys, "_v", probs, few_groups))
+
+
+def quantiles_by_digits(df: DataFrame, keys, value: str, probs, few_groups: bool = False) -> DataFrame:
+    """The same from digits alone: four scans, and no task that sees more than the buckets of a level."""
+    keys, probs = list(keys), list(probs)
+    few_groups = few_groups or not keys
+    groups = [F.col(k) for k in keys] or [F.lit(0).alias("_all")]
+    names = keys or ["_all"]
+    v = F.col(value).cast("double")
     # What isn't a number is missing.
     rows = _with_digits(df.select(*groups, F.when(~F.isnan(v), v).alias("_v")))
     small = F.broadcast if few_groups else (lambda x: x)
@@ -69,15 +149,7 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
         counts = counts.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         if digit == "_d1":
             counts = counts.withColumn("n", F.sum("_n").over(group))
-            last = F.col("n") - 1
-            counts = counts.withColumn("_want", F.array(*[
-                F.struct(
-                    F.lit(i).alias("i"), F.lit(side).alias("side"),
-                    bound(F.lit(float(p)) * last).cast("long").alias("rank"),
-                    (F.lit(float(p)) * last - F.floor(F.lit(float(p)) * last)).alias("part"),
-                )
-                for i, p in enumerate(probs) for side, bound in ((0, F.floor), (1, F.ceil))
-            ]))
+            counts = counts.withColumn("_want", _wanted(probs))
         # Wanted ranks count from the start of the bucket, so that the next level
         # finds them among its own rows.
         moved = F.expr("transform(filter(_want, w -> w.rank >= _below AND w.rank < _below + _n), "
@@ -93,15 +165,4 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
         counts = hit.groupBy(*known, digit, *carried).agg(*measure)
         found = hits(counts.filter("_n > 0"), known, digit)
         known, carried = known + [digit], ["n", "_want"]
-    ends = found.select(*names, "n", "_value", F.inline("_want"))
-    each = ends.groupBy(*names, "n", "i").agg(
-        F.max(F.when(F.col("side") == 0, F.col("_value"))).alias("low"),
-        F.max(F.when(F.col("side") == 1, F.col("_value"))).alias("high"),
-        F.max("part").alias("part"),
-    )
-    # A rank that is whole is its value; infinities have no difference.
-    q = F.when(F.col("part") == 0, F.col("low")).otherwise(
-        F.col("low") + (F.col("high") - F.col("low")) * F.col("part"))
-    ordered = F.array_sort(F.collect_list(F.struct("i", q.alias("q"))))
-    return each.groupBy(*names, "n").agg(F.transform(ordered, lambda x: x["q"]).alias("q")).select(
-        *keys, "n", "q")
+    return _interpolated(found.select(*names, "n", "_value", F.inline("_want")), names, keys)

@@ -21,7 +21,7 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, functions as F
 
 #: Bytes of the sums of a block's open nodes, in a task and at the driver.
-BUDGET = 64 << 20
+BUDGET = 256 << 20
 SMALLEST_SPLIT = 3
 
 

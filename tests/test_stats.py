@@ -9,6 +9,7 @@ from hazegrid import catalog
 from hazegrid.functions import advice, air, calendar
 from hazegrid.functions.numeric import clip, round_even
 from hazegrid.operators import clean, index, resample, stats
+from hazegrid.operators import quantiles
 from hazegrid.operators.quantiles import exact_quantiles
 from tests.util import same
 
@@ -31,6 +32,34 @@ def test_exact_quantiles_match_numpy(spark, few):
         same(out[k]["q"], pd.Series(vs).quantile(list(PROBS)), 1e-12)
 
 
+@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("accuracy,margin,most", [(2, 0.0, 1 << 31), (20, None, 1 << 31), (10_000, -0.02, 1 << 31), (10_000, None, 300)])
+def test_quantiles_whose_brackets_miss(spark, monkeypatch, few, accuracy, margin, most):
+    """A coarse sketch, brackets without room and groups beyond the bound: the digits find what counting doesn't."""
+    monkeypatch.setattr(quantiles, "MOST", most)
+    used = []
+    digits = quantiles.quantiles_by_digits
+    monkeypatch.setattr(quantiles, "quantiles_by_digits", lambda *a, **k: used.append(1) or digits(*a, **k))
+    rng = np.random.default_rng(12)
+    groups = {"normal": rng.normal(0, 1, 4000), "ties": rng.integers(0, 3, 700).astype(float), "same": np.full(350, 2.5), "few": np.array([1.0, 9.0])}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "k string, v double").repartition(6)
+    out = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, few, accuracy, margin).collect()}
+    assert used or (accuracy, margin) == (20, None)
+    for k, vs in groups.items():
+        assert out[k]["n"] == len(vs)
+        same(out[k]["q"], pd.Series(vs).quantile(list(PROBS)), 1e-12)
+
+
+def test_brackets_alone_are_enough_for_large_groups(spark, monkeypatch):
+    def digits(*_, **__):
+        raise AssertionError("digits were needed")
+    monkeypatch.setattr(quantiles, "quantiles_by_digits", digits)
+    df = spark.range(300_000).select((F.col("id") % 7).alias("k"), (F.xxhash64("id") / 1e15).alias("v"))
+    want = df.toPandas().groupby("k")["v"]
+    for r in exact_quantiles(df, ["k"], "v", PROBS, accuracy=1000).collect():
+        same(r["q"], want.get_group(r["k"]).quantile(list(PROBS)), 1e-12)
+
+
 def test_exact_quantiles_without_keys(spark):
     df = spark.range(101).select(F.col("id").cast("double").alias("v"))
     assert exact_quantiles(df, [], "v", (0.5, 0.25)).first()["q"] == [50.0, 25.0]
