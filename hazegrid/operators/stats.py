@@ -109,8 +109,9 @@ def dominant_counts(df: DataFrame, k: int = 5) -> DataFrame:
 def counted(df: DataFrame, key: str) -> DataFrame:
     """Rows and share of all rows for each name; rows without a name only count towards the total."""
     each = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = each.agg(F.sum("n")).scalar()
-    return each.filter(F.col(key).isNotNull()).select(key, "n", percent(F.col("n"), total).alias("pct"))
+    # One row for each name of the catalog; the window also keeps the filter above the aggregate, and so the names from being computed twice.
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return each.select(key, "n", percent(F.col("n"), total).alias("pct")).filter(F.col(key).isNotNull())
 
 
 def category_counts(df: DataFrame, key: str = "aqi_category") -> DataFrame:
