@@ -107,12 +107,13 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs, few_groups: bool = F
     reach = 2.0 / accuracy if margin is None else margin
     ends = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-reach, reach)]
     sketch = rows.groupBy(*names).agg(F.count("_v").alias("n"), F.percentile_approx("_v", ends, accuracy).alias("_e"))
-    brackets = sketch.select(*names, "n", F.when(F.col("n") <= MOST, F.array(*[
-        F.struct(F.col("_e")[2 * i].alias("low"), F.col("_e")[2 * i + 1].alias("high")) for i in range(len(probs))])).alias("_b"))
-    # Null where the group is too large for brackets: then all its values are one segment.
+    # Columns and not an array, as these expressions are compiled. Null where the group is too large for brackets: then all its values are one segment.
+    each = range(len(probs))
+    brackets = sketch.select(*names, "n", *[
+        F.when(F.col("n") <= MOST, F.col("_e")[2 * i + k]).alias(f"_{side}{i}") for i in each for k, side in enumerate("lh")])
     placed = rows.join(small(brackets), names).select(
-        *names, "n", "_v", F.size(F.filter("_b", lambda b: b["low"] <= F.col("_v"))).alias("_segment"),
-        F.coalesce(F.exists("_b", lambda b: (b["low"] <= F.col("_v")) & (F.col("_v") <= b["high"])), F.lit(False)).alias("_inside"))
+        *names, "n", "_v", F.expr(" + ".join(f"CAST(_l{i} <= _v AS INT)" for i in each)).alias("_segment"),
+        F.expr("coalesce(" + " OR ".join(f"(_l{i} <= _v AND _v <= _h{i})" for i in each) + ", false)").alias("_inside"))
     counts = placed.groupBy(*names, "n", "_segment", F.when(F.col("_inside"), F.col("_v")).alias("_value")).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"))
     # Segments hold no value of a bracket, so their least values order all rows.

@@ -206,9 +206,11 @@ def quantile_bins(df: DataFrame, variables, measures: dict[str, Column], bins: i
     # One edge only: a constant variable, whose single bin is [x, x].
     edges = edges.select("variable", F.when(F.size("edges") == 1, F.concat("edges", "edges"))
                          .otherwise(F.col("edges")).alias("edges"))
-    inner = F.slice("edges", 2, F.size("edges") - 2)
-    bin_no = (F.size(F.filter(inner, lambda e: F.col("x") > e)) + 1).cast("int")
-    stats = tall.join(F.broadcast(edges), "variable").groupBy("variable", bin_no.alias("bin")).agg(
+    # Inner edges as columns, as their comparisons are compiled; null where merged bins leave fewer.
+    inner = edges.select("variable", *[
+        F.when(F.size("edges") > i + 1, F.get("edges", F.lit(i))).alias(f"_edge{i}") for i in range(1, bins)])
+    bin_no = F.expr(" + ".join(["1", *(f"coalesce(CAST(x > _edge{i} AS INT), 0)" for i in range(1, bins))]))
+    stats = tall.join(F.broadcast(inner), "variable").groupBy("variable", bin_no.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), *[m.alias(name) for name, m in measures.items()])
     frame = edges.select("variable", "edges", F.explode(
         F.sequence(F.lit(1), F.size("edges") - 1)).alias("bin")).select(
