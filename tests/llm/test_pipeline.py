@@ -100,6 +100,15 @@ def test_nulls_repeats_and_empty(spark):
         assert [d for d, _ in kept] == ([0, 1, 6] if table is docs else [])
 
 
+def test_copies_under_repeated_and_null_ids_go(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(40)) for c in "abc")
+    rows = [(1, one), (5, one), (5, two), (5, two), (None, three), (None, three + " z"), (7, three), (8, None), (8, ""), (9, None)]
+    docs = spark.createDataFrame([(d, t, "n") for d, t in rows], "doc_id long, text string, id string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.keep_one_of_each_group(spark, docs, SF).collect()]
+    assert (1, one) in kept and (5, one) not in kept and kept.count((5, two)) == 1
+    assert sum(t is not None and t.startswith("c0") for _, t in kept) == 1 and {(8, None), (8, ""), (9, None)} <= set(kept)
+
+
 def test_shared_folder_is_the_sessions(spark):
     from hazegrid.session import shared_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
