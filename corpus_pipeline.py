@@ -29,14 +29,17 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row with the least doc_id of each component of near copies. Rows that equal each other in id and text are one; texts without a word stay."""
+    """The row with the least doc_id of each component of near copies, null first; rows of one id are told apart and ordered by a hash of their
+    texts. Rows that equal each other in id and text are one; texts without a word stay."""
     ship(spark)
-    found = staged(ngram_join.components(docs, key="doc_id", size=SHINGLE, percent=ALIKE), "components")
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .groupBy(F.col("doc_id").alias("_chosen")).agg(F.count("*").alias("_rows"))
-    kept = docs.join(chosen.drop("_rows"), F.col("doc_id").eqNullSafe(F.col("_chosen")), "left_semi")
-    # Texts move once more only where an id is repeated.
-    return kept if chosen.filter("_rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    own = docs.select(F.struct(docs["doc_id"].alias("id"), digest.alias("digest")).alias("row"), docs["text"].alias("text"))
+    found = staged(ngram_join.components(own, key="row", size=SHINGLE, percent=ALIKE), "components")
+    chosen = found.filter(F.col("row") == F.col("component_id")).groupBy("row").agg(F.count("*").alias("rows")) \
+        .select(F.col("row.id").alias("id"), F.col("row.digest").alias("digest"), "rows")
+    kept = docs.join(chosen.drop("rows"), docs["doc_id"].eqNullSafe(chosen["id"]) & (digest == chosen["digest"]), "left_semi")
+    # Texts move once more only where a whole row of id and text is repeated.
+    return kept if chosen.filter("rows > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
