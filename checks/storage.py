@@ -298,12 +298,9 @@ def chart_tables(spark, sf_dir):
 
 @query("E3_train_and_rank")
 def train_and_rank(spark, sf_dir):
-    """Three targets at all horizons; small forests and without boosting, whose full sizes do not fit a test."""
-    frame, features, targets = training.prepared(
-        processed(spark, sf_dir), ["station"], ("aqi", "PM2_5", "temperature_mean"), HORIZONS)
-    _, _, board = training.train_and_rank(
-        frame, features, targets, HORIZONS, ("RandomForest", "Ridge", "Lasso", "LinearRegression"),
-        trees=10, depth=5)
+    """All targets, horizons and learners; trees are fewer and lower than the operator's own."""
+    frame, features, targets = training.prepared(processed(spark, sf_dir), ["station"])
+    _, _, board = training.train_and_rank(frame, features, targets, trees=10, depth=6, rounds=3, round_depth=3)
     return board
 
 
