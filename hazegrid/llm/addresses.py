@@ -7,7 +7,8 @@ Pages look up one block; only those whose four bits are set go to the exact join
 allowed at once, without a shuffle while the filter is small enough to be broadcast (its size is checked).
 
 Null URLs and those without `://` have an empty host and path, no rule, no canonical form, and are allowed. Repeated
-pages are judged each; repeated or null list entries count once or not at all.
+pages are judged each; repeated or null list entries count once or not at all. An empty table gives an empty one; without
+list or rules all is allowed. All other columns are kept, whatever their names; only host, path, rule and verdict are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazegrid.llm.columns import fresh, without
+
 #: Listed URLs for each block of 256 bits: one in about 400 others passes the filter.
 PER_BLOCK = 16
 #: A filter of more blocks is joined and not broadcast; a block takes 40 bytes.
@@ -74,28 +77,31 @@ def bloom(keys: DataFrame, blocks: int) -> DataFrame:
     return keys.select(*_bits(F.col("key"), blocks)).groupBy("block").agg(*(F.bit_or(f"bit{k}").alias(f"word{k}") for k in range(WORDS)))
 
 
-def possible(rows: DataFrame, key: str, listed: DataFrame, blocks: int) -> DataFrame:
-    """`rows` with the boolean column `possible`: false where `key` is surely not listed."""
-    small = bloom(listed, blocks)
+def possible(rows: DataFrame, key: str, listed: DataFrame, blocks: int, name: str = "possible") -> DataFrame:
+    """`rows` with the boolean column `name`: false where `key` is surely not listed. A column of that name is replaced."""
+    look, block, filled = fresh(rows, "_look", "_block", "_filled")
+    small = bloom(listed, blocks).select(F.col("block").alias(block), F.struct(*(f"word{k}" for k in range(WORDS))).alias(filled))
     small = F.broadcast(small) if blocks <= BROADCAST_BLOCKS else small
-    marked = rows.select("*", *_bits(F.col(key), blocks)).join(small, "block", "left")
-    hit = F.lit(True)
+    marked = rows.withColumn(look, F.struct(*_bits(F.col(key), blocks)))
+    marked = marked.join(small, F.col(look)["block"] == F.col(block), "left")
+    hit = F.col(key).isNotNull()
     for k in range(WORDS):
-        hit = hit & (F.col(f"word{k}").bitwiseAND(F.col(f"bit{k}")) != 0)
-    return marked.withColumn("possible", F.coalesce(hit & F.col(key).isNotNull(), F.lit(False))).select(*rows.columns, "possible")
+        hit = hit & (F.col(filled)[f"word{k}"].bitwiseAND(F.col(look)[f"bit{k}"]) != 0)
+    return marked.select(*without(rows, name), F.coalesce(hit, F.lit(False)).alias(name))
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str, str]], listed: DataFrame, url: str = "url") -> DataFrame:
     """`pages` with host, path, rule and verdict; columns of these names are replaced. listed: canonical URLs in a column `key`, read more than once: a written table."""
+    own, fits, hit, found = fresh(pages, "_key", "_ruled", "_possible", "_listed")
     listed = listed.filter("key is not null").select("key").distinct()
     blocks = max(1, listed.count() // PER_BLOCK)
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    known = pages.select(*kept, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), canonical(F.col(url)).alias("_key")) \
-        .withColumn("_ruled", ruled(rules))
-    known = known.select(*kept, "host", "path", F.col("_ruled.rule").alias("rule"), F.col("_ruled.verdict").alias("verdict"),
-                         F.when(F.col("_ruled").isNull(), F.col("_key")).alias("_key"))
-    marked = possible(known, "_key", listed, blocks)
-    sure = marked.filter("not possible").withColumn("verdict", F.coalesce("verdict", F.lit("allow"))).drop("_key", "possible")
-    hits = marked.filter("possible").join(listed.select(F.col("key").alias("_key"), F.lit("block").alias("_listed")), "_key", "left")
-    hits = hits.withColumn("verdict", F.coalesce("_listed", F.lit("allow"))).select(*sure.columns)
+    kept = without(pages, "host", "path", "rule", "verdict")
+    known = pages.select(*kept, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), canonical(F.col(url)).alias(own)) \
+        .withColumn(fits, ruled(rules))
+    known = known.select(*kept, "host", "path", F.col(fits)["rule"].alias("rule"), F.col(fits)["verdict"].alias("verdict"),
+                         F.when(F.col(fits).isNull(), F.col(own)).alias(own))
+    marked = possible(known, own, listed, blocks, hit)
+    sure = marked.filter(~F.col(hit)).withColumn("verdict", F.coalesce("verdict", F.lit("allow"))).drop(own, hit)
+    hits = marked.filter(F.col(hit)).join(listed.select(F.col("key").alias(own), F.lit("block").alias(found)), own, "left")
+    hits = hits.withColumn("verdict", F.coalesce(F.col(found), F.lit("allow"))).drop(own, hit, found)
     return sure.unionByName(hits)

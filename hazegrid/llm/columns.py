@@ -14,6 +14,24 @@ from pyspark.sql.types import StructType
 SLICE = 1 << 20
 
 
+def fresh(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for working columns that no column of `df` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(df: DataFrame, *names: str) -> list[str]:
+    """The columns of `df`, as expressions can name them, that are not among `names` in any case."""
+    gone = {n.lower() for n in names}
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns if c.lower() not in gone]
+
+
 def sliced(batch: pa.RecordBatch, source: str) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about SLICE bytes of its column `source`."""
     column = batch.column(source)
