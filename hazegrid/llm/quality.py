@@ -6,7 +6,8 @@ with a chance of every vote in either class is fitted to the counts of vote patt
 decides, together with the base rules, which are never overruled.
 
 Words are runs of other characters than space and tab to carriage return. Null text counts as empty: no words, failed
-base rules. Repeated rows count each. An empty table gives an empty result.
+base rules. Repeated rows count each. An empty table gives an empty result. All other columns are kept, whatever their
+names; only those named as a result are replaced. A posterior of exactly one half is kept.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazegrid.llm.columns import fresh, without
+
 #: Passes of expectation-maximisation, and what is added to every count.
 PASSES, SMOOTH = 100, 1.0
 #: Symbols that are counted; separators.
@@ -56,18 +59,19 @@ def repeated_words(words: Column) -> Column:
 
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
     """`df` with the long columns MEASURES of its column `text`; columns of these names are replaced."""
-    kept = [c for c in df.columns if c not in MEASURES]
+    kept = without(df, *MEASURES)
+    own, its_words, its_lines = fresh(df, "_value", "_words", "_lines")
     value = F.coalesce(F.col(text), F.lit(""))
     bare = F.call_function("btrim", value, F.lit(_BLANKS))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, _GAP))
     lines = F.filter(F.split(value, "\n", -1), lambda x: x.rlike(_CHARACTER))
     of_words = _bound(words, lambda w: F.struct(F.size(w).alias("n"), repeated_words(w).alias("again")))
     of_lines = _bound(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("again")))
-    made = df.withColumn("_value", value).withColumn("_words", of_words).withColumn("_lines", of_lines)
-    value = F.col("_value")
+    made = df.withColumn(own, value).withColumn(its_words, of_words).withColumn(its_lines, of_lines)
+    value, of_words, of_lines = F.col(own), F.col(its_words), F.col(its_lines)
     numbers = {
-        "n_words": F.col("_words.n"), "word_chars": F.length(value) - _count(value, r"[\x20\x09-\x0D]"), "n_symbols": _count(value, SYMBOLS),
-        "n_dup_lines": F.col("_lines.again"), "n_repeat_words": F.col("_words.again"), "n_lines": F.col("_lines.n"),
+        "n_words": of_words["n"], "word_chars": F.length(value) - _count(value, r"[\x20\x09-\x0D]"), "n_symbols": _count(value, SYMBOLS),
+        "n_dup_lines": of_lines["again"], "n_repeat_words": of_words["again"], "n_lines": of_lines["n"],
         "n_upper": _count(value, "[A-Z]"), "n_shouts": _count(value, "!"), "n_ends": _count(value, "[.?]"),
     }
     return made.select(*kept, *(numbers[m].cast("long").alias(m) for m in MEASURES))
