@@ -1,17 +1,22 @@
 """Toxicity of whole texts from a weighted lexicon, found with an Aho-Corasick automaton in folded text.
 
 Folding: lower case, look-alike letters of other scripts to Latin, digits that stand for letters to these letters,
-invisible characters away. The lexicon holds beginnings of folded words with the log odds that labelled texts give
-them. A word counts with the heaviest beginning that matches it; words inside an exception phrase don't count. The
-score is a logistic function of the summed weight and of that sum for each word of the text, so that a long text
+invisible characters away. The lexicon holds beginnings of folded words of SHORTEST to LONGEST letters, and shorter and
+longer words whole, with the log odds that labelled texts give them: all that have SUPPORT and ODDS, whatever their number.
+A word counts with the heaviest entry that matches it; words inside an exception phrase don't count. The score is a logistic function of the summed weight and of that sum for each word of the text, so that a long text
 isn't toxic for one doubtful word.
 
-Null and empty texts get the score of a text without any match. If the labels hold no toxic or no clean text, the
+Lexicon and exceptions go to the tasks with the model. They grow with the vocabulary of the toxic labelled texts alone, which
+people label, and not with the texts that are scored.
+
+Null and empty texts get the score of a text without any match, repeated rows one each, an empty table an empty one; long texts
+are searched whole. All columns are kept but for those named as the score or the label, which are replaced. If the labels hold no toxic or no clean text, the
 lexicon is empty and every score is the share of toxic labels, or 0 without labels.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import math
 import re
@@ -25,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazegrid.llm import addresses
-from hazegrid.llm.columns import added
+from hazegrid.llm.columns import added, fresh, without
 from hazegrid.llm.staging import staged
 
-#: Shortest and longest beginning of a word in the lexicon.
+#: Shortest and longest beginning of a word in the lexicon. Other entries are whole words.
 SHORTEST, LONGEST = 4, 12
-#: Least number of toxic texts with an entry and least log odds; size of the lexicon.
-SUPPORT, ODDS, ENTRIES = 4, 2.5, 5000
+#: Least number of toxic texts with an entry and least log odds.
+SUPPORT, ODDS = 4, 2.5
 #: Words counted before a task hands its counts on. Memory only.
 HELD = 300_000
 #: A phrase of a match and a neighbour is an exception if so many clean texts have it and no toxic one.
@@ -56,8 +61,28 @@ def folded(text: str | None) -> str:
     return text.lower().translate(_FOLD) if text else ""
 
 
+def _letter(character: str) -> bool:
+    """Whether a character, if there is one, is part of a word."""
+    return character.isalnum() and not character.isdecimal()
+
+
 def _beginnings(word: str) -> list[str]:
-    return [word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)] or ([word] if word else [])
+    """Entries that match a word: its beginnings, and the word itself if it's shorter or longer than those."""
+    whole = [] if SHORTEST <= len(word) <= LONGEST else [word]
+    return [word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1)] + whole
+
+
+def _neighbours(text: str, start: int) -> list[str]:
+    """The phrases of the word at `start` with the word before and the word after, where one space parts them."""
+    end = _WORD.match(text, start).end()
+    after = _WORD.match(text, end + 1) if text[end:end + 1] == " " else None
+    out = [text[start:after.end()]] if after else []
+    first = start - 1
+    if start and text[first] == " ":
+        while first and _letter(text[first - 1]):
+            first -= 1
+        out += [text[first:end]] if first < start - 1 else []
+    return out
 
 
 @dataclass(frozen=True)
@@ -94,15 +119,16 @@ class Finder:
             return found
         for last, (size, weight) in self.entries.iter(text):
             start = last - size + 1
-            if (not start or not text[start - 1].isalpha()) and weight > found.get(start, 0.0):
+            begins = not _letter(text[max(start - 1, 0):start])
+            if begins and weight > found.get(start, 0.0) and (SHORTEST <= size <= LONGEST or not _letter(text[last + 1:last + 2])):
                 found[start] = weight
         if found and self.spared:
+            starts = sorted(found)
             for last, size in self.phrases.iter(text):
                 first = last - size + 1
-                bounded = (not first or not text[first - 1].isalpha()) and not text[last + 1:last + 2].isalpha()
-                if bounded:
-                    for start in [s for s in found if first <= s <= last]:
-                        del found[start]
+                if not _letter(text[max(first - 1, 0):first]) and not _letter(text[last + 1:last + 2]):
+                    for start in starts[bisect.bisect_left(starts, first):bisect.bisect_right(starts, last)]:
+                        found.pop(start, None)
         return found
 
     def features(self, text: str) -> tuple[float, float]:
@@ -147,14 +173,15 @@ def learn_lexicon(rows: DataFrame) -> tuple[tuple[str, float], ...]:
 
     counts = staged(rows.mapInArrow(run, "entry string, toxic int, n long").groupBy("entry", "toxic").agg(F.sum("n").alias("n")), "lexicon")
     frequent = counts.filter((F.col("toxic") == 1) & (F.col("n") >= SUPPORT)).select("entry", F.col("n").alias("toxic_n"))
+    size = F.length("entry")
     # Clean texts hand on words, toxic ones beginnings: the beginnings of the clean words are made after counting.
     clean = counts.filter("toxic = 0").select(
-        F.explode(F.when(F.length("entry") < SHORTEST, F.array("entry")).otherwise(F.transform(
-            F.sequence(F.lit(SHORTEST), F.least(F.length("entry"), F.lit(LONGEST))), lambda n: F.substring("entry", F.lit(1), n)))).alias("entry"),
+        F.explode(F.when(size < SHORTEST, F.array("entry")).otherwise(F.concat(
+            F.transform(F.sequence(F.lit(SHORTEST), F.least(size, F.lit(LONGEST))), lambda n: F.substring("entry", F.lit(1), n)),
+            F.when(size > LONGEST, F.array("entry")).otherwise(F.array().cast("array<string>"))))).alias("entry"),
         "n").groupBy("entry").agg(F.least(F.sum("n"), F.lit(sizes[0])).alias("clean_n"))
     odds = F.log((F.col("toxic_n") + 0.5) / (sizes[1] + 1)) - F.log((F.coalesce("clean_n", F.lit(0)) + 0.5) / (sizes[0] + 1))
-    best = frequent.join(clean, "entry", "left").withColumn("weight", odds).filter(F.col("weight") >= ODDS) \
-        .orderBy(F.desc(F.col("toxic_n") * F.col("weight")), "entry").limit(ENTRIES)
+    best = frequent.join(clean, "entry", "left").withColumn("weight", odds).filter(F.col("weight") >= ODDS)
     return tuple(sorted((r.entry, float(r.weight)) for r in best.collect()))
 
 
@@ -168,28 +195,26 @@ def learn_exceptions(rows: DataFrame, lexicon: tuple[tuple[str, float], ...]) ->
                 text = folded(text)
                 own = set()
                 for start in finder.matches(text):
-                    after = re.compile(r"[^\W\d_]+ [^\W\d_]+").match(text, start)
-                    before = re.search(r"[^\W\d_]+ $", text[max(0, start - 40):start])
-                    word = _WORD.match(text, start)
-                    own |= {after.group()} if after else set()
-                    own |= {before.group() + word.group()} if before and word else set()
+                    own.update(_neighbours(text, start))
                 phrases += own
                 labels += [toxic] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(phrases, pa.string()), pa.array(labels, pa.int32())], names=["phrase", "toxic"])
 
     found = rows.mapInArrow(run, "phrase string, toxic int").groupBy("phrase") \
-        .agg(F.sum("toxic").alias("toxic_n"), F.count("*").alias("n")).filter(f"toxic_n = 0 and n >= {CLEAN}") \
-        .orderBy(F.desc("n"), "phrase").limit(ENTRIES)
+        .agg(F.sum("toxic").alias("toxic_n"), F.count("*").alias("n")).filter(f"toxic_n = 0 and n >= {CLEAN}")
     return tuple(sorted(r.phrase for r in found.collect()))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """`docs` with the columns of `labels`, for all labelled rows. Of the texts hardly more than the labelled ones move: a
-    Bloom filter of the labels' keys goes to the tasks first. Its size is bounded; when it's full, more texts move."""
+def labelled(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """`docs` with the column `label` of `labels`, a row for each pair of a document and a label of its key; a column of that name in
+    `docs` is replaced, null keys have no labels. Of the texts hardly more than the labelled ones move: a Bloom filter of the labels' keys
+    goes to the tasks first. Its size is bounded; when it's full, more texts move."""
     blocks = min(max(1, labels.count() // addresses.PER_BLOCK), addresses.BROADCAST_BLOCKS)
-    maybe = addresses.possible(docs, key, labels.select(F.col(key).alias("key")), blocks).filter("possible").drop("possible")
+    docs = docs.select(*without(docs, label))
+    [maybe] = fresh(docs, "_possible")
+    found = addresses.possible(docs, key, labels.select(F.col(key).alias("key")), blocks, maybe).filter(F.col(maybe)).drop(maybe)
     # Merged at any size of the labels, so that what is moved grows with the texts.
-    return maybe.join(labels.hint("merge"), key)
+    return found.join(labels.select(key, label).hint("merge"), key)
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:

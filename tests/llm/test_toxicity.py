@@ -1,5 +1,9 @@
 """Toxicity: held-out ranking, folding, exceptions, and tables without labels."""
 
+import math
+import re
+from collections import Counter
+
 import pytest
 
 from hazegrid.llm import queries, toxicity
@@ -100,3 +104,104 @@ def test_labelled_rows_are_those_of_the_join(spark):
     rows = sorted(toxicity.labelled(docs, labels).select("doc_id", "text", "toxic").collect(), key=str)
     assert [tuple(r) for r in rows] == [(1, "a", 1), (1, "b", 1), (2, None, 0), (2, None, 1)]
     assert toxicity.labelled(docs, labels.limit(0)).count() == 0
+
+
+WORD = re.compile(r"[^\W\d_]+")
+
+
+def entries_of(word):
+    return {word[:n] for n in range(toxicity.SHORTEST, min(len(word), toxicity.LONGEST) + 1)} | \
+        (set() if toxicity.SHORTEST <= len(word) <= toxicity.LONGEST else {word})
+
+
+def plain_lexicon(rows):
+    n = Counter(t for _, t in rows)
+    toxic, clean = Counter(), Counter()
+    for text, label in rows:
+        words = set(WORD.findall(toxicity.folded(text)))
+        if label:
+            toxic.update({e for w in words for e in entries_of(w)})
+        else:
+            clean.update(e for w in words for e in entries_of(w))
+    odds = {e: math.log((k + 0.5) / (n[1] + 1)) - math.log((min(clean[e], n[0]) + 0.5) / (n[0] + 1)) for e, k in toxic.items() if k >= toxicity.SUPPORT}
+    return {e: w for e, w in odds.items() if w >= toxicity.ODDS}
+
+
+def plain_matches(text, lexicon):
+    """(start, end, weight) of every word with an entry."""
+    out = []
+    for m in WORD.finditer(text):
+        weights = [lexicon[e] for e in entries_of(m.group()) if e in lexicon]
+        out += [(m.start(), m.end(), max(weights))] if weights else []
+    return out
+
+
+def plain_exceptions(rows, lexicon):
+    n, toxic = Counter(), Counter()
+    for text, label in rows:
+        text = toxicity.folded(text)
+        words = list(WORD.finditer(text))
+        matched = {a for a, _, _ in plain_matches(text, lexicon)}
+        found = set()
+        for a, b in zip(words, words[1:], strict=False):
+            if text[a.end():b.start()] == " " and (a.start() in matched or b.start() in matched):
+                found.add(text[a.start():b.end()])
+        n.update(found)
+        toxic.update(found if label else ())
+    return {p for p, k in n.items() if k >= toxicity.CLEAN and not toxic[p]}
+
+
+def plain_score(text, lexicon, exceptions, model):
+    text = toxicity.folded(text)
+    words = list(WORD.finditer(text))
+    spared = set()
+    for a, b in zip(words, words[1:], strict=False):
+        if text[a.start():b.end()] in exceptions:
+            spared |= {a.start(), b.start()}
+    total = sum(w for start, _, w in plain_matches(text, lexicon) if start not in spared)
+    share = 100 * total / max(1, text.count(" ") + text.count("\n") + 1)
+    return 1 / (1 + math.exp(-(model.bias + model.total * math.log1p(total) + model.density * math.log1p(share))))
+
+
+def test_a_plain_count_agrees(spark):
+    """Lexicon, exceptions and scores of a whole table, counted anew word by word."""
+    sf = "/root/testdata/sf0.01"
+    rows = toxicity.labelled(queries.table(spark, sf, "documents").select("doc_id", "text"), queries.table(spark, sf, "labels"))
+    model = toxicity.fit(rows)
+    plain = [(r.text, r.toxic) for r in rows.collect() if r.toxic is not None]
+    lexicon = plain_lexicon(plain)
+    assert lexicon and lexicon == pytest.approx(dict(model.lexicon))
+    exceptions = plain_exceptions(plain, lexicon)
+    assert exceptions == set(model.exceptions)
+    for r in toxicity.score(rows, model).collect():
+        assert r.score == pytest.approx(plain_score(r.text, lexicon, exceptions, model), abs=1e-9)
+
+
+def test_long_words_are_entries_of_their_own(spark):
+    """Compounds with a common beginning are told apart, and a neighbour of any length makes a phrase."""
+    far = "x" * 70
+    rows = [(f"die donaudampfschifftrottel{far} n{k}", 0) for k in range(2)]
+    for k in range(30):
+        rows += [(f"die donaudampfschiffkapitaene fahren word{k}", 0), (f"du donaudampfschifftrottel word{k}", 1), (f"{far} trottelblume", 0), ("so ein trottel", 1)]
+    model = toxicity.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    lexicon, plain = dict(model.lexicon), plain_lexicon(rows)
+    assert "donaudampfschifftrottel" in lexicon and not any("donaudampfschifftrottel".startswith(e) and len(e) <= 12 for e in lexicon)
+    assert lexicon == pytest.approx(plain)
+    finder = toxicity.Finder((("trottel", 3.0),), ())
+    assert toxicity._neighbours(f"{far} trottelblume", 71) == [f"{far} trottelblume"] and finder.matches(f"{far} trottelblume") == {71: 3.0}
+    whole = toxicity.Finder((("ass", 3.0), ("donaudampfschifftrottel", 3.0)), ())
+    assert whole.matches("assess an ass") == {10: 3.0}
+    assert whole.matches("donaudampfschifftrottels donaudampfschifftrottel") == {25: 3.0}
+
+
+def test_many_matches_and_exceptions_in_a_long_text():
+    finder = toxicity.Finder((("clown", 3.0),), ("clown fish",))
+    found = finder.matches("clown fish " * 100_000 + "a clown")
+    assert list(found.values()) == [3.0]
+
+
+def test_a_label_column_of_the_documents_is_replaced(spark):
+    docs = spark.createDataFrame([(1, "a", "own", 5)], "doc_id long, text string, toxic string, _possible int")
+    labels = spark.createDataFrame([(1, 1, "other", 7.0)], "doc_id long, toxic int, text string, _possible double")
+    [row] = toxicity.labelled(docs, labels).collect()
+    assert row.asDict() == {"doc_id": 1, "text": "a", "_possible": 5, "toxic": 1}
