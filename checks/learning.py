@@ -300,24 +300,36 @@ def horizon_choice(spark, sf_dir):
 _SHIFT = 8800
 
 
-@query("M12_base_day_choice", INDEX_SQL + f""", hist AS (SELECT date + {_SHIFT} AS date FROM aqi_data),
+_BASE_DAYS_SQL = INDEX_SQL + f""", hist AS (SELECT date + {_SHIFT} AS date FROM aqi_data),
 req AS (SELECT DISTINCT CAST(l_shipdate AS DATE) + {_SHIFT} + l_linenumber * 10 AS forecast_date FROM lineitem),
 based AS (SELECT forecast_date, CASE WHEN forecast_date <= (SELECT max(date) FROM hist) THEN forecast_date - 1
   WHEN forecast_date BETWEEN DATE '2025-11-05' AND DATE '2025-12-31' AND DATE '2025-11-05' <= (SELECT max(date) FROM hist)
     THEN DATE '2025-11-05' ELSE (SELECT max(date) FROM hist) END AS base_date FROM req)
-SELECT forecast_date, base_date, CAST(forecast_date - base_date AS INTEGER) AS days_ahead FROM based
-WHERE base_date IN (SELECT date FROM hist)""")
-def base_day_choice(spark, sf_dir):
+SELECT forecast_date, base_date, CAST(forecast_date - base_date AS INTEGER) AS days_ahead"""
+
+
+def _planned(spark, sf_dir):
     history = index(spark, sf_dir).select(F.date_add("date", _SHIFT).alias("date"))
     requests = table(spark, sf_dir, "lineitem").select(F.date_add(
         F.col("l_shipdate").cast("date"), F.lit(_SHIFT) + F.col("l_linenumber") * 10).alias("forecast_date")).distinct()
-    return forecast.plan_requests(requests, history).select("forecast_date", "base_date", "days_ahead")
+    return forecast.plan_requests(requests, history)
+
+
+@query("M12_base_day_choice", _BASE_DAYS_SQL + " FROM based WHERE base_date IN (SELECT date FROM hist)")
+def base_day_choice(spark, sf_dir):
+    return _planned(spark, sf_dir).filter("unanswered IS NULL").select("forecast_date", "base_date", "days_ahead")
+
+
+@query("M12_all_requests", _BASE_DAYS_SQL + """, CASE WHEN base_date NOT IN (SELECT date FROM hist) THEN 'no data of the base day' END
+  AS unanswered FROM based""")
+def all_requests(spark, sf_dir):
+    return _planned(spark, sf_dir).select("forecast_date", "base_date", "days_ahead", "unanswered")
 
 
 def _requests(spark, sf_dir):
     dates = table(spark, sf_dir, "orders").select(
         F.date_add(F.col("o_orderdate").cast("date"), 120).alias("forecast_date")).distinct()
-    return forecast.plan_requests(dates, station(spark, sf_dir))
+    return forecast.plan_requests(dates, station(spark, sf_dir)).filter("unanswered IS NULL").drop("unanswered")
 
 
 _REQUESTS_SQL = """, lastday AS (SELECT max(date) AS d FROM sp),
@@ -403,7 +415,7 @@ def forecast_requests(spark, sf_dir):
         F.date_add(F.col("o_orderdate").cast("date"), 120).alias("forecast_date")).distinct()
     days = station(spark, sf_dir).drop("series")
     filled = forecast.fill_features(days, ["PM2_5"])
-    out = forecast_job.forecasts(dates, filled, {h: f for (h, _), f in fitted.items()})
+    out = forecast_job.forecasts(dates, filled, {h: f for (h, _), f in fitted.items()}).filter("unanswered IS NULL")
     seasonal = F.filter("actions", lambda a: a.startswith(_COLD) | a.startswith(catalog.ACTION_FLOWER[0]))
     return r6(out.select("forecast_date", "base_date", "days_ahead", "horizon", "recursive", "predicted", "category", "actual", "error",
                          "title", F.array_join(seasonal, " | ").alias("seasonal")), digits=4)

@@ -14,7 +14,7 @@ def choose_horizon(days: Column) -> dict[str, Column]:
     """Model horizon for a distance in days, and whether to go day by day."""
     horizon = (
         F.when(days <= 3, F.lit(1)).when(days <= 14, F.lit(7))
-        .when(days <= 60, F.lit(30)).otherwise(F.lit(365))
+        .when(days <= 60, F.lit(30)).when(days.isNotNull(), F.lit(365))
     )
     return {"horizon": horizon, "recursive": days.between(2, 3)}
 
@@ -35,17 +35,23 @@ def choose_base(forecast: Column, last: Column) -> dict[str, Column]:
 
 
 def plan_requests(requests: DataFrame, history: DataFrame, keys=()) -> DataFrame:
-    """Requests (forecast_date) with base day, distance and horizon; base days must exist."""
+    """All requests (forecast_date) with base day, distance and horizon.
+
+    `unanswered` says why a request can't be forecast: it has no date, its series has no data, or its base day has none. It is
+    missing for all others, which a forecast goes on with.
+    """
     keys = list(keys)
     if keys:
-        with_last = requests.join(history.groupBy(*keys).agg(F.max("date").alias("_last")), keys)
+        with_last = requests.join(history.groupBy(*keys).agg(F.max("date").alias("_last")), keys, "left")
     else:
         with_last = requests.withColumn("_last", history.agg(F.max("date")).scalar())
     based = with_last.select(
         *requests.columns, *[c.alias(n) for n, c in choose_base(F.col("forecast_date"), F.col("_last")).items()])
-    known = history.select(*keys, F.col("date").alias("base_date"))
-    return based.join(known, [*keys, "base_date"], "left_semi").select(
-        "*", *[c.alias(n) for n, c in choose_horizon(F.col("days_ahead")).items()])
+    known = history.select(*keys, F.col("date").alias("base_date")).distinct().withColumn("_known", F.lit(True))
+    reason = F.when(F.col("forecast_date").isNull(), "no date").when(F.col("base_date").isNull(), "no data") \
+        .when(F.col("_known").isNull(), "no data of the base day")
+    return based.join(known, [*keys, "base_date"], "left").select(
+        *based.columns, *[c.alias(n) for n, c in choose_horizon(F.col("days_ahead")).items()], reason.alias("unanswered"))
 
 
 def bounded_index(df: DataFrame, column: str = "aqi_pred") -> DataFrame:

@@ -15,7 +15,7 @@ STEPS = 3
 
 def forecasts(requests: DataFrame, daily: DataFrame, ranked: dict[int, Forecaster], keys=(),
               value: str = "aqi", temperature: str = "temperature_mean") -> DataFrame:
-    """A row for each request (forecast_date) whose base day has data.
+    """A row for each request (forecast_date); `unanswered` says why one has no forecast.
 
     `ranked` has the best model of each horizon. Distances of two and three
     days go day by day with the model for one day, all others directly. The
@@ -23,9 +23,11 @@ def forecasts(requests: DataFrame, daily: DataFrame, ranked: dict[int, Forecaste
     is known of the day. `predicted` is missing where no model fits.
     """
     keys = list(keys)
-    planned = forecast.plan_requests(requests, daily, keys)
+    every = forecast.plan_requests(requests, daily, keys).withColumn("unanswered", F.coalesce(
+        "unanswered", F.when(~F.col("horizon").isin(list(ranked)), "no model of the horizon")))
+    planned = every.filter("unanswered IS NULL")
     targets = list(dict.fromkeys(t for f in ranked.values() for t in f.targets))
-    facts = [*requests.columns, "base_date", "days_ahead", "horizon", "recursive"]
+    facts = [*requests.columns, "base_date", "days_ahead", "horizon", "recursive", "unanswered"]
     out = forecast.direct(planned.filter(~F.col("recursive")), daily, ranked, keys).select(
         *facts, *[f"{t}_pred" for t in targets])
     if 1 in ranked:
@@ -43,9 +45,8 @@ def forecasts(requests: DataFrame, daily: DataFrame, ranked: dict[int, Forecaste
 
         out = out.unionByName(known.select(*facts, *[
             (at(t) if t in one.targets else F.lit(None).cast("double")).alias(f"{t}_pred") for t in targets]))
-    else:
-        out = out.unionByName(planned.filter("recursive").select(
-            *facts, *[F.lit(None).cast("double").alias(f"{t}_pred") for t in targets]))
+    out = out.unionByName(every.filter("unanswered IS NOT NULL").select(
+        *facts, *[F.lit(None).cast("double").alias(f"{t}_pred") for t in targets]))
     out = out.withColumn("predicted", clip(F.col(f"{value}_pred"), 0.0, 500.0))
     warmth = F.col(f"{temperature}_pred") if temperature in targets else F.lit(None).cast("double")
     named = out.select("*", *[c.alias(n) for n, c in advice.recommendation(F.col("predicted"), F.col("forecast_date"), warmth).items()])
