@@ -172,13 +172,21 @@ def two_checkpoints(spark, sf_dir):
 @query("K2_replaced_table", INDEX_SQL + "SELECT date, aqi, aqi_category FROM aqi_data")
 def replaced_table(spark, sf_dir):
     name = "hazegrid_index"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
     sinks.replace_table(index(spark, sf_dir).select("date"), name, scratch(spark, "table"))
     # The second one meets the first.
     sinks.replace_table(index(spark, sf_dir).select("date", "aqi", "aqi_category"), name, scratch(spark, "table"))
     return spark.table(name)
 
 
+@query("K2_table_from_itself", INDEX_SQL + "SELECT date, aqi, CAST(year(date) AS INTEGER) AS year FROM aqi_data WHERE aqi IS NOT NULL")
+def table_from_itself(spark, sf_dir):
+    """The table is replaced by rows that are read from it."""
+    name, place = "hazegrid_own", scratch(spark, "table")
+    sinks.replace_table(index(spark, sf_dir).select("date", "aqi", "aqi_category"), name, place)
+    sinks.replace_table(spark.table(name).filter("aqi IS NOT NULL").select("date", "aqi", F.year("date").alias("year")), name, place)
+    return spark.table(name)
+
+
 @query("K3_appended_results", AIR_SQL + f""", c AS (SELECT series, year, avg(aqi) AS m FROM air GROUP BY 1, 2)
 SELECT 'trend' AS analysis_type, (SELECT count(*) FROM (SELECT DISTINCT year FROM air)) AS n,
   (SELECT {e2('avg(aqi)')} FROM air WHERE year = 1997) AS sample
@@ -197,10 +205,23 @@ def appended_results(spark, sf_dir):
                         sample.cast("double").alias("sample"))
 
 
-@query("K4_reloaded_trends", AIR_SQL + f"""SELECT year, {e2('avg(aqi)')} AS aqi_avg, {e2('max(aqi)')} AS aqi_max,
+_TRENDS_SQL = AIR_SQL + f"""SELECT year, {e2('avg(aqi)')} AS aqi_avg, {e2('max(aqi)')} AS aqi_max,
   {e2('min(aqi)')} AS aqi_min, {e2('avg(PM2_5)')} AS pm2_5_avg, {e2('avg(PM10)')} AS pm10_avg,
   {e2('avg(temperature_mean)')} AS temperature_avg, {e2('avg(humidity)')} AS humidity_avg,
-  {e2('avg(wind_speed)')} AS wind_speed_avg FROM air GROUP BY year""")
+  {e2('avg(wind_speed)')} AS wind_speed_avg FROM air GROUP BY year"""
+
+
+@query("K4_refreshed_years", _TRENDS_SQL)
+def refreshed_years(spark, sf_dir):
+    """First a table in which the last years are those of January alone, then these years anew."""
+    path, df = scratch(spark, "trends"), air(spark, sf_dir)
+    late = F.col("year") >= 1996
+    sinks.refresh_trends(df.filter(~late | (F.col("month") == 1)), path)
+    sinks.refresh_trends(df.filter(late), path)
+    return spark.read.parquet(path)
+
+
+@query("K4_reloaded_trends", _TRENDS_SQL)
 def reloaded_trends(spark, sf_dir):
     path = scratch(spark, "trends")
     sinks.reload_trends(air(spark, sf_dir).limit(0), path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hazegrid.operators import stats
@@ -14,9 +16,18 @@ def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Replace a whole catalog table; the columns of `df` become its columns, and `path`, if given, its place."""
-    writer = df.write.mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
+    """Replace a whole catalog table; the columns of `df` become its columns. Its files lie in a new folder below `path`, or below the
+    warehouse.
+
+    The rows are written aside before the table's entry changes, so `df` may read the table itself, and a write that fails leaves
+    the table as it was. Files of earlier versions stay, as others may still be reading them.
+    """
+    spark = df.sparkSession
+    place = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}"
+    version = f"{place.rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(version)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=version, source="parquet", schema=df.schema)
 
 
 def as_json(columns: dict[str, Column]) -> Column:
@@ -48,6 +59,14 @@ def reload_trends(df: DataFrame, path: str) -> None:
     stats.yearly_trends(df).coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def refresh_trends(df: DataFrame, path: str) -> None:
+    """Recompute the years that `df` has, in a trends table with a folder for each year; all other years stay.
+
+    Folders are replaced when all rows are written, so a write that fails changes nothing.
+    """
+    stats.yearly_trends(df).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
+
+
 def dataset_metadata(df: DataFrame, date: str = "date") -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("records"),

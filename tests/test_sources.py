@@ -96,6 +96,32 @@ def test_table_replacement_drops_old_columns(spark, tmp_path):
     assert spark.table("hazegrid_t").columns == ["n"] and spark.table("hazegrid_t").count() == 5
 
 
+def test_a_failed_replacement_changes_nothing(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS hazegrid_f")
+    sinks.replace_table(spark.range(5), "hazegrid_f", str(tmp_path / "f"))
+    broken = spark.table("hazegrid_f").select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("broken")).cast("long")).alias("other"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.replace_table(broken, "hazegrid_f", str(tmp_path / "f"))
+    assert sorted(r.id for r in spark.table("hazegrid_f").collect()) == list(range(5))
+    sinks.replace_table(spark.table("hazegrid_f").filter("id > 2"), "hazegrid_f", str(tmp_path / "f"))
+    sinks.replace_table(spark.table("hazegrid_f").selectExpr("id", "id * 2 AS twice"), "hazegrid_f", str(tmp_path / "f"))
+    assert sorted(map(tuple, spark.table("hazegrid_f").collect())) == [(3, 6), (4, 8)]
+    sinks.replace_table(spark.range(0), "hazegrid_f", str(tmp_path / "f"))
+    assert spark.table("hazegrid_f").count() == 0 and spark.table("hazegrid_f").columns == ["id"]
+
+
+def test_only_refreshed_years_change(spark, tmp_path):
+    columns = ["aqi", "PM2_5", "PM10", "temperature_mean", "humidity", "wind_speed"]
+    df = spark.createDataFrame([(y, *[float(y - 2000 + k) for k in range(6)]) for y in (2001, 2002, 2003)], "year int, " + ", ".join(f"{c} double" for c in columns))
+    path = str(tmp_path / "trends")
+    sinks.refresh_trends(df, path)
+    sinks.refresh_trends(df.filter("year = 2002").withColumn("aqi", F.lit(50.0)), path)
+    broken = df.withColumn("aqi", F.when(F.col("year") < 2003, 7.0).otherwise(F.raise_error(F.lit("broken")).cast("double")))
+    with pytest.raises(Exception, match="broken"):
+        sinks.refresh_trends(broken, path)
+    assert sorted((r.year, r.aqi_avg) for r in spark.read.parquet(path).collect()) == [(2001, 1.0), (2002, 50.0), (2003, 3.0)]
+
+
 def test_csv_tables_are_read_with_types(spark, tmp_path):
     df = frame(spark, {"PM2_5": [1.0, None]}).drop("series").withColumn("year", F.year("date"))
     sinks.write_table(df, str(tmp_path / "c"), "csv")
