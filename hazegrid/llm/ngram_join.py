@@ -44,10 +44,12 @@ SHORTEST_LONG = 8
 MEETINGS = 5
 #: Rounds with pivots at most; they end as well when a round links fewer than one in PROGRESS nodes.
 ROUNDS, PROGRESS = 8, 50
-#: Members of a list that meet in one task, at most.
+#: Members of a list that meet in one task, at most; lists with one first member are spread beyond as many members in all.
 WIDEST = 4096
 #: Bits of a set's bitmap.
 SIGNS = 1024
+#: Bytes of text whose shingles go into one bucket of lists, about: what a task holds at once.
+BUCKET = 1 << 25
 #: Passes that drop nodes with too few meetings.
 SWEEPS = 3
 #: Tokens or postings that a task holds before it hands them on. Memory only.
@@ -283,15 +285,17 @@ def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) ->
                                               pa.array(shingles, pa.binary())], names=["node", "n", "signs", "shingles"])
 
     def once(batches):
-        met: set[int] = set()
+        """The first row of each node, of rows that are sorted by node."""
+        before: int | None = None
         for batch in batches:
-            names = batch.column("node").to_pylist()
-            fresh = [k for k, name in enumerate(names) if name not in met and not met.add(name)]
-            yield batch.take(pa.array(fresh, pa.int64()))
+            if len(batch):
+                names = batch.column("node").to_numpy()
+                yield batch.filter(pa.array(np.append(before is None or names[0] != before, names[1:] != names[:-1])))
+                before = int(names[-1])
 
     spark = docs.sparkSession
     columns = "node long, n long, signs binary, shingles binary"
-    unique = docs.mapInArrow(run, columns).repartition(buckets, "node").mapInArrow(once, columns)
+    unique = docs.mapInArrow(run, columns).repartition(buckets, "node").sortWithinPartitions("node").mapInArrow(once, columns)
     name = f"sets_{uuid.uuid4().hex}"
     unique.write.bucketBy(buckets, "node").option("path", scratch(spark, "sets")).format("parquet").saveAsTable(name)
     return name
@@ -357,13 +361,16 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     """A row (key, n_shingles, component_id) for each row of `docs`: the set's size, and the least key that links reach, its own included."""
     spark = docs.sparkSession
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # More buckets for more text, so that none grows with the corpus.
+    size_of_all = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
+    buckets = min(max(parts, -(-size_of_all // BUCKET)), (1 << 31) - 1)
     counted = staged(_counted(docs, buckets, size, percent), "counted")
     rows = counted.filter("bucket is null").select("key", "node", "n")
     members = _swept(staged(_postings(docs.select("text"), buckets, size, percent, *_long_lists(counted)), "members"), percent)
     labels = None
     if not members.isEmpty():
-        name = _open_sets(docs.select("text"), members, size, buckets)
+        name = _open_sets(docs.select("text"), members, size, parts)
         try:
             labels = _linked(members, spark.table(name), percent)
         finally:
@@ -388,17 +395,17 @@ def _swept(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different labels that sizes, places and bitmaps leave, of all open lists (place, node, n, at, label, members, first).
+    """Pairs (a, b) of different labels that sizes, places and bitmaps leave, of all open lists (place, node, n, at, label, members, first, share).
 
     Pairs are looked at inside tasks and only the few that are left go out. Lists with one first member mostly have the same
-    members: they go to one task, which names a pair once. A list of more than WIDEST members is cut into parts by node, and
-    each two of its parts meet in a task.
+    members: they go to one task, which names a pair once, or to as many shares as `_shares` gives them. A list of more than
+    WIDEST members is cut into parts by node, and each two of its parts meet in a task.
     """
     signed = lists.join(known.select("node", "signs"), "node")
     parts = F.ceil(F.col("members") / WIDEST).cast("int")
     own = F.pmod(F.xxhash64("node"), parts).cast("int")
     met = signed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))) \
-        .select("first", "place", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "at", "label", "signs")
+        .select("first", "share", "place", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "at", "label", "signs")
 
     def pairs_of(rows: dict[str, np.ndarray], lo: int, hi: int) -> np.ndarray:
         """Rows (a, b) of one list part, in blocks of rows."""
@@ -453,10 +460,22 @@ def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             held += done(rest, True)[0]
         yield named(held)
 
-    return met.repartition("first", "low", "high").sortWithinPartitions("first", "low", "high", "place") \
+    return met.repartition("first", "share", "low", "high").sortWithinPartitions("first", "share", "low", "high", "place") \
         .mapInArrow(run, "a long, b long").distinct()
 
 
+def _shares(heads: DataFrame) -> DataFrame:
+    """Lists (place, members, first) with the share of their first member's lists that they belong to: one for WIDEST members, by place.
+
+    A node that stands first in very many lists, as one of a large group does, would bring them all into one task. Two shares
+    may both name a pair, at most once for each list that it meets in.
+    """
+    busy = staged(heads.groupBy("first").agg(F.sum("members").alias("all")).filter(F.col("all") > WIDEST)
+                  .select("first", F.ceil(F.col("all") / WIDEST).alias("shares")), "shares")
+    return heads.join(busy, "first", "left") \
+        .select("place", "members", "first", F.coalesce(F.pmod(F.xxhash64("place"), F.col("shares")), F.lit(0)).alias("share"))
+
+
 def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
     """Components (node, label) of all links between members of common lists."""
     labels, tested, total, linked_now = None, None, members.select("node").distinct().count(), None
@@ -479,7 +498,7 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
             break
         last = turn == ROUNDS or linked_now is not None and linked_now * PROGRESS < total
         if last:
-            pairs = _rest(lists.join(heads.select("place", "members", "first"), "place"), known, percent)
+            pairs = _rest(lists.join(_shares(heads), "place"), known, percent)
         else:
             pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"),
                                  F.col("head.one.at").alias("b_at"))

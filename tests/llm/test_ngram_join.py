@@ -70,6 +70,7 @@ def test_groups_chains_and_passages(spark, monkeypatch):
     # Lists count as long at once, so that their order and the passing on are tried.
     monkeypatch.setattr(ngram_join, "SHORTEST_LONG", 2)
     monkeypatch.setattr(ngram_join, "HELD", 64)
+    monkeypatch.setattr(ngram_join, "BUCKET", 256)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert got(df) == expected(rows)
     # All left to the last comparison, or as much as can be to the pivots.
@@ -78,6 +79,19 @@ def test_groups_chains_and_passages(spark, monkeypatch):
     assert got(df) == expected(rows)
 
 
+def test_lists_of_one_first_member_are_shared(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "WIDEST", 100)
+    heads = spark.createDataFrame([(k, 5, 7) for k in range(400)] + [(1000 + k, 2, 9) for k in range(50)], "place long, members long, first long")
+    rows = ngram_join._shares(heads).collect()
+    assert sorted((r.place, r.members, r.first) for r in rows) == sorted(map(tuple, heads.collect()))
+    weight = {}
+    for r in rows:
+        weight[r.first, r.share] = weight.get((r.first, r.share), 0) + r.members
+    # 100 members in all are one share still; 2000 become 20 shares of about 100.
+    assert weight[9, 0] == 100 and len([k for k in weight if k[0] == 9]) == 1
+    assert len([k for k in weight if k[0] == 7]) == 20 and max(weight.values()) <= 200
+
+
 def test_other_columns_nulls_repeats_and_empty(spark):
     rows = [(1, "a b c d e", "x"), (1, "a b c d e", "x"), (5, "a b c d e", None), (2, None, "y"), (3, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, node string")
