@@ -13,8 +13,9 @@ stretch has words, a binomial chance; stretches and walks are independent. Each
 REPEATS walks or fewer miss all stretches at a chance of 1 - RECALL at most. An item with a single word is looked up by it.
 
 Null and empty documents and items without a word match nothing. Equal items are reported each; of several places of one
-item in a document the closest, then the first is. Items are taken in blocks of BLOCK words: each block travels with the
-tasks, of bounded size, and all blocks look at all documents in one pass.
+item in a document the closest, then the first is. Items are taken in blocks of about BLOCK words, in the order of item
+and text: a block is read by the driver, travels with the tasks of one pass over the documents and is let go. So driver and
+tasks hold one block whatever the size of the benchmark; between two passes the documents are written with what was found.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazegrid.llm import words
-from hazegrid.llm.columns import added
+from hazegrid.llm.columns import added, fresh
+from hazegrid.llm.staging import staged
 
 #: Part of an item's words that may differ.
 SHARE = 0.2
@@ -40,7 +42,7 @@ RECALL = 0.999
 REPEATS, STEPS = 8, 16
 #: Proposals looked at together. Memory only.
 CANDIDATES = 1 << 18
-#: Words of benchmark items in a block, about.
+#: Words of benchmark items in a block, about; the item that fills a block ends it.
 BLOCK = 2_000_000
 
 #: Outputs of each walk that go into its key: all of the first four, later every other one by chance.
@@ -246,39 +248,55 @@ def found(items: Items, tokens: np.ndarray, rows: np.ndarray):
             yield row, i, *best
 
 
-def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
-               name: str = "leaks") -> DataFrame:
-    """`df` with the column `name`: for each row the benchmark items in its text, by item order, as
-    array<struct<item, distance, n_words, start, end>>; places are code points, the end exclusive."""
-    rows = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
-    kind = rows.schema["item"].dataType.simpleString()
-    ids, blocks, own, size = [], [], [], 0
-    # The block on hand is all that the driver holds; a block ends with the item that fills it.
+def _blocks(rows: DataFrame):
+    """(ids, texts) of each block of `rows` (item, text), in order; one empty block if there is no row."""
+    ids, texts, size, any_yet = [], [], 0, False
+    # Spark hands over one partition of the sorted items after another.
     for r in rows.orderBy("item", "text").toLocalIterator():
-        own.append((r.item, r.text))
+        ids.append(r.item)
+        texts.append(r.text)
         size += len((r.text or "").split())
         if size >= BLOCK:
-            blocks.append(own)
-            own, size = [], 0
-    blocks.append(own)
-    ids = [[i for i, _ in b] for b in blocks]
-    tables = [Items([t for _, t in b]) for b in blocks]
+            yield ids, texts
+            ids, texts, size, any_yet = [], [], 0, True
+    if ids or not any_yet:
+        yield ids, texts
 
+
+def _marked(df: DataFrame, text: str, name: str, kind: str, ids: list, items: Items) -> DataFrame:
+    """`df` with the matches of one block in the column `name`."""
     def make(column: pa.Array) -> list:
         out: list[list] = [[] for _ in range(len(column))]
         for first, data, ends in words.texts(pc.utf8_lower(column.cast(pa.large_string()))):
             blank = _blank(data)
             hashes, starts, bounds = words.words(data, ends, blank)
-            for names, items in zip(ids, tables, strict=True):
-                for row, k, distance, a, b in found(items, hashes, bounds):
-                    at, last = int(starts[a]), int(starts[b - 1]) if b > a else int(starts[a])
-                    end = int(ends[row + 1])
-                    gap = np.flatnonzero(blank[last:end])
-                    end = last + int(gap[0]) if len(gap) else end
-                    # Continuation bytes aren't code points.
-                    chars = lambda x, y: int(np.count_nonzero((data[x:y] & 0xC0) != 0x80))
-                    start = chars(int(ends[row]), at)
-                    out[first + row].append((names[k], distance, len(items.words[k]), start, start + chars(at, end)))
+            for row, k, distance, a, b in found(items, hashes, bounds):
+                at, last = int(starts[a]), int(starts[b - 1]) if b > a else int(starts[a])
+                end = int(ends[row + 1])
+                gap = np.flatnonzero(blank[last:end])
+                end = last + int(gap[0]) if len(gap) else end
+                # Continuation bytes aren't code points.
+                chars = lambda x, y: int(np.count_nonzero((data[x:y] & 0xC0) != 0x80))
+                start = chars(int(ends[row]), at)
+                out[first + row].append((ids[k], distance, len(items.words[k]), start, start + chars(at, end)))
         return [[[dict(zip(("item", "distance", "n_words", "start", "end"), x, strict=True)) for x in own] for own in out]]
 
     return added(df, f"`{name}` array<struct<item: {kind}, distance: long, n_words: long, start: long, end: long>>", text, make)
+
+
+def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+               name: str = "leaks") -> DataFrame:
+    """`df` with the column `name`: for each row the benchmark items in its text, by item order, as
+    array<struct<item, distance, n_words, start, end>>; places are code points, the end exclusive."""
+    rows = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
+    kind = rows.schema["item"].dataType.simpleString()
+    out = None
+    for ids, texts in _blocks(rows):
+        if out is None:
+            out = _marked(df, text, name, kind, ids, Items(texts))
+        else:
+            # What is found so far is written: no task holds two blocks, and none is searched twice.
+            out = staged(out, "leaks")
+            more, = fresh(out, "_more")
+            out = _marked(out, text, more, kind, ids, Items(texts)).withColumn(name, F.concat(F.col(f"`{name}`"), F.col(more))).drop(more)
+    return out
