@@ -5,11 +5,12 @@ not tried again. Generators with high recall then propose further, overlapping s
 `dot`, quads in brackets or inside longer dotted numbers, stretches of grouped digits. Boosted trees judge format and context of every
 proposal, and those that pass and touch no base span of any kind are added, the likeliest first.
 
-The trees learn what the base rules miss. In a bounded sample of texts every base span is rewritten where it stands, in forms that the
+The trees learn what the base rules miss. In all texts every base span is rewritten where it stands, in forms that the
 rules don't know (`rewritten`: spelled addresses, national numbers, other separators): the span of the new form is right, all else
 that is proposed there is wrong. In the same places stand things that only look alike (`lookalikes`: prices, versions, dates, order and serial
 numbers): all proposals there are wrong. Other proposals of the texts teach nothing, as nobody knows what they are. A threshold for each kind is set on a part that the
-trees haven't seen: down to the last likelihood at which still PRECISION of the proposals are right.
+trees haven't seen: down to the last likelihood at which still PRECISION of the proposals are right. Equal rows of features and label are one row
+whose weight is their number, so the trees' table grows with the forms that spans have and not with the texts.
 
 Null and empty texts have no spans; repeated rows have the same. Without base spans of a kind nothing of that kind is learned or added. Other columns stay, whatever their names; one named as the new column is replaced.
 """
@@ -36,8 +37,8 @@ from hazegrid.session import scratch
 
 #: Kinds in the order of their listing.
 KINDS = ("email", "ip", "card", "phone")
-#: Texts that proposals are learned from, about; rounds and depth of the trees; share of right ones at every likelihood that passes; parts of the likelihood.
-SAMPLE, ROUNDS, DEPTH, PRECISION, BINS = 20_000, 30, 5, 0.95, 20
+#: Rounds and depth of the trees; share of right ones at every likelihood that passes; parts of the likelihood; share of the places that thresholds come from.
+ROUNDS, DEPTH, PRECISION, BINS, HELD = 30, 5, 0.95, 20, 0.3
 
 _LOCAL = string.ascii_letters + string.digits + "._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -141,6 +142,8 @@ _BEFORE, _AFTER = re.compile(r"[0-9\x20().+/-]*\Z"), re.compile(r"[0-9\x20().+/-
 _NAMED = re.compile(r"(?:\b(?:no|nr|id|order|item|version|serial|total|price|isbn|on)[.:]?|\bv)[\x20]?$", re.I)
 #: Context: characters looked at on either side.
 _NEAR = 24
+#: Places whose proposals a task holds before it hands them on. Memory only.
+TAUGHT = 256
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -199,22 +202,27 @@ def lookalikes(kind: int, span: str) -> list[str]:
             f"{int(d[:3]) + 256}.{d[3:6]}.{d[6:9]}.{d[9:12]}", f"{d[:2]} . {d[2:4]}", f"{int(d[0]) + 1} {d[1:4]} {d[4:7]} {d[7:10]}", f"#{d[:9]}", f"{d[:10]}", f"1{d[:18]}", f"{d[:3]}/{d[3:6]}/{d[6:9]}"]
 
 
-def lessons(text: str) -> Iterator[tuple[int, list[float], float]]:
-    """Place (a hash of the words around it), features and label of proposals in the places of a text's base spans, rewritten and replaced."""
+def places(text: str) -> Iterator[tuple[int, str, str, str]]:
+    """Kind of each base span of a text, what stands before it, the span, and what stands after it."""
     reach = 4 * _NEAR
     for kind, a, b in base(text):
-        before, after = text[max(0, a - reach):a], text[b:b + reach]
-        place = int.from_bytes(hashlib.blake2b(f"{before}\0{text[a:b]}\0{after}".encode(), digest_size=7).digest(), "big")
-        for forms, right in ((rewritten, 1.0), (lookalikes, 0.0)):
-            for form in forms(kind, text[a:b]):
-                made = before + form + after
-                lo, hi = len(before), len(before) + len(form)
-                known = base(made)
-                if any(x < hi and y > lo for _, x, y in known):
-                    continue  # the base rules know it
-                for proposal in set(proposals(made)):
-                    if proposal[1] < hi and proposal[2] > lo:
-                        yield place, features(made, *proposal), right * float(proposal == (kind, lo, hi))
+        yield kind, text[max(0, a - reach):a], text[a:b], text[b:b + reach]
+
+
+def lessons(kind: int, before: str, span: str, after: str) -> set[tuple[tuple[float, ...], float]]:
+    """Features and label of the proposals in the place of a base span, which is rewritten and replaced; equal ones count once."""
+    out = set()
+    for forms, right in ((rewritten, 1.0), (lookalikes, 0.0)):
+        for form in forms(kind, span):
+            made = before + form + after
+            lo, hi = len(before), len(before) + len(form)
+            known = base(made)
+            if any(x < hi and y > lo for _, x, y in known):
+                continue  # the base rules know it
+            for proposal in set(proposals(made)):
+                if proposal[1] < hi and proposal[2] > lo:
+                    out.add((tuple(features(made, *proposal)), right * float(proposal == (kind, lo, hi))))
+    return out
 
 
 @dataclass
@@ -244,39 +252,52 @@ class Trees:
         return 1 / (1 + np.exp(-2 * total))
 
 
-def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Trees:
-    """Trees and thresholds learned from about `sample` texts, picked by a hash of the text."""
-    rows = docs.select(F.col(text).alias("text")).filter("text is not null")
-    n = rows.count()
-    if not n:
-        return Trees()
-    chosen = rows.filter(spread("text") < min(1.0, sample / n))
+def taught(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(held, made, label, weight): the proposals of all places of `docs`, with the number of places that have them.
 
-    def run(batches):
+    Equal places are one, so that copies of a text count once; a place is learned from or held as a whole.
+    """
+    def found(batches):
         for batch in (part for whole in batches for part in sliced(whole, "text")):
-            places, made, labels = [], [], []
-            for t in batch.column("text").to_pylist():
-                for place, row, label in lessons(t):
-                    places.append(place)
-                    made.append(row)
-                    labels.append(label)
-            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(made, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["place", "made", "label"])
-
-    # Equal proposals of a place fall together, so that copies of a text count once; a place is learned from or held as a whole.
-    data = staged(chosen.mapInArrow(run, "place long, made array<double>, label double").distinct(), "personal") \
-        .withColumn("features", array_to_vector("made")).withColumn("held", spread("place") < 0.3)
+            rows = [row for t in batch.column("text").to_pylist() for row in places(t)]
+            kinds, *words = zip(*rows, strict=True) if rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), *(pa.array(w, pa.string()) for w in words)], names=["kind", "before", "span", "after"])
+
+    def run(batches):
+        for batch in (part for whole in batches for part in sliced(whole, "span")):
+            for at in range(0, len(batch), TAUGHT):
+                names, made, labels = [], [], []
+                for kind, before, span, after in zip(*(c.to_pylist() for c in batch.slice(at, TAUGHT).columns), strict=True):
+                    name = int.from_bytes(hashlib.blake2b(f"{before}\0{span}\0{after}".encode(), digest_size=7).digest(), "big")
+                    for row, label in lessons(kind, before, span, after):
+                        names.append(name)
+                        made.append(row)
+                        labels.append(label)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(made, pa.list_(pa.float64())), pa.array(labels, pa.float64())], names=["place", "made", "label"])
+
+    whole = docs.select(F.col(text).alias("text")).filter("text is not null")
+    distinct = whole.mapInArrow(found, "kind int, before string, span string, after string").distinct()
+    # A place is few bytes and much work: by bytes alone all would be joined into a few tasks.
+    dealt = distinct.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "before", "span", "after")
+    return dealt.mapInArrow(run, "place long, made array<double>, label double") \
+        .groupBy((spread("place") < HELD).alias("held"), "made", "label").agg(F.count("*").cast("double").alias("weight"))
+
+
+def fit(docs: DataFrame, text: str = "text") -> Trees:
+    """Trees and thresholds learned from all texts."""
+    data = staged(taught(docs, text), "personal").withColumn("features", array_to_vector("made"))
     sizes = {(r.held, r.label): r["count"] for r in data.groupBy("held", "label").count().collect()}
     if any((False, label) not in sizes for label in (0.0, 1.0)):
         return Trees()
-    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, seed=1).fit(data.filter("not held"))
+    model = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, weightCol="weight", seed=1).fit(data.filter("not held"))
     path = scratch(docs.sparkSession, "trees")
     model.save(path)
     trees = read_trees(docs.sparkSession, path, list(model.treeWeights))
-    # Bins of the likelihood, a few rows whatever the sample.
+    # Bins of the likelihood, a few rows whatever the corpus.
     kinds = F.array_position(F.slice("made", 1, len(KINDS)), 1.0).cast("int") - 1
-    bins = data.filter("held").select(kinds.alias("kind"), "label", F.col("made")) \
-        .mapInArrow(_binned(trees), "kind int, bin int, label double") \
-        .groupBy("kind", "bin").agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # one row a part and kind
+    bins = data.filter("held").select(kinds.alias("kind"), "label", "weight", "made") \
+        .mapInArrow(_binned(trees), "kind int, bin int, label double, weight double") \
+        .groupBy("kind", "bin").agg(F.sum(F.col("label") * F.col("weight")).alias("good"), F.sum("weight").alias("n")).collect()  # one row a part and kind
     limits = []
     for kind in range(len(KINDS)):
         own = {r.bin: r for r in bins if r.kind == kind}
@@ -296,7 +317,7 @@ def _binned(trees: Trees):
         for batch in batches:
             rows = np.array(batch.column("made").to_pylist(), float).reshape(-1, WIDTH)
             bins = np.floor(trees.probability(rows) * BINS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(bins), batch.column("label")], names=["kind", "bin", "label"])
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), pa.array(bins), batch.column("label"), batch.column("weight")], names=["kind", "bin", "label", "weight"])
     return run
 
 

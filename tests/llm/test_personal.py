@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from hazegrid.llm import personal, queries
 
@@ -93,6 +95,31 @@ def test_what_is_added_is_apart_from_base_spans(spark):
             assert all(b <= x or y <= a for _, x, y in own)
 
 
+def test_all_texts_teach_and_copies_count_once(spark):
+    docs = learned(spark)
+    # Plain texts teach nothing, however many: a share of all texts would lose places of `docs`.
+    plain = spark.range(0, 30_000, 1, 4).select("id", F.concat(F.lit("plain text no "), "id").alias("text"))
+    more = docs.union(plain).union(docs)
+    alone, all_of_them = personal.fit(docs), personal.fit(more)
+    assert alone.roots and alone.limits == all_of_them.limits
+    seen = [place for r in docs.collect() for place in personal.places(r.text)]
+    rows = np.array([row for place in seen[:100] for row, _ in personal.lessons(*place)])
+    assert np.allclose(alone.probability(rows), all_of_them.probability(rows))
+    # Each proposal of each place weighs as much as any other.
+    weights = {(r.made, r.label): 0 for r in personal.taught(more).select(F.col("made").cast("string"), "label").collect()}
+    for place in set(seen):
+        for row, label in personal.lessons(*place):
+            weights[_text(row), label] += 1
+    got = {}
+    for r in personal.taught(more).select(F.col("made").cast("string"), "label", "weight").collect():
+        got[r.made, r.label] = got.get((r.made, r.label), 0) + r.weight
+    assert got == weights
+
+
+def _text(row):
+    return "[" + ", ".join(map(str, row)) + "]"
+
+
 def test_planted_data_that_the_rules_miss_are_found_and_lookalikes_stay(spark):
     rng = random.Random(7)
     texts = [r.text for r in queries.table(spark, SF, "documents").orderBy("doc_id").limit(600).collect()]
