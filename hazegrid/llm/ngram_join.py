@@ -13,7 +13,9 @@ one text would be a pair for every two of them, so lists are worked off in round
 largest component, and each member of another component is compared with the pivot that it meets most; links merge
 components; members of one component need no comparison any more. When rounds bring little, or run out, all pairs of
 different components are proposed at their first common list: what stands before it in either set cannot be shared, so
-its place in both orders must leave room for the overlap. No pair goes untested unless its nodes are linked already, or
+its place in both orders must leave room for the overlap. In a group of near copies these are still nearly all pairs, so each
+member names its nearest partners first, by bitmaps; after their links are merged, lists that had more to name are worked off
+again, with more partners each, until none is left out. No pair goes untested unless its nodes are linked already, or
 sizes, places or bitmaps rule it out, so components are exact. A bitmap holds the parity of a set's shingles in SIGNS
 hash classes: where two differ, a shingle is not shared.
 
@@ -35,6 +37,8 @@ from hazegrid.llm.columns import sliced
 from hazegrid.llm.staging import staged
 from hazegrid.session import scratch
 
+#: Bytes of text handled at once, few enough for a core's cache. Speed only.
+PIECE = 1 << 18
 #: Words of a shingle; least similarity in percent.
 SIZE, PERCENT = 4, 85
 #: Lists that the order knows as long, at most: 16 bytes each go to every task. The least length falls as they allow.
@@ -46,6 +50,8 @@ MEETINGS = 5
 ROUNDS, PROGRESS = 8, 50
 #: Members of a list that meet in one task, at most; lists with one first member are spread beyond as many members in all.
 WIDEST = 4096
+#: Partners that each member of a list names at least in the last comparison; as many times more in each pass over the lists that have others left.
+NEAREST = 4
 #: Bits of a set's bitmap.
 SIGNS = 1024
 #: Bytes of text whose shingles go into one bucket of lists, about: what a task holds at once.
@@ -58,26 +64,50 @@ HELD = 1 << 19
 FILTER_BITS = 1 << 25
 
 
-def sets(column: pa.Array, size: int):
-    """(row, sorted distinct shingles) of every text in a column."""
-    for first, data, ends in words.texts(column):
+def pieces(column: pa.Array, size: int):
+    """(shingles, bounds, nodes) of a text column piece by piece: the sorted distinct shingles of each row back to back, where rows begin and end
+    among them, and the hash of each row's set."""
+    for _, data, ends in words.texts(column, PIECE):
         data = words.LOWER[data]
         hashes, _, rows = words.words(data, ends, words.BLANK[data])
-        for k in range(len(rows) - 1):
-            own = hashes[rows[k]:rows[k + 1]]
-            if len(own) >= size:
-                yield first + k, np.unique(words.shingled(own, size))
-            elif len(own):
+        n = np.diff(rows)
+        all_of_them = words.shingled(hashes, size)
+        flat = np.empty(int(np.where(n >= size, n - size + 1, n > 0).sum()), np.uint64)
+        at = 0
+        bounds = [0]
+        for lo, hi in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+            if hi - lo >= size:
+                own = flat[at:at + hi - lo - size + 1]
+                own[:] = all_of_them[lo:hi - size + 1]
+                own.sort()
+                at += len(own)
+            elif hi > lo:
                 # The whole sequence, apart from sequences of other lengths.
-                yield first + k, words.shingled(own, len(own)) ^ np.uint64(len(own))
-            else:
-                yield first + k, own
+                flat[at:at + 1] = words.shingled(hashes[lo:hi], hi - lo) ^ np.uint64(hi - lo)
+                at += 1
+            bounds.append(at)
+        bounds = np.array(bounds)
+        fresh = np.append(True, flat[1:] != flat[:-1])[:len(flat)]
+        fresh[bounds[:-1][bounds[:-1] < len(flat)]] = True
+        bounds = np.append(0, np.cumsum(fresh))[bounds]
+        flat = flat[fresh]
+        yield flat, bounds, nodes(flat, bounds)
+
+
+def sets(column: pa.Array, size: int):
+    """(row, sorted distinct shingles) of every text in a column."""
+    row = 0
+    for flat, bounds, _ in pieces(column, size):
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            yield row, flat[lo:hi]
+            row += 1
 
 
-def node(shingles: np.ndarray) -> int:
-    """The hash of a set, as a signed 64-bit number."""
-    total = int(words.mixed(shingles).sum(dtype=np.uint64)) + len(shingles) * 0x9E3779B97F4A7C15
-    return int(words.mixed(np.array([total & (1 << 64) - 1], np.uint64)).view(np.int64)[0])
+def nodes(flat: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The hash of each set, as a signed 64-bit number."""
+    sums = np.append(np.uint64(0), np.cumsum(words.mixed(flat), dtype=np.uint64))
+    total = sums[bounds[1:]] - sums[bounds[:-1]] + np.diff(bounds).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return words.mixed(total).view(np.int64)
 
 
 def least_overlap(n, percent: int):
@@ -127,7 +157,8 @@ class _Held:
         if self.size:
             columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
             bucket = (columns[0] >> np.uint64(32)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
+            # Numbers of 16 bits are sorted by radix.
+            order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
             columns = [c[order] for c in columns]
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             bounds = np.concatenate([[0], cuts, [len(order)]])
@@ -152,15 +183,16 @@ def _counted(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFram
 
         key_type = pa.int64()
         for batch in (part for whole in batches for part in sliced(whole, "text")):
-            nodes, sizes = [], []
+            names, sizes = [], []
             key_type = batch.column("key").type
-            for _, own in sets(batch.column("text"), size):
-                n = len(own)
-                nodes.append(node(own) if n else None)
-                sizes.append(n)
+            for flat, bounds, own in pieces(batch.column("text"), size):
+                n = np.diff(bounds)
+                names += [a if m else None for a, m in zip(own.tolist(), n.tolist(), strict=True)]
+                sizes += n.tolist()
                 # Twice the short lists: the order may skip as many for longer ones.
-                held.add(_places(own[:2 * (n - least_overlap(n, percent) + meetings(n, percent))], buckets))
-            yield handed(batch.column("key"), nodes, sizes)
+                at = np.arange(len(flat)) - np.repeat(bounds[:-1], n)
+                held.add(_places(flat[at < np.repeat(2 * (n - least_overlap(n, percent) + meetings(n, percent)), n)], buckets))
+            yield handed(batch.column("key"), names, sizes)
         yield handed()
 
     kind = docs.schema["key"].dataType.simpleString()
@@ -204,28 +236,33 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
 
         met: set[int] = set()
         for batch in (part for whole in batches for part in sliced(whole, "text")):
-            for _, own in sets(batch.column("text"), size):
-                n = len(own)
-                if not n:
-                    continue
-                name = node(own)
-                if name in met:
-                    continue
-                if len(met) < HELD:
-                    met.add(name)
-                own = _places(own, buckets)
-                length = np.zeros(n, np.int64)
+            for flat, bounds, names in pieces(batch.column("text"), size):
+                n = np.diff(bounds)
+                new = np.zeros(len(n), bool)
+                for k, name in enumerate(names.tolist()):
+                    if n[k] and name not in met:
+                        new[k] = True
+                        if len(met) < HELD:
+                            met.add(name)
+                own = _places(flat, buckets)
+                length = np.zeros(len(own), np.int64)
                 maybe = np.flatnonzero(seen[own % np.uint64(1 << 22)])
                 if len(maybe):
                     at = np.minimum(np.searchsorted(places, own[maybe]), len(places) - 1)
                     hit = places[at] == own[maybe]
                     length[maybe[hit]] = lengths[at[hit]]
-                chosen = np.argsort(length, kind="stable")[:n - least_overlap(n, percent) + meetings(n, percent)]
-                at = np.arange(len(chosen), dtype=np.uint32)
-                for held, which in ((short, length[chosen] == 0), (long, length[chosen] > 0)):
+                row = np.repeat(np.arange(len(n)), n)
+                order = np.arange(len(own))
+                # Only sets with a long list are put into another order than that by hash.
+                for k in np.unique(row[length > 0]):
+                    lo, hi = bounds[k], bounds[k + 1]
+                    order[lo:hi] = lo + np.argsort(length[lo:hi], kind="stable")
+                at = np.arange(len(own)) - np.repeat(bounds[:-1], n)
+                chosen = new[row] & (at < (n - least_overlap(n, percent) + meetings(n, percent))[row])
+                order, at, row = order[chosen], at[chosen].astype(np.uint32), row[chosen]
+                for held, which in ((short, length[order] == 0), (long, length[order] > 0)):
                     if which.any():
-                        m = int(which.sum())
-                        held.add(own[chosen[which]], np.full(m, name, np.int64), np.full(m, n, np.uint32), at[which])
+                        held.add(own[order[which]], names[row[which]], n[row[which]].astype(np.uint32), at[which])
             if short.size + long.size >= HELD:
                 yield handed()
         yield handed()
@@ -244,6 +281,15 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
             if not parts:
                 continue
             rows = [np.concatenate(x) for x in zip(*parts, strict=True)]
+            if not kind:
+                # Most postings stand alone and need no order.
+                value = np.sort(rows[0])
+                twice = np.zeros(1 << 24, bool)
+                twice[value[1:][value[1:] == value[:-1]] & 0xFFFFFF] = True
+                maybe = twice[rows[0] & 0xFFFFFF]
+                rows = [x[maybe] for x in rows]
+                if not len(rows[0]):
+                    continue
             order = np.lexsort((rows[3], rows[1], rows[0]))
             rows = [x[order] for x in rows]
             fresh = np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1]))
@@ -275,11 +321,12 @@ def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) ->
     def run(batches):
         for batch in (part for whole in batches for part in sliced(whole, "text")):
             rows = []
-            for _, own in sets(batch.column("text"), size):
-                name = node(own) if len(own) else 0
-                at = name % bits
-                if len(own) and int(table[at // 32]) >> at % 32 & 1:
-                    rows.append((name, len(own), signs(own), own.tobytes()))
+            for flat, bounds, own_names in pieces(batch.column("text"), size):
+                at = own_names % bits
+                known = (table[at // 32] >> (at % 32).astype(np.uint32) & 1).astype(bool) & (np.diff(bounds) > 0)
+                for k in np.flatnonzero(known).tolist():
+                    own = flat[bounds[k]:bounds[k + 1]]
+                    rows.append((int(own_names[k]), len(own), signs(own), own.tobytes()))
             names, sizes, maps, shingles = zip(*rows, strict=True) if rows else ((),) * 4
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary()),
                                               pa.array(shingles, pa.binary())], names=["node", "n", "signs", "shingles"])
@@ -394,9 +441,24 @@ def _swept(members: DataFrame, percent: int) -> DataFrame:
     return members
 
 
-def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def _nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs (a, b) are among the `most` nearest ones of either end; of equally far ones the first."""
+    ends = np.concatenate([a, b])
+    order = np.lexsort((np.concatenate([far, far]), ends))
+    ends = ends[order]
+    starts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1]))
+    rank = np.arange(len(ends)) - np.repeat(starts, np.diff(np.append(starts, len(ends))))
+    kept = np.zeros(len(a), bool)
+    kept[order[rank < most] % len(a)] = True
+    return kept
+
+
+def _rest(lists: DataFrame, known: DataFrame, percent: int, nearest: int) -> DataFrame:
     """Pairs (a, b) of different labels that sizes, places and bitmaps leave, of all open lists (place, node, n, at, label, members, first, share).
 
+    Where a list part has more than `nearest` pairs a member, those go out that are among the `nearest` of either end, and so does a row (place)
+    that says that the list has others: rows out grow with rows in.
+
     Pairs are looked at inside tasks and only the few that are left go out. Lists with one first member mostly have the same
     members: they go to one task, which names a pair once, or to as many shares as `_shares` gives them. A list of more than
     WIDEST members is cut into parts by node, and each two of its parts meet in a task.
@@ -407,11 +469,11 @@ def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     met = signed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))) \
         .select("first", "share", "place", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "at", "label", "signs")
 
-    def pairs_of(rows: dict[str, np.ndarray], lo: int, hi: int) -> np.ndarray:
-        """Rows (a, b) of one list part, in blocks of rows."""
+    def pairs_of(rows: dict[str, np.ndarray], lo: int, hi: int) -> tuple[np.ndarray, bool]:
+        """Rows (a, b) of one list part, in blocks of rows, and whether these are all."""
         node, n, at, label, own, maps = (rows[c][lo:hi] for c in ("node", "n", "at", "label", "own", "signs"))
         apart = rows["low"][lo] != rows["high"][lo]
-        found = []
+        at_a, at_b, far, all_of_them = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), True
         step = max(1, (1 << 20) // (hi - lo))
         for i in range(0, hi - lo, step):
             s = slice(i, i + step)
@@ -425,10 +487,13 @@ def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             if len(a):
                 differ = np.bitwise_count(maps[a + i] ^ maps[b]).sum(axis=1, dtype=np.int64)
                 left = differ <= both[a, b] - 2 * least[a, b]
-                a, b = a[left] + i, b[left]
-                swap = node[a] > node[b]
-                found.append(np.stack([np.where(swap, node[b], node[a]), np.where(swap, node[a], node[b])], axis=1))
-        return np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+                at_a, at_b = np.append(at_a, a[left] + i), np.append(at_b, b[left])
+                far = np.append(far, differ[left] / both[a[left], b[left]])
+                if len(at_a) > nearest * (hi - lo):
+                    kept = _nearest(at_a, at_b, far, nearest)
+                    all_of_them &= bool(kept.all())
+                    at_a, at_b, far = at_a[kept], at_b[kept], far[kept]
+        return np.stack([node[at_a], node[at_b]], axis=1), all_of_them
 
     def run(batches):
         rest: pa.Table | None = None
@@ -440,12 +505,24 @@ def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             fresh = np.append(True, (np.diff(rows["place"]) != 0) | (np.diff(rows["low"]) != 0) | (np.diff(rows["high"]) != 0))
             starts = np.append(np.flatnonzero(fresh), len(table))
             last = len(starts) - 1 if whole else len(starts) - 2
-            found = [pairs_of(rows, starts[k], starts[k + 1]) for k in range(last) if starts[k + 1] - starts[k] > 1]
+            found = []
+            for k in range(last):
+                if starts[k + 1] - starts[k] > 1:
+                    pairs, all_of_them = pairs_of(rows, starts[k], starts[k + 1])
+                    found.append(pairs)
+                    if not all_of_them:
+                        more.add(int(rows["place"][starts[k]]))
             return found, table.slice(int(starts[last]))
 
+        more: set[int] = set()
+
         def named(found: list[np.ndarray]) -> pa.RecordBatch:
             pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            places = sorted(more)
+            more.clear()
+            return pa.RecordBatch.from_arrays([
+                pa.concat_arrays([pa.array(pairs[:, k]), pa.nulls(len(places), pa.int64())]) for k in (0, 1)]
+                + [pa.concat_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(places, pa.int64())])], names=["a", "b", "place"])
 
         held: list[np.ndarray] = []
         for batch in batches:
@@ -461,7 +538,7 @@ def _rest(lists: DataFrame, known: DataFrame, percent: int) -> DataFrame:
         yield named(held)
 
     return met.repartition("first", "share", "low", "high").sortWithinPartitions("first", "share", "low", "high", "place") \
-        .mapInArrow(run, "a long, b long").distinct()
+        .mapInArrow(run, "a long, b long, place long").distinct()
 
 
 def _shares(heads: DataFrame) -> DataFrame:
@@ -486,34 +563,51 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
         least = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
         return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (n - at >= least) & (m - other >= least)
 
-    for turn in range(ROUNDS + 1):
-        # Lists with one component left are done.
+    def untested(pairs: DataFrame) -> DataFrame:
+        if tested is None:
+            return pairs
+        both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        return pairs.join(both, ["a", "b"], "left_anti")
+
+    def open_lists(turn: int) -> tuple[DataFrame, DataFrame]:
+        """Members with their labels, and a row for each list that has more than one label."""
         lists = _labelled(members, labels)
         groups = lists.groupBy("place", "label").agg(F.count("*").alias("size"), F.min("node").alias("least"), F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at")).alias("one"))
-        heads = staged(groups.groupBy("place").agg(
+        return lists, staged(groups.groupBy("place").agg(
             F.max(F.struct("size", F.negative("one.h").alias("h"), "label", "one")).alias("head"), F.count("*").alias("groups"),
             F.sum("size").alias("members"),
             F.min("least").alias("first")).filter("groups > 1"), "heads")
+
+    for turn in range(ROUNDS):
+        # Lists with one component left are done.
+        lists, heads = open_lists(turn)
         if heads.isEmpty():
+            return labels
+        if linked_now is not None and linked_now * PROGRESS < total:
             break
-        last = turn == ROUNDS or linked_now is not None and linked_now * PROGRESS < total
-        if last:
-            pairs = _rest(lists.join(_shares(heads), "place"), known, percent)
-        else:
-            pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"),
-                                 F.col("head.one.at").alias("b_at"))
-            pairs = lists.join(pivot, "place").filter((F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
-            pairs = pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met"))
-        if tested is not None:
-            both = tested.union(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(both, ["a", "b"], "left_anti")
-        if not last:
-            pairs = pairs.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b"))
-        pairs = staged(pairs.select("a", "b"), "pairs")
+        pivot = heads.select("place", F.col("head.label").alias("other"), F.col("head.one.node").alias("b"), F.col("head.one.n").alias("m"),
+                             F.col("head.one.at").alias("b_at"))
+        pairs = lists.join(pivot, "place").filter((F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
+        pairs = untested(pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met")))
+        pairs = staged(pairs.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")).select("a", "b"), "pairs")
         found = _compared(pairs, known, percent)
         labels = _merged(labels, found)
-        if last:
-            break
         linked_now = found.filter("same").count()
         tested = pairs if tested is None else tested.union(pairs)
+    else:
+        lists, heads = open_lists(ROUNDS)
+
+    nearest = NEAREST
+    while not heads.isEmpty():
+        named = staged(_rest(lists.join(_shares(heads), "place"), known, percent, nearest), "rest")
+        pairs = staged(untested(named.filter("place is null").select("a", "b")), "pairs")
+        labels = _merged(labels, _compared(pairs, known, percent))
+        more = named.filter("place is not null").select("place")
+        if more.isEmpty():
+            break
+        # No part of a list is left out: in the end each member may name all others.
+        members = members.join(more, "place", "left_semi")
+        tested = pairs if tested is None else tested.union(pairs)
+        nearest *= NEAREST
+        lists, heads = open_lists(ROUNDS)
     return labels

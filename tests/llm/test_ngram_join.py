@@ -92,6 +92,45 @@ def test_lists_of_one_first_member_are_shared(spark, monkeypatch):
     assert len([k for k in weight if k[0] == 7]) == 20 and max(weight.values()) <= 200
 
 
+def test_a_group_of_near_copies_names_few_pairs_and_loses_no_link(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(60)]
+    rows = []
+    for k in range(120):
+        own = list(words)
+        own[rng.randrange(60)] = f"x{k}"  # two of them share about 49 of 65 shingles, neighbours more
+        rows.append((k, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    named, passes = [], []
+    whole = ngram_join._rest
+
+    def rest(lists, known, percent, *nearest):
+        out = whole(lists, known, percent, *nearest)
+        named.append(out.filter("a is not null").count())
+        passes.append((lists.count(), *nearest))
+        return out
+
+    monkeypatch.setattr(ngram_join, "_rest", rest)
+    # All is left to the last comparison, with pairs of low likeness and high.
+    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
+    for percent in (70, 85):
+        got_now = got(df, percent=percent)
+        if percent == 85:
+            assert got_now == expected(rows)
+        else:
+            assert {c for _, _, c in got_now} == {0}
+    # 120 alike make 7140 pairs.
+    assert passes and named[0] <= 120 * 12, (named, passes)
+
+
+def test_nearest_pairs_of_either_end():
+    import numpy as np
+    a, b = np.array([0, 0, 0, 1, 1, 2]), np.array([1, 2, 3, 2, 3, 3])
+    far = np.array([.1, .2, .3, .4, .5, .6])
+    assert ngram_join._nearest(a, b, far, 1).tolist() == [True, True, True, False, False, False]
+    assert ngram_join._nearest(a, b, far, 3).all()
+
+
 def test_other_columns_nulls_repeats_and_empty(spark):
     rows = [(1, "a b c d e", "x"), (1, "a b c d e", "x"), (5, "a b c d e", None), (2, None, "y"), (3, "", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, node string")
