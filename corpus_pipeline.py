@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hazegrid.llm import bpe, language, leaks, ngram_join, personal
 from hazegrid.llm.shipping import ship
-from hazegrid.llm.staging import remainder, staged
+from hazegrid.llm.staging import remainder, staged, unstaged
 
 #: What the stages work on and return; further columns of a table pass through.
 RANKS = "byte_bpe_50k.tiktoken"
@@ -79,8 +79,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written to the shared folder before the next."""
+    """All stages over `documents`, each written to the shared folder before the next, whose rows take its place there."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        unstaged(before)
     return docs

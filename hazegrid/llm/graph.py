@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazegrid.llm.staging import staged
+from hazegrid.llm.staging import staged, unstaged
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     shrinks. A hub's neighbours are never collected: its least neighbour is an aggregate with map-side combine.
     """
     links = staged(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    result = None
+    result, rounds = None, []
     while True:
         both = links.union(links.select("b", "a"))
         least = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near")) \
@@ -27,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
             top = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
             up = up.join(top, "up").select("node", F.col("top").alias("up"))
         up = staged(up, "labels")
+        rounds.append(up)
         if result is None:
             result = up.withColumnRenamed("up", "label")
         else:
@@ -35,6 +36,10 @@ def components(links: DataFrame) -> DataFrame:
         ends = links
         for c in ("a", "b"):
             ends = ends.join(up.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")), c)
+        done = links
         links = staged(ends.filter("a_up <> b_up").select(F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct(), "links")
+        unstaged(done)
         if links.isEmpty():
-            return staged(result, "components")
+            result = staged(result, "components")
+            unstaged(links, *rounds)
+            return result

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from hazegrid.llm import graph, words
 from hazegrid.llm.columns import sliced
-from hazegrid.llm.staging import staged
+from hazegrid.llm.staging import no_leftovers, removed, staged, unstaged
 from hazegrid.session import scratch
 
 #: Bytes of text handled at once, few enough for a core's cache. Speed only.
@@ -217,6 +217,7 @@ def _long_lists(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         least -= 1
         total += steps[least]
     rows = lengths.filter(F.col("length") >= 1 << least).orderBy("place").toArrow()
+    unstaged(lengths)
     return rows.column("place").to_numpy().astype(np.uint64), rows.column("length").to_numpy()
 
 
@@ -306,8 +307,8 @@ def _postings(docs: DataFrame, buckets: int, size: int, percent: int, places: np
     return blobs.groupBy("bucket").applyInArrow(merged, "place long, node long, n long, at long")
 
 
-def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) -> str:
-    """Name of a table (node, n, signs, shingles) of the nodes in open lists, and some others: a filter of bounded size picks them while
+def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) -> tuple[str, str]:
+    """Name and folder of a table (node, n, signs, shingles) of the nodes in open lists, and some others: a filter of bounded size picks them while
     texts are read again. The table is bucketed by node, so that joins on it move the other side alone."""
     nodes = members.select("node").distinct()
     # Nodes are hashes already. 16 bits a node, as long as the filter may grow.
@@ -343,9 +344,10 @@ def _open_sets(docs: DataFrame, members: DataFrame, size: int, buckets: int) ->
     spark = docs.sparkSession
     columns = "node long, n long, signs binary, shingles binary"
     unique = docs.mapInArrow(run, columns).repartition(buckets, "node").sortWithinPartitions("node").mapInArrow(once, columns)
-    name = f"sets_{uuid.uuid4().hex}"
-    unique.write.bucketBy(buckets, "node").option("path", scratch(spark, "sets")).format("parquet").saveAsTable(name)
-    return name
+    name, path = f"sets_{uuid.uuid4().hex}", scratch(spark, "sets")
+    with no_leftovers(spark):
+        unique.write.bucketBy(buckets, "node").option("path", path).format("parquet").saveAsTable(name)
+    return name, path
 
 
 def _compared(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -361,7 +363,9 @@ def _compared(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
                     for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(same, pa.bool_())], names=["a", "b", "same"])
 
-    return staged(first.join(second, "b").mapInArrow(run, "a long, b long, same boolean"), "compared")
+    found = staged(first.join(second, "b").mapInArrow(run, "a long, b long, same boolean"), "compared")
+    unstaged(pairs)
+    return found
 
 
 def _possible(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
@@ -388,7 +392,7 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
-    """Labels after links (a, b) between nodes are added."""
+    """Labels after links (a, b) between nodes are added; those of before are no longer read, and go where new ones are written."""
     links = found.filter("same").select("a", "b")
     if links.isEmpty():
         return labels
@@ -401,7 +405,9 @@ def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
     known = labels.join(moved.select(F.col("node").alias("label"), F.col("label").alias("higher")), "label", "left") \
         .select("node", F.coalesce("higher", "label").alias("label"))
     fresh = moved.join(known, "node", "left_anti")
-    return staged(known.unionByName(fresh), "labels")
+    out = staged(known.unionByName(fresh), "labels")
+    unstaged(moved, labels)
+    return out
 
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -413,15 +419,20 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: i
     size_of_all = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     buckets = min(max(parts, -(-size_of_all // BUCKET)), (1 << 31) - 1)
     counted = staged(_counted(docs, buckets, size, percent), "counted")
-    rows = counted.filter("bucket is null").select("key", "node", "n")
-    members = _swept(staged(_postings(docs.select("text"), buckets, size, percent, *_long_lists(counted)), "members"), percent)
+    long = _long_lists(counted)
+    # The shingles take half as much room as the texts do.
+    rows = staged(counted.filter("bucket is null").select("key", "node", "n"), "rows")
+    unstaged(counted)
+    members = _swept(staged(_postings(docs.select("text"), buckets, size, percent, *long), "members"), percent)
     labels = None
     if not members.isEmpty():
-        name = _open_sets(docs.select("text"), members, size, parts)
+        name, path = _open_sets(docs.select("text"), members, size, parts)
         try:
             labels = _linked(members, spark.table(name), percent)
         finally:
             spark.sql(f"drop table if exists {name}")
+            removed(spark, path)
+    unstaged(members)
     named = _labelled(rows, labels)
     # Without shingles a row is on its own.
     least = named.filter("node is not null").groupBy("label").agg(F.min("key").alias("least"))
@@ -435,9 +446,10 @@ def _swept(members: DataFrame, percent: int) -> DataFrame:
     least = F.greatest(F.lit(1), (F.floor((F.col("n") * percent + 99) / 100) * MEETINGS / 100).cast("long"))
     for _ in range(SWEEPS):
         enough = members.groupBy("node").agg(F.count("*").alias("met"), F.first("n").alias("n")).filter(F.col("met") >= least).select("node")
-        members = members.join(enough, "node", "left_semi")
-        shared = members.groupBy("place").agg(F.count("*").alias("size")).filter("size > 1").select("place")
-        members = staged(members.join(shared, "place", "left_semi"), "members")
+        left = members.join(enough, "node", "left_semi")
+        shared = left.groupBy("place").agg(F.count("*").alias("size")).filter("size > 1").select("place")
+        before, members = members, staged(left.join(shared, "place", "left_semi"), "members")
+        unstaged(before)
     return members
 
 
@@ -582,6 +594,7 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
         # Lists with one component left are done.
         lists, heads = open_lists(turn)
         if heads.isEmpty():
+            unstaged(heads)
             return labels
         if linked_now is not None and linked_now * PROGRESS < total:
             break
@@ -590,9 +603,11 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
         pairs = lists.join(pivot, "place").filter((F.col("label") != F.col("other")) & near("n", "m", "at", "b_at"))
         pairs = untested(pairs.groupBy(F.col("node").alias("a"), "b").agg(F.count("*").alias("met")))
         pairs = staged(pairs.groupBy("a").agg(F.max_by("b", F.struct("met", "b")).alias("b")).select("a", "b"), "pairs")
+        unstaged(heads)
         found = _compared(pairs, known, percent)
         labels = _merged(labels, found)
         linked_now = found.filter("same").count()
+        unstaged(found)
         tested = pairs if tested is None else tested.union(pairs)
     else:
         lists, heads = open_lists(ROUNDS)
@@ -600,8 +615,11 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
     nearest = NEAREST
     while not heads.isEmpty():
         named = staged(_rest(lists.join(_shares(heads), "place"), known, percent, nearest), "rest")
+        unstaged(heads)
         pairs = staged(untested(named.filter("place is null").select("a", "b")), "pairs")
-        labels = _merged(labels, _compared(pairs, known, percent))
+        found = _compared(pairs, known, percent)
+        labels = _merged(labels, found)
+        unstaged(found)
         more = named.filter("place is not null").select("place")
         if more.isEmpty():
             break
@@ -610,4 +628,5 @@ def _linked(members: DataFrame, known: DataFrame, percent: int) -> DataFrame | N
         tested = pairs if tested is None else tested.union(pairs)
         nearest *= NEAREST
         lists, heads = open_lists(ROUNDS)
+    unstaged(heads)
     return labels

@@ -154,3 +154,61 @@ def test_components_of_paths_and_stars(spark):
     rng.shuffle(links)
     out = {r.node: r.label for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert out == {k: 100 for k in range(100, 181)} | {k: 7 for k in range(7, 60)}
+
+
+def test_disk_holds_no_table_that_is_done_with(spark, monkeypatch):
+    """What is left in the shared folder takes no more than a few bytes for each row; the result can still be read, again and again."""
+    import os
+
+    from hazegrid import session
+
+    monkeypatch.setattr(ngram_join, "SHORTEST_LONG", 2)
+    rng = random.Random(3)
+    own = [[f"w{rng.randrange(5000)}" for _ in range(60)] for _ in range(40)]
+    rows = [(k, " ".join(["x", *w[1:]] if k % 3 == 1 else w)) for k, w in enumerate(w for w in own for _ in range(3))]
+    folder = session.shared_dir(spark)
+    before = set(os.listdir(folder))
+    out = ngram_join.components(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before}
+    assert "rows" in left and not left & {"counted", "lengths", "members", "sets", "heads", "compared", "links"}
+    for _ in range(2):
+        assert sorted(map(tuple, out.collect())) == expected(rows)
+
+
+def test_only_staged_tables_go(spark, tmp_path):
+    import os
+
+    from hazegrid.llm.staging import staged, unstaged
+
+    path = str(tmp_path / "given")
+    spark.range(3).write.parquet(path)
+    given, table = spark.read.parquet(path), staged(spark.range(5), "own")
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file:"))
+    assert os.path.isdir(folder)
+    unstaged(given, table.filter("id > 1"), None)
+    assert given.count() == 3 and table.count() == 5
+    unstaged(table, table)
+    assert not os.path.exists(folder) and os.path.isdir(os.path.dirname(folder)) and given.count() == 3
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark):
+    """Without a collection of garbage in the driver, whose plan they hang on."""
+    import time
+
+    from hazegrid.llm.staging import staged
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(k).getName() for k in range(files.size())} if files.size() else set()
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting, None)
+    before = {f for f in shuffled() if f.startswith("shuffle_")}
+    table = staged(spark.range(20000).repartition(3, "id"), "moved")
+    for _ in range(50):
+        left = {f for f in shuffled() if f.startswith("shuffle_")} - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and table.count() == 20000
+    assert spark.conf.get(setting, None) == was

@@ -87,6 +87,17 @@ def test_run_is_the_stages(spark, stages):
     assert sorted(map(str, out.collect())) == sorted(map(str, stages[-1].collect()))
 
 
+def test_run_leaves_only_the_last_stage_in_the_shared_folder(spark):
+    from hazegrid.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    out = corpus_pipeline.run(spark, SF)
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before}
+    # The first stage's table has a name that a sample of its own has as well.
+    assert "byte-level-BPE" in left and not left & {n.replace(" ", "-") for n, _ in corpus_pipeline.STAGES[1:-1]}
+    assert out.count() > 0
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(1, "the of and to in", None, None, None, "x"), (1, "the of and to in", None, None, None, "x"), (2, None, "en", "s", 0, None),
             (3, "", "en", "s", 0, "y"), (None, "un deux trois quatre", "fr", None, 20, "z"), (5, "12 34", "en", "s", 5, "y"),
