@@ -157,7 +157,7 @@ def test_components_of_paths_and_stars(spark):
 
 
 def test_disk_holds_no_table_that_is_done_with(spark, monkeypatch):
-    """What is left in the shared folder takes no more than a few bytes for each row; the result can still be read, again and again."""
+    """Tables that nothing reads any more are gone from the shared folder; the result can still be read, again and again."""
     import os
 
     from hazegrid import session
